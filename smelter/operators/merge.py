@@ -44,14 +44,14 @@ def as_of(df: DataFrame, at: Instant) -> DataFrame:
 def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch: bool | None = None) -> DataFrame:
     """Full outer match of table and batch as two struct columns ``_t`` and ``_s`` (null where absent).
 
-    A batch within the broadcast limit never makes the table shuffle: the table is left-joined to the
-    broadcast batch, and the batch rows that found no partner are added. Otherwise one full outer join
-    shuffles each side once.
+    A batch within the broadcast limit never makes a large table shuffle: the table is left-joined to
+    the broadcast batch, and the batch rows that found no partner are added. Otherwise one full outer
+    join shuffles each side once.
     """
-    t = table.select(F.struct(*[F.col(f"`{c}`") for c in table.columns]).alias("_t"), *[F.col(k) for k in keys])
-    s = batch.select(F.struct(*[F.col(f"`{c}`") for c in batch.columns]).alias("_s"), *[F.col(k) for k in keys])
+    t = table.select(F.struct(*table.columns).alias("_t"), *keys)
+    s = batch.select(F.struct(*batch.columns).alias("_s"), *keys)
     if small_batch is None:
-        small_batch = fits_broadcast(batch)
+        small_batch = fits_broadcast(batch) and not fits_broadcast(table)
     if not small_batch:
         return t.join(s, keys, "full_outer").select("_t", "_s")
     kept = t.join(F.broadcast(s), keys, "left").select("_t", "_s")
@@ -60,28 +60,35 @@ def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch:
     return kept.unionByName(fresh)
 
 
-def _row(table: DataFrame, values: dict[str, Column]) -> Column:
-    """A struct with exactly the table's columns and types; columns without a value are null."""
-    return F.struct(*[
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields
-    ])
+def _typed(sql: str, have, want) -> str:
+    return sql if have == want else f"CAST({sql} AS {want.simpleString()})"
 
 
-def _versions(pairs: DataFrame, rows: Column) -> DataFrame:
-    return pairs.select(F.explode(rows).alias("_row")).select("_row.*")
-
-
-def load_metadata(processing_time: Instant, source_file: Column | None = None, schema_version: int = 1) -> dict[str, Column]:
-    """Metadata of a freshly inserted row. One timestamp serves the whole batch."""
-    at = instant(processing_time)
+def _metadata_sql(has_source: bool, schema_version: int = 1) -> dict[str, str]:
+    """Metadata of a freshly inserted row, over the columns ``_s`` (batch row) and ``_at`` (batch time)."""
     return {
-        "_ingested_at": at,
-        "_source_file": source_file if source_file is not None else F.lit(DEFAULT_SOURCE),
-        "_schema_version": F.lit(schema_version).cast("bigint"),
-        "_processed_at": at,
+        "_ingested_at": "_at",
+        "_source_file": "_s._source_file" if has_source else f"'{DEFAULT_SOURCE}'",
+        "_schema_version": f"CAST({int(schema_version)} AS BIGINT)",
+        "_processed_at": "_at",
     }
 
 
+def _inserted(table: DataFrame, batch: DataFrame, **extra: str) -> dict[str, str]:
+    """SQL of every table column for a row that comes from the batch; what the batch lacks is null."""
+    have = {f.name: f.dataType for f in batch.schema.fields}
+    meta = {**_metadata_sql("_source_file" in have), **extra}
+    out = {}
+    for f in table.schema.fields:
+        if f.name in meta:
+            out[f.name] = meta[f.name]
+        elif f.name in have:
+            out[f.name] = _typed(f"_s.`{f.name}`", have[f.name], f.dataType)
+        else:
+            out[f.name] = f"CAST(NULL AS {f.dataType.simpleString()})"
+    return out
+
+
 # ---- SCD-2 -------------------------------------------------------------------------------------
 
 def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing_time: Instant,
@@ -90,26 +97,20 @@ def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing
 
     ``now`` holds only current rows. One match classifies every key:
 
-    * only in the table, or equal fingerprint: keep as it is;
+    * only in the table, or equal fingerprint: keep the row as it is;
     * fingerprint differs: close the old version at ``processing_time`` and open a new one;
     * only in the batch: open a first version.
     """
-    at = instant(processing_time)
-    fields = set(now.columns)
-    t, s = F.col("_t"), F.col("_s")
-    kept = _row(now, {c: t[c] for c in now.columns})
-    closed = _row(now, {**{c: t[c] for c in now.columns},
-                        "is_current": F.lit(False), "valid_to": at, "_processed_at": at})
-    source_file = s["_source_file"] if "_source_file" in stage.columns else None
-    opened = _row(now, {
-        **{c: s[c] for c in stage.columns if c in fields},
-        "is_current": F.lit(True), "valid_from": at, "valid_to": F.lit(OPEN_END).cast("timestamp"),
-        **load_metadata(processing_time, source_file),
-    })
-    rows = (F.when(t.isNull(), F.array(opened))
-            .when(s.isNull() | (t["hash_diff"] == s["hash_diff"]), F.array(kept))
-            .otherwise(F.array(closed, opened)))
-    return _versions(pair_rows(now, stage, [key], small_batch), rows)
+    actions = F.expr("""CASE WHEN _t IS NULL THEN array('open')
+                             WHEN _s IS NULL OR _t.hash_diff = _s.hash_diff THEN array('keep')
+                             ELSE array('close', 'open') END""")
+    pairs = pair_rows(now, stage, [key], small_batch).select(
+        "_t", "_s", instant(processing_time).alias("_at"), F.explode(actions).alias("_do"))
+    opened = _inserted(now, stage, is_current="true", valid_from="_at", valid_to=f"TIMESTAMP '{OPEN_END}'")
+    closed = {"is_current": "_do = 'keep'", "valid_to": "IF(_do = 'close', _at, _t.valid_to)",
+              "_processed_at": "IF(_do = 'close', _at, _t._processed_at)"}
+    return pairs.selectExpr(*[
+        f"IF(_do = 'open', {opened[c]}, {closed.get(c, f'_t.`{c}`')}) AS `{c}`" for c in now.columns])
 
 
 def scd2_merge(target: DataFrame, stage: DataFrame, key: str, processing_time: Instant,
@@ -131,29 +132,19 @@ def scd2_insert_set(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
                processing_time: Instant, small_batch: bool | None = None) -> DataFrame:
     """Update ``update_cols`` of matched rows, insert unmatched rows, leave all else alone."""
-    at = instant(processing_time)
-    t, s = F.col("_t"), F.col("_s")
-    meta = load_metadata(processing_time, s["_source_file"] if "_source_file" in source.columns else None)
-    out = []
-    for name in target.columns:
-        in_batch = s[name] if name in source.columns and name not in meta else meta.get(name, F.lit(None))
-        if name == "_processed_at":
-            in_table = F.when(s.isNull(), t[name]).otherwise(at)
-        elif name in update_cols:
-            in_table = F.when(s.isNull(), t[name]).otherwise(in_batch)
-        else:
-            in_table = t[name]
-        value = F.when(t.isNull(), in_batch).otherwise(in_table)
-        out.append(value.cast(target.schema[name].dataType).alias(name))
-    return pair_rows(target, source, keys, small_batch).select(*out)
+    fresh = _inserted(target, source)
+    pairs = pair_rows(target, source, keys, small_batch).select("_t", "_s", instant(processing_time).alias("_at"))
+    taken = set(update_cols) | {"_processed_at"}
+    return pairs.selectExpr(*[
+        f"IF(_t IS NULL{' OR _s IS NOT NULL' if c in taken else ''}, {fresh[c]}, _t.`{c}`) AS `{c}`"
+        for c in target.columns])
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], processing_time: Instant) -> DataFrame:
     """Batch rows whose key the table lacks, shaped as table rows. A null key part never matches."""
     fresh = source.join(target.select(*keys), keys, "left_anti")
-    meta = load_metadata(processing_time, F.col("_source_file") if "_source_file" in source.columns else None)
-    values = {**{c: F.col(f"`{c}`") for c in source.columns}, **meta}
-    return fresh.select(_row(target, values).alias("_row")).select("_row.*")
+    packed = fresh.select(F.struct(*source.columns).alias("_s"), instant(processing_time).alias("_at"))
+    return packed.selectExpr(*[f"{sql} AS `{c}`" for c, sql in _inserted(target, source).items()])
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, keys: list[str], processing_time: Instant) -> DataFrame:

@@ -11,7 +11,9 @@ from smelter.operators.dedup import dedup_latest, explode_list
 from smelter.operators.merge import as_of, current, scd2_insert_set, with_hash_diff
 from smelter.plans import silver
 from smelter.registry.standins import ntz, table, text
-from smelter.schemas import COMPLIMENTS, OPEN_END, get_schema
+from smelter.schemas import COMPLIMENTS, OPEN_END
+from smelter.session import land
+from smelter.sources.tables import empty_table
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
@@ -136,14 +138,10 @@ def raw_users(spark: SparkSession, sf: str, period: int) -> DataFrame:
         *[(rank + i).alias(name) for i, name in enumerate(COMPLIMENTS)])
 
 
-def empty(spark: SparkSession, entity: str) -> DataFrame:
-    return spark.createDataFrame([], get_schema(entity))
-
-
 def business_versions(spark: SparkSession, sf: str) -> DataFrame:
-    dim = empty(spark, "business")
+    dim = empty_table(spark, "business")
     for period, at in enumerate((T1, T2, T3)):
-        dim = silver.merge_businesses(dim, raw_businesses(spark, sf, period), at)
+        dim = land(silver.merge_businesses(dim, raw_businesses(spark, sf, period), at))
     return dim.drop("hash_diff")
 
 
@@ -152,9 +150,9 @@ def scd2_business(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_user(spark: SparkSession, sf: str) -> DataFrame:
-    dim = empty(spark, "user")
+    dim = empty_table(spark, "user")
     for period, at in enumerate((T1, T2, T3)):
-        dim = silver.merge_users(dim, raw_users(spark, sf, period), at)
+        dim = land(silver.merge_users(dim, raw_users(spark, sf, period), at))
     return ntz(dim.drop("hash_diff"))
 
 
@@ -168,7 +166,7 @@ def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_set(spark: SparkSession, sf: str) -> DataFrame:
-    dim = silver.merge_businesses(empty(spark, "business"), raw_businesses(spark, sf, 0), T1)
+    dim = land(silver.merge_businesses(empty_table(spark, "business"), raw_businesses(spark, sf, 0), T1))
     stage, _ = silver.stage_businesses(raw_businesses(spark, sf, 1))
     return scd2_insert_set(dim, stage, "business_id").select("business_id", "city", "stars")
 
@@ -201,7 +199,7 @@ def raw_reviews(spark: SparkSession, sf: str, batch: int) -> DataFrame:
 
 
 def merge_scd1(spark: SparkSession, sf: str) -> DataFrame:
-    out = silver.merge_reviews(empty(spark, "review"), raw_reviews(spark, sf, 0), T1)
+    out = land(silver.merge_reviews(empty_table(spark, "review"), raw_reviews(spark, sf, 0), T1))
     return ntz(silver.merge_reviews(out, raw_reviews(spark, sf, 1), T2))
 
 
@@ -215,13 +213,13 @@ def raw_tips(spark: SparkSession, sf: str, batch: int) -> DataFrame:
 
 
 def merge_scd1_multi(spark: SparkSession, sf: str) -> DataFrame:
-    out = silver.merge_tips(empty(spark, "tip"), raw_tips(spark, sf, 0), T1)
+    out = land(silver.merge_tips(empty_table(spark, "tip"), raw_tips(spark, sf, 0), T1))
     return ntz(silver.merge_tips(out, raw_tips(spark, sf, 1), T2))
 
 
 def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_checkins(spark, sf)
-    out = silver.merge_checkins(empty(spark, "checkin"), raw.where("ts < '2024-01-20'").drop("ts"), T1)
+    out = land(silver.merge_checkins(empty_table(spark, "checkin"), raw.where("ts < '2024-01-20'").drop("ts"), T1))
     return ntz(silver.merge_checkins(out, raw.where("ts >= '2024-01-10'").drop("ts"), T2))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     # Instants are compared and printed in UTC; a local zone is applied only where an operator says so.
@@ -51,3 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="smelter-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def land(df: DataFrame) -> DataFrame:
+    """Write a DataFrame once to the checkpoint folder and go on from there.
+
+    Chained merges read their table more than once; landing each batch, as a table would, keeps the
+    plan of the next one small. The copy survives the loss of executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
