@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # only syntax that Java and RE2 share. Names, street addresses and birth dates cannot be told reliably
 # by a pattern; treat those counts as hints.
 INFO_TYPES = {
-    "PERSON_NAME": ("possible", r"\b[A-Z][a-z]+ [A-Z][a-z]+\b"),
+    "PERSON_NAME": ("possible", r"(?:^|[^\p{L}])[A-Z][a-z]+ [A-Z][a-z]+"),
     "EMAIL_ADDRESS": ("likely", r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"),
     "PHONE_NUMBER": ("likely", r"\(?\d{3}\)?[\s.-]?\d{3}[\s.-]?\d{4}"),
     "STREET_ADDRESS": ("possible", r"\b\d{1,5} [A-Z][a-z]+ (?:St|Street|Ave|Avenue|Rd|Road|Blvd|Lane|Ln|Drive|Dr)\b"),
