@@ -31,9 +31,8 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
     The count per key combines map-side, so a hot key costs one row per map task.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (counts.join(F.broadcast(total))  # one row, by construction
-            .where((F.col("_n") >= F.col("_total") * share) & (F.col("_n") > 1)).select(key))
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    return counts.where((F.col("_n") >= total * share) & (F.col("_n") > 1)).select(key)
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str = "inner",
