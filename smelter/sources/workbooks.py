@@ -1,0 +1,144 @@
+"""Spreadsheets to parquet.
+
+A workbook is one small zip file (a sheet has at most 1,048,576 rows by format), so one file is one
+unit of work; a folder of them is spread over the cluster.
+"""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from collections.abc import Iterator
+from datetime import datetime, timedelta
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from smelter.functions.casts import instant
+
+_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+# Number formats of the file format that mean a date or time.
+_DATE_FORMATS = set(range(14, 23)) | set(range(45, 48))
+_EPOCH = datetime(1899, 12, 30)
+CELL_DDL = "source_file string, row_no bigint, column_no int, header string, kind string, value string"
+
+
+def _texts(archive: zipfile.ZipFile, name: str) -> list[str]:
+    if name not in archive.namelist():
+        return []
+    root = ElementTree.fromstring(archive.read(name))
+    return ["".join(t.text or "" for t in item.iterfind(".//m:t", _NS)) for item in root.iterfind("m:si", _NS)]
+
+
+def _date_styles(archive: zipfile.ZipFile) -> set[int]:
+    if "xl/styles.xml" not in archive.namelist():
+        return set()
+    root = ElementTree.fromstring(archive.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")) for f in root.iterfind("m:numFmts/m:numFmt", _NS)
+           if re.search(r"[ymdhs]", re.sub(r'"[^"]*"|\[[^\]]*\]', "", f.get("formatCode", "")).lower())}
+    dates = _DATE_FORMATS | own
+    return {i for i, xf in enumerate(root.iterfind("m:cellXfs/m:xf", _NS)) if int(xf.get("numFmtId", 0)) in dates}
+
+
+def _first_sheet(archive: zipfile.ZipFile) -> str:
+    book = ElementTree.fromstring(archive.read("xl/workbook.xml"))
+    wanted = book.find("m:sheets/m:sheet", _NS).get(_REL)
+    for rel in ElementTree.fromstring(archive.read("xl/_rels/workbook.xml.rels")):
+        if rel.get("Id") == wanted:
+            target = rel.get("Target").lstrip("/")
+            return target if target.startswith("xl/") else f"xl/{target}"
+    raise ValueError("workbook without a sheet")
+
+
+def _column(reference: str) -> int:
+    number = 0
+    for ch in re.match(r"[A-Z]+", reference).group():
+        number = number * 26 + ord(ch) - 64
+    return number - 1
+
+
+def read_cells(content: bytes) -> Iterator[tuple[int, int, str, str, str]]:
+    """Cells ``(row, column, header, kind, value)`` of the first sheet; the first row holds the headers."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        shared, dates, headers = _texts(archive, "xl/sharedStrings.xml"), _date_styles(archive), None
+        with archive.open(_first_sheet(archive)) as sheet:
+            for _, row in ElementTree.iterparse(sheet):
+                if not row.tag.endswith("}row"):
+                    continue
+                cells = {}
+                for cell in row.iterfind("m:c", _NS):
+                    at = _column(cell.get("r"))
+                    raw, kind = cell.findtext("m:v", None, _NS), cell.get("t", "n")
+                    if kind == "inlineStr":
+                        cells[at] = ("string", "".join(t.text or "" for t in cell.iterfind(".//m:t", _NS)))
+                    elif raw is None or kind == "e":
+                        continue
+                    elif kind == "s":
+                        cells[at] = ("string", shared[int(raw)])
+                    elif kind == "b":
+                        cells[at] = ("boolean", "true" if raw == "1" else "false")
+                    elif kind == "n" and int(cell.get("s", -1)) in dates:
+                        cells[at] = ("timestamp", str(_EPOCH + timedelta(days=float(raw))))
+                    elif kind == "n":
+                        cells[at] = ("double", raw)
+                    else:
+                        cells[at] = ("string", raw)
+                if headers is None:
+                    headers = {at: value for at, (_, value) in cells.items()}
+                else:
+                    number = int(row.get("r", 0))
+                    for at, (kind, value) in cells.items():
+                        yield number, at, headers.get(at, f"column_{at + 1}"), kind, value
+                row.clear()
+
+
+def _cells_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["row_no", "column_no", "header", "kind", "value"]
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            cells = pd.DataFrame(list(read_cells(content)), columns=names)
+            cells.insert(0, "source_file", path)
+            yield cells
+
+
+def workbook_cells(spark: SparkSession, glob: str) -> DataFrame:
+    """All cells of all matching workbooks, one row each."""
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    return files.repartition("path").mapInPandas(_cells_of, CELL_DDL)
+
+
+def load_workbooks(spark: SparkSession, glob: str, processing_time: datetime | str, target: str | None = None,
+                   columns: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Rows of all workbooks under one schema, with ``_source_file`` and ``_processed_at``.
+
+    The columns are the union of the headers, in order of position; one whose cells differ in kind is
+    text. ``columns`` (name, type) skips that pass over the files. ``target`` replaces a parquet table.
+    """
+    cells = workbook_cells(spark, glob)
+    if columns is None:
+        kinds = cells.groupBy("header").agg(F.min("column_no").alias("at"), F.min("kind").alias("a"), F.max("kind").alias("b"))
+        # one row per distinct header
+        columns = [(r["header"], r["a"] if r["a"] == r["b"] else "string") for r in kinds.orderBy("at", "header").collect()]
+    wide = cells.groupBy("source_file", "row_no").agg(*[
+        F.max(F.when(F.col("header") == name, F.col("value"))).try_cast(kind).alias(name) for name, kind in columns])
+    out = wide.select(*[F.col(f"`{name}`") for name, _ in columns], F.col("source_file").alias("_source_file"),
+                      instant(processing_time).alias("_processed_at"))
+    if target is None:
+        return out
+    out.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
+def archive_workbooks(spark: SparkSession, glob: str, root: str, dt: str) -> int:
+    """Keep the workbooks' bytes as rows ``(path, content)`` under ``raw/dt=<dt>/``; returns how many.
+
+    Each task stores its own files, so no content passes the driver.
+    """
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    files.withColumn("dt", F.lit(dt)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "dt").parquet(f"{root}/raw")
+    return spark.read.parquet(f"{root}/raw").where(F.col("dt").cast("string") == dt).count()
