@@ -14,8 +14,11 @@ ANONYMOUS = "Anonymous"
 
 
 def mask_text(c: Column) -> Column:
-    """Replace every e-mail address, then every phone number."""
-    no_email = F.regexp_replace(c, EMAIL_PATTERN, EMAIL_MASK)
+    """Replace every e-mail address, then every phone number.
+
+    The e-mail pattern retries at each character of each word, so texts without an ``@`` skip it.
+    """
+    no_email = F.when(c.contains("@"), F.regexp_replace(c, EMAIL_PATTERN, EMAIL_MASK)).otherwise(c)
     return F.regexp_replace(no_email, PHONE_PATTERN, PHONE_MASK)
 
 

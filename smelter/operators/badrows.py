@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smelter.session import spread
+
 EMPTY = "Empty line"
 NOT_OBJECT = "Expected JSON object"
 BAD_JSON = "JSON parse error"
@@ -17,12 +19,14 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> D
     """Add ``_parsed`` (struct of ``schema``) and ``_error`` (null for a good line) to text lines.
 
     Unknown fields drop out, absent fields are null. A well-formed line is parsed once; only a line that
-    did not fit is parsed again, to say why.
+    did not fit is parsed again, to say why. The parse is exploded from a one-element array because
+    Catalyst would otherwise copy it into every filter on ``_error`` and parse each line twice.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     line = F.trim(F.col(col))
-    parsed = lines.withColumn("_parsed", F.from_json(F.col(col), with_corrupt, options))
+    once = F.explode(F.array(F.from_json(F.col(col), with_corrupt, options)))
+    parsed = spread(lines).select("*", once.alias("_parsed"))
     error = (F.when(line.isNull() | (line == ""), F.lit(EMPTY))
              .when(~line.startswith("{"), F.when(F.try_parse_json(line).isNull(), F.lit(BAD_JSON)).otherwise(F.lit(NOT_OBJECT)))
              .when(F.col(f"_parsed.{_CORRUPT}").isNull(), F.lit(None).cast("string"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.functions.casts import instant
+from smelter.session import spread
 
 # Type changes that lose nothing.
 SAFE_WIDENINGS = {
@@ -42,8 +43,8 @@ def infer_fields(lines: DataFrame, col: str = "value", sample: int | None = None
     if sample is not None:
         lines = lines.limit(sample)
     spark = lines.sparkSession
-    document = lines.select(F.try_parse_json(col).alias("_doc")).where(F.schema_of_variant("_doc").startswith("OBJECT"))
-    exploded = document.lateralJoin(spark.tvf.variant_explode(F.col("_doc").outer()))
+    document = spread(lines).select(F.try_parse_json(col).alias("_doc"))
+    exploded = document.lateralJoin(spark.tvf.variant_explode(F.col("_doc").outer())).where("key IS NOT NULL")  # objects only
     shape = F.schema_of_variant("value")
     kind = (F.when(shape == "BOOLEAN", "boolean").when(shape == "BIGINT", "bigint")
             .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), "double")

@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.session import estimated_bytes
+
 HEAVY_SHARE = 1 / 200
 SALTS = 32
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for a plan. It errs high: unknown selectivity counts as 1."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def broadcast_limit(df: DataFrame) -> int:
     """The session's own limit for broadcasting a side, in bytes (-1 when switched off)."""
     jvm_conf = df.sparkSession._jsparkSession.sessionState().conf()
@@ -36,24 +33,28 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str = "inner",
-                   share: float = HEAVY_SHARE, salts: int = SALTS, salt: bool | None = None) -> DataFrame:
+                   share: float = HEAVY_SHARE, salts: int = SALTS, salt: bool | None = None,
+                   count_on: DataFrame | None = None) -> DataFrame:
     """Join a fact table to a dimension with one row per key.
 
     A dimension within the broadcast limit is left to Catalyst, which broadcasts it: no shuffle, so no
-    skew. A larger one is joined on ``(key, salt)``: fact rows of a heavy key are spread over ``salts``
-    partitions by a hash of ``spread_by``, and the dimension rows of heavy keys (at most ``1/share``
-    of them) are repeated once per salt. All other rows keep salt 0 and are not repeated.
+    skew. For a larger one the heavy keys are looked up first (one column-pruned count of ``count_on``,
+    by default the fact). If there are any, the join runs on ``(key, salt)``: fact rows of a heavy key
+    are spread over ``salts`` partitions by a hash of ``spread_by``, and the dimension rows of the heavy
+    keys (at most ``1/share`` of them) are repeated once per salt. All other rows keep salt 0 and are
+    not repeated.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_dimension supports inner and left joins")
     if salt is None:
         salt = not fits_broadcast(dim)
-    if not salt:
+    # At most 1/share keys by construction, so they fit a constant list.
+    hot = [r[key] for r in heavy_keys(fact if count_on is None else count_on, key, share).collect()] if salt else []
+    if not hot:
         return fact.join(dim, key, how)
-    # The flag table has at most 1/share rows (see heavy_keys), so broadcasting it is bounded.
-    hot = F.broadcast(heavy_keys(fact, key, share).withColumn("_hot", F.lit(True)))
-    salted_fact = fact.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    is_hot = F.col(key).isin(hot)
+    salted_fact = fact.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.withColumn("_salt", F.explode(copies))
     return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")

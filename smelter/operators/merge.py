@@ -44,9 +44,10 @@ def as_of(df: DataFrame, at: Instant) -> DataFrame:
 def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch: bool | None = None) -> DataFrame:
     """Full outer match of table and batch as two struct columns ``_t`` and ``_s`` (null where absent).
 
-    A batch within the broadcast limit never makes a large table shuffle: the table is left-joined to
-    the broadcast batch, and the batch rows that found no partner are added. Otherwise one full outer
-    join shuffles each side once.
+    A full outer join cannot broadcast. So if the batch is within the broadcast limit and the table is
+    not, the table is left-joined to the batch, which Catalyst then broadcasts, and the batch rows that
+    found no partner are added: the table does not shuffle. Otherwise one full outer join shuffles each
+    side once.
     """
     t = table.select(F.struct(*table.columns).alias("_t"), *keys)
     s = batch.select(F.struct(*batch.columns).alias("_s"), *keys)
@@ -54,8 +55,8 @@ def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch:
         small_batch = fits_broadcast(batch) and not fits_broadcast(table)
     if not small_batch:
         return t.join(s, keys, "full_outer").select("_t", "_s")
-    kept = t.join(F.broadcast(s), keys, "left").select("_t", "_s")
-    found = table.select(*keys).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
+    kept = t.join(s, keys, "left").select("_t", "_s")  # Catalyst broadcasts the batch by its own size check
+    found = table.select(*keys).join(batch.select(*keys), keys, "left_semi")
     fresh = s.join(found, keys, "left_anti").select(F.lit(None).cast(t.schema["_t"].dataType).alias("_t"), "_s")
     return kept.unionByName(fresh)
 

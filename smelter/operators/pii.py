@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.session import spread
+
 # The information types, how sure a pattern alone can be, and its pattern. Patterns use
 # only syntax that Java and RE2 share. Names, street addresses and birth dates cannot be told reliably
 # by a pattern; treat those counts as hints.
@@ -19,6 +21,8 @@ INFO_TYPES = {
     "IP_ADDRESS": ("likely", r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b"),
     "URL": ("likely", r"https?://[^\s<>]+"),
 }
+# Text without this literal cannot match, and skips the pattern.
+NEEDS = {"EMAIL_ADDRESS": "@", "US_SOCIAL_SECURITY_NUMBER": "-", "DATE_OF_BIRTH": "-", "IP_ADDRESS": ".", "URL": "://"}
 TOKEN_TAG = "PII_TOKEN"
 
 
@@ -41,6 +45,8 @@ def count_findings(c: Column, info_type: str) -> Column:
         hits = F.when(c.isNotNull(), hits)
     else:
         hits = F.regexp_count(c, F.lit(pattern))
+    if info_type in NEEDS:
+        hits = F.when(c.contains(NEEDS[info_type]), hits)
     return F.coalesce(hits, F.lit(0)).cast("bigint")
 
 
@@ -57,7 +63,7 @@ def inspect_pii(df: DataFrame, cols: list[str], info_types: list[str] | None = N
         if total > sample_rows:
             df = df.sample(fraction=sample_rows / total, seed=7)
     pairs = [(c, t) for c in cols for t in chosen]
-    counted = df.select(*[count_findings(F.col(c), t).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
+    counted = spread(df.select(*cols)).select(*[count_findings(F.col(c), t).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
     sums = counted.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col(f"_{i}") > 0).alias(f"_r{i}") for i in range(len(pairs))],

@@ -17,7 +17,7 @@ from smelter.functions.labels import category_group, user_tier
 from smelter.functions.text import char_length, list_size, non_empty_flag, word_count
 from smelter.operators.joins import join_dimension
 from smelter.operators.merge import current
-from smelter.operators.topk import approx_top, top_values
+from smelter.operators.topk import top_values
 from smelter.schemas import COMPLIMENTS
 
 Instant = datetime | str
@@ -80,21 +80,18 @@ def city_analytics(businesses: DataFrame, reviews: DataFrame, processing_time: I
         F.avg("_mean_stars").alias("avg_review_quality"),
         F.sum("_engagement").alias("total_engagement"),
     ]
-    if not exact:
-        measures.append(approx_top("categories", top_k).alias("top_category_combinations"))
     per_place = (
-        kept.select(*place, "business_id", "is_open", "stars", "review_count", "latitude", "longitude", "categories")
+        kept.select(*place, "business_id", "is_open", "stars", "review_count", "latitude", "longitude")
         .join(quality, "business_id", "left")
         .groupBy(*place).agg(*measures)
         .where(F.col("total_businesses") >= min_businesses)
     )
-    if exact:
-        # state may be null, so the two aggregates meet on a null-safe comparison.
-        best = top_values(kept, place, "categories", top_k, exact=True, out="top_category_combinations")
-        best = best.withColumnsRenamed({"city": "_city", "state": "_state"})
-        per_place = per_place.join(
-            best, (F.col("city") == F.col("_city")) & F.col("state").eqNullSafe(F.col("_state")), "left")
-    return per_place.select(
+    # The categories have an aggregate of their own: beside a distinct count, Spark would keep one sketch
+    # per business. The state may be null, so the two results meet on a null-safe comparison.
+    best = top_values(kept, place, "categories", top_k, exact, out="top_category_combinations")
+    best = best.withColumnsRenamed({"city": "_city", "state": "_state"})
+    return per_place.join(
+        best, (F.col("city") == F.col("_city")) & F.col("state").eqNullSafe(F.col("_state")), "left").select(
         *place, "total_businesses", "open_businesses", "closed_businesses", "closure_rate", "avg_business_stars",
         "total_reviews", "avg_reviews_per_business", "top_category_combinations", "center_latitude",
         "center_longitude", "avg_review_quality", "total_engagement", instant(processing_time).alias("_refreshed_at"))
@@ -170,7 +167,8 @@ def star_features(reviews: DataFrame, businesses: DataFrame, users: DataFrame, a
         F.datediff(local_today(as_of), c("yelping_since")).cast("bigint").alias("user_tenure_days"),
     )
     joined = join_dimension(facts, business, "business_id", spread_by="review_id", salt=salt)
-    joined = join_dimension(joined, user, "user_id", spread_by="review_id", salt=salt)
+    # Hot users are counted on the reviews, not on the join above, which would run twice.
+    joined = join_dimension(joined, user, "user_id", spread_by="review_id", salt=salt, count_on=facts)
     return joined.select(
         "review_id", "label",
         "business_avg_stars", "business_review_count", "business_is_open", "business_category_group",

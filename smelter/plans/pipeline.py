@@ -7,20 +7,23 @@ from __future__ import annotations
 
 import os
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.functions.casts import instant
 from smelter.operators.quality import (
-    BRONZE_KEYS, bronze_key_stats, check_fact_keys, check_null_keys, check_single_active, raise_if_failed,
-    required_columns, run_checks, silver_checks,
+    BRONZE_KEYS, bronze_key_stats, check_fact_keys, check_null_keys, check_single_active, required_columns, run_checks,
+    silver_checks,
 )
+from smelter.operators.merge import current
 from smelter.plans import gold, ml, silver
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES
-from smelter.sources.bronze import available_entities, check_bad_records, read_bronze, split_bronze
+from smelter.sources.bronze import MAX_BAD_RECORDS, available_entities, land_batch, landed_path, read_landed
 from smelter.sources.tables import (
-    apply_insert_only, apply_scd1, apply_scd2, ensure_silver_tables, is_dimension, read_gold, read_silver, write_gold,
+    apply_insert_only, apply_scd1, apply_scd2, ensure_silver_tables, is_dimension, path_exists, read_gold, read_silver,
+    write_gold,
 )
 
 Instant = datetime | str
@@ -31,37 +34,39 @@ class ValidationFailed(ValueError):
     pass
 
 
-def run_bronze(spark: SparkSession, raw: str, dt: str, max_bad_records: int | None = None) -> dict[str, dict[str, int]]:
-    """Look at a raw batch: entities, bad lines, null keys, repeated keys. Only too many bad lines stop it."""
+def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_records: int = MAX_BAD_RECORDS) -> dict[str, dict[str, int]]:
+    """Parse a raw batch into ``landed/`` and report bad lines, null keys and repeated keys per entity.
+
+    Only too many bad lines stop the batch; the rest is for warning. Dead letters stay in ``landed/``.
+    """
     report = {}
     for entity in available_entities(spark, raw):
-        limit = {} if max_bad_records is None else {"limit": max_bad_records}
-        bad = check_bad_records(spark, raw, entity, dt, **limit)
+        bad = land_batch(spark, raw, root, entity, dt, extra=_EXTRA.get(entity), limit=max_bad_records)
         keys, null_cols = BRONZE_KEYS[entity]
-        stats = bronze_key_stats(read_bronze(spark, raw, entity, dt), list(keys), list(null_cols)).first()
+        stats = bronze_key_stats(read_landed(spark, root, entity, dt), list(keys), list(null_cols)).first()
         report[entity] = {"bad_records": bad, "null_rows": stats["total_nulls"], "duplicate_keys": stats["total_duplicates"]}
     return report
 
 
-def _quarantine(df: DataFrame, root: str, kind: str, entity: str, dt: str) -> None:
-    df.write.mode("overwrite").json(os.path.join(root, "quarantine", f"kind={kind}", f"entity={entity}", f"dt={dt}"))
-
+def run_silver(spark: SparkSession, root: str, dt: str, processing_time: Instant, mask_pii: bool = False,
+               entities: tuple[str, ...] = ENTITIES) -> None:
+    """Merge a landed batch into the cleaned tables; rows without a usable key go to ``quarantine/``.
 
-def run_silver(spark: SparkSession, raw: str, root: str, dt: str, processing_time: Instant,
-               mask_pii: bool = False, entities: tuple[str, ...] = ENTITIES) -> None:
-    """Load one raw batch into the cleaned tables; unusable lines and rows go to ``quarantine/``."""
+    ``mask_pii`` also masks the registered columns that are otherwise loaded in the clear: business
+    names and addresses, and friends lists.
+    """
     ensure_silver_tables(spark, root)
     for entity in entities:
-        rows, bad_lines = split_bronze(spark, raw, entity, dt, extra=_EXTRA.get(entity))
-        rows = rows.drop("dt")
-        _quarantine(bad_lines, root, "line", entity, dt)
+        if not path_exists(spark, landed_path(root, entity, dt)):
+            continue
+        rows = read_landed(spark, root, entity, dt, extra=_EXTRA.get(entity))
         if entity == "business":
             stage, bad = silver.stage_businesses(rows, mask_pii=mask_pii)
         elif entity == "user":
             stage, bad = silver.stage_users(rows, mask_pii=mask_pii)
         else:
             stage, bad = getattr(silver, f"stage_{SILVER_TABLES[entity]}")(rows)
-        _quarantine(bad, root, "key", entity, dt)
+        bad.write.mode("overwrite").parquet(os.path.join(root, "quarantine", f"entity={entity}", f"dt={dt}"))
         if is_dimension(entity):
             apply_scd2(spark, root, entity, stage, processing_time, batch=dt)
         elif entity == "checkin":
@@ -72,10 +77,11 @@ def run_silver(spark: SparkSession, raw: str, root: str, dt: str, processing_tim
 
 
 def validate_silver(spark: SparkSession, root: str, processing_time: Instant, entities: tuple[str, ...] = ENTITIES) -> dict[str, dict]:
-    """Check the rows of one batch (those processed at ``processing_time``) and the standing rules; raise on a failure.
+    """Check the rows of one batch (those processed at ``processing_time``); raise on a failure.
 
     The batch is told by its own timestamp, not by a calendar date, so a late run is checked as well;
-    the report says how many rows were seen.
+    the report says how many rows were seen. A key the batch touched has a row of the batch among the
+    current ones, so the history of a dimension is not read for the uniqueness check.
     """
     in_batch = F.col("_processed_at") == instant(processing_time)
     report, problems = {}, []
@@ -83,21 +89,27 @@ def validate_silver(spark: SparkSession, root: str, processing_time: Instant, en
         table, keys = read_silver(spark, root, entity), list(LAYOUT[entity].keys)
         if is_dimension(entity):
             found = check_null_keys(table, keys, in_batch).first().asDict()
-            found["duplicate_keys"] = check_single_active(table, keys[0], in_batch).count()
+            found["duplicate_keys"] = check_single_active(current(table), keys[0], in_batch).count()
         else:
             found = check_fact_keys(table, keys, in_batch).first().asDict()
         report[entity] = found
         problems += [f"{entity}: {found[k]} {k}" for k in ("null_keys", "duplicate_keys") if found[k]]
-        checks = silver_checks(entity, processing_time)
-        if checks:
-            raise_if_failed(run_checks(table, SILVER_TABLES[entity], checks))
-        if entity == "business":
-            raise_if_failed(required_columns(table, SILVER_TABLES[entity], ["business_id", "name", "address", "city"]))
     if problems:
         raise ValidationFailed("; ".join(problems))
     return report
 
 
+def standing_checks(spark: SparkSession, root: str, as_of: Instant) -> DataFrame:
+    """Results of the checks every cleaned table must pass as a whole. Reads whole tables: run it daily, say,
+    rather than per batch; :func:`smelter.operators.quality.raise_if_failed` makes a gate of it."""
+    parts = [required_columns(read_silver(spark, root, "business"), "businesses", ["business_id", "name", "address", "city"])]
+    for entity in ENTITIES:
+        checks = silver_checks(entity, as_of)
+        if checks:
+            parts.append(run_checks(read_silver(spark, root, entity), SILVER_TABLES[entity], checks))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_gold(spark: SparkSession, root: str, as_of: Instant, processing_time: Instant | None = None, min_businesses: int = 5) -> None:
     """Rebuild the four aggregate tables from the cleaned ones."""
     at = processing_time or as_of
@@ -126,8 +138,8 @@ def run_ml(spark: SparkSession, root: str, as_of: Instant, seed: int = 1) -> dic
 
 def run_batch(spark: SparkSession, raw: str, root: str, dt: str, processing_time: Instant) -> dict:
     """One batch through all layers but the models. The aggregates are rebuilt only if validation passes."""
-    report = {"bronze": run_bronze(spark, raw, dt)}
-    run_silver(spark, raw, root, dt, processing_time)
+    report = {"bronze": run_bronze(spark, raw, root, dt)}
+    run_silver(spark, root, dt, processing_time)
     report["silver"] = validate_silver(spark, root, processing_time)
     run_gold(spark, root, processing_time)
     return report

@@ -12,7 +12,7 @@ from smelter.operators.merge import as_of, current, scd2_insert_set, with_hash_d
 from smelter.plans import silver
 from smelter.registry.standins import ntz, table, text
 from smelter.schemas import COMPLIMENTS, OPEN_END
-from smelter.session import land
+from smelter.session import land, spread
 from smelter.sources.tables import empty_table
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -21,7 +21,7 @@ T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 # ---- text and masks ----------------------------------------------------------------------------
 
 def pii_mask_text(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", tx.mask_text(F.col("text")).alias("text"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", tx.mask_text(F.col("text")).alias("text"))
 
 
 def text_enrich(spark: SparkSession, sf: str) -> DataFrame:

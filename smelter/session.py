@@ -40,6 +40,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SPREAD_BELOW = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input of at most 1 GiB over the cores before work that is heavy on the processor.
+
+    Such an input is a few files or row groups, so it would keep a few cores busy; moving it costs
+    little. A larger input already comes in many splits and passes through untouched.
+    """
+    if estimated_bytes(df) > SPREAD_BELOW or df.isStreaming:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate for a plan. It errs high: unknown selectivity counts as 1."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a scratch folder only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

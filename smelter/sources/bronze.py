@@ -70,9 +70,41 @@ def split_bronze(spark: SparkSession, root: str, entity: str, dt: str | None = N
                  extra: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad lines with the reason, file and partition."""
     schema = infer_schema(spark, root, entity) if infer else bronze_schema(entity)
-    if extra:
-        schema = T.StructType(schema.fields + T.StructType.fromDDL(extra).fields)
-    return split_bad_records(bronze_lines(spark, root, entity, dt), schema)
+    return split_bad_records(bronze_lines(spark, root, entity, dt), _with_extra(schema, extra))
+
+
+def landed_path(root: str, entity: str, dt: str) -> str:
+    return os.path.join(root, "landed", f"entity={entity}", f"dt={dt}")
+
+
+def land_batch(spark: SparkSession, raw: str, root: str, entity: str, dt: str, extra: str | None = None,
+               limit: int = MAX_BAD_RECORDS) -> int:
+    """Parse a raw batch once and keep it as parquet: good rows under ``bad=false/``, refused lines with the
+    reason under ``bad=true/``. All later steps read those columns instead of the JSON text.
+
+    Returns the number of bad lines, blank ones aside; an error if there are more than ``limit``.
+    """
+    parsed = parse_lines(bronze_lines(spark, raw, entity, dt), _with_extra(bronze_schema(entity), extra))
+    bad = F.col("_error").isNotNull()
+    parsed.select(
+        "_parsed.*", "_source_file", F.when(bad, F.col("value")).alias("_line"), "_error", bad.alias("bad")).drop("_corrupt").write.mode(
+            "overwrite").partitionBy("bad").parquet(landed_path(root, entity, dt))
+    refused = read_landed(spark, root, entity, dt, bad=True).where(F.trim("_line") != "").count()
+    if refused > limit:
+        raise TooManyBadRecords(f"{entity}: {refused} bad records, at most {limit} allowed")
+    return refused
+
+
+def read_landed(spark: SparkSession, root: str, entity: str, dt: str, bad: bool = False, extra: str | None = None) -> DataFrame:
+    """Good rows of a landed batch, or its dead letters as ``(_line, _error, _source_file)``."""
+    schema = _with_extra(bronze_schema(entity), extra)
+    stored = T.StructType(schema.fields + T.StructType.fromDDL("_source_file string, _line string, _error string, bad boolean").fields)
+    rows = spark.read.schema(stored).parquet(landed_path(root, entity, dt)).where(F.col("bad") == bad)
+    return rows.select("_line", "_error", "_source_file") if bad else rows.drop("_line", "_error", "bad")
+
+
+def _with_extra(schema: T.StructType, extra: str | None) -> T.StructType:
+    return T.StructType(schema.fields + T.StructType.fromDDL(extra).fields) if extra else schema
 
 
 def check_bad_records(spark: SparkSession, root: str, entity: str, dt: str | None = None, limit: int = MAX_BAD_RECORDS) -> int:

@@ -90,7 +90,15 @@ def read_silver(spark: SparkSession, root: str, entity: str, months: list[str] |
     return df.select(*[f.name for f in get_schema(entity).fields])
 
 
-def _overwrite_parts(df: DataFrame, path: str, parts: tuple[str, ...], sort_by: tuple[str, ...]) -> None:
+def _overwrite_parts(df: DataFrame, path: str, parts: tuple[str, ...], sort_by: tuple[str, ...], rebalance: bool = True) -> None:
+    """Swap in the partitions that ``df`` has rows for.
+
+    The rows come hashed by key, so each task holds rows of every part. Rebalancing gathers a part's rows
+    into files of the advisory size: a large part is split over tasks, small ones do not leave one file
+    per task.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *parts)
     (df.sortWithinPartitions(*parts, *sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
 
@@ -109,7 +117,8 @@ def apply_scd2(spark: SparkSession, root: str, entity: str, stage: DataFrame, pr
         closed = merged.where(~F.col("is_current")).withColumn("batch", F.lit(batch))
         _overwrite_parts(closed, path, _PART["dimension"], layout.sort_by)
         opened = merged.where("is_current").withColumn("batch", F.lit("current"))
-        _overwrite_parts(opened, path, _PART["dimension"], layout.sort_by)
+        # One part only, already spread evenly by key: no further shuffle.
+        _overwrite_parts(opened, path, _PART["dimension"], layout.sort_by, rebalance=False)
     finally:
         merged.unpersist()
 

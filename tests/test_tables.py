@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import pipeline, silver
-from smelter.sources import demo, tables
+from smelter.sources import bronze, demo, tables
 from tests.test_merge import A, B, T, businesses, reviews
 
 
@@ -60,11 +60,11 @@ def test_dimension_batch_repeated_after_a_crash_between_its_writes(spark, root,
     apply_businesses(spark, root, [A], 0)
     real, calls = tables._overwrite_parts, []
 
-    def dies_second(*args):
+    def dies_second(*args, **kw):
         calls.append(1)
         if len(calls) == 2:
             raise RuntimeError("driver lost")
-        real(*args)
+        real(*args, **kw)
 
     monkeypatch.setattr(tables, "_overwrite_parts", dies_second)
     with pytest.raises(RuntimeError):
@@ -142,10 +142,31 @@ def test_two_demo_batches_through_all_layers(spark, tmp_path):
     assert tags.count() == 2  # the grown column is loaded
     assert tables.read_gold(spark, root, "business_performance").count() == 63  # 32 keys each, one shared
     assert tables.read_gold(spark, root, "ml_features_star_prediction").count() == 160
+    assert pipeline.standing_checks(spark, root, "2026-04-01 06:00:00").where("not passed").count() == 0
     text = tables.read_silver(spark, root, "review").first().text
     assert "[EMAIL]" in text and "[PHONE]" in text
 
 
+def test_batch_with_bad_lines_and_rows_without_key(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    folder = tmp_path / "raw" / "entity=tip" / "dt=2026-03-31"
+    folder.mkdir(parents=True)
+    tip = '{"user_id": "u", "business_id": "b", "date": "%s"}\n'
+    (folder / "t.json").write_text(tip % "2026-03-01" + tip % "soon" + "{bad\n\n" + tip % "2026-03-01")
+    report = pipeline.run_batch(spark, raw, root, "2026-03-31", "2026-03-31 05:00:00")
+    assert report["bronze"] == {"tip": {"bad_records": 1, "null_rows": 0, "duplicate_keys": 1}}
+    assert tables.read_silver(spark, root, "tip").count() == 1
+    assert spark.read.parquet(root + "/quarantine/entity=tip/dt=2026-03-31").first().date == "soon"
+    with pytest.raises(bronze.TooManyBadRecords):
+        pipeline.run_bronze(spark, raw, root, "2026-03-31", max_bad_records=0)
+
+
+def test_month_parts_are_not_one_file_per_task(spark, root):
+    rows = [(f"r{i}", 1.0, "a", f"2024-{i % 3 + 1:02d}-05") for i in range(600)]
+    load_reviews(spark, root, 0, *rows)
+    assert len(snapshot(tables.silver_path(root, "review"))) == 3
+
+
 def test_failed_validation_stops_before_gold(spark, tmp_path, monkeypatch):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     demo.write_demo(spark, raw, "2026-03-31", {"business": 5, "user": 5, "review": 5, "checkin": 5, "tip": 5})
