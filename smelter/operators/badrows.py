@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smelter.session import spread
-
 EMPTY = "Empty line"
 NOT_OBJECT = "Expected JSON object"
 BAD_JSON = "JSON parse error"
@@ -26,7 +24,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> D
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     line = F.trim(F.col(col))
     once = F.explode(F.array(F.from_json(F.col(col), with_corrupt, options)))
-    parsed = spread(lines).select("*", once.alias("_parsed"))
+    parsed = lines.select("*", once.alias("_parsed"))
     error = (F.when(line.isNull() | (line == ""), F.lit(EMPTY))
              .when(~line.startswith("{"), F.when(F.try_parse_json(line).isNull(), F.lit(BAD_JSON)).otherwise(F.lit(NOT_OBJECT)))
              .when(F.col(f"_parsed.{_CORRUPT}").isNull(), F.lit(None).cast("string"))

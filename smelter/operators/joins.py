@@ -32,7 +32,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
     return counts.where((F.col("_n") >= total * share) & (F.col("_n") > 1)).select(key)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str = "inner",
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str | list[str], how: str = "inner",
                    share: float = HEAVY_SHARE, salts: int = SALTS, salt: bool | None = None,
                    count_on: DataFrame | None = None) -> DataFrame:
     """Join a fact table to a dimension with one row per key.
@@ -53,8 +53,9 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, ho
     if not hot:
         return fact.join(dim, key, how)
     is_hot = F.col(key).isin(hot)
+    spread_by = [spread_by] if isinstance(spread_by, str) else spread_by
     salted_fact = fact.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0).cast("int"))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_dim = dim.withColumn("_salt", F.explode(copies))
     return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -11,6 +11,7 @@ from smelter.operators.evolution import evolve_union, infer_fields
 from smelter.operators.flatten import flatten
 from smelter.operators.runlog import failed_runs, parse_log
 from smelter.registry.standins import LOADED, ntz, table, text
+from smelter.session import spread
 from smelter.streaming import weather
 
 
@@ -25,7 +26,7 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dlq_split(spark: SparkSession, sf: str) -> DataFrame:
-    good, bad = split_bad_records(json_lines(spark, sf), T.StructType.fromDDL("k bigint"))
+    good, bad = split_bad_records(spread(json_lines(spark, sf)), T.StructType.fromDDL("k bigint"))
     return good.select("event_id", "k", F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("line")).unionByName(
         bad.select("event_id", F.lit(None).cast("bigint").alias("k"), "error", "line"))
 
@@ -99,7 +100,7 @@ def payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    return weather.weather_payload_to_event(payloads(spark, sf), "2024-05-01 10:00:00.25")
+    return weather.weather_payload_to_event(spread(payloads(spark, sf)), "2024-05-01 10:00:00.25")
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,12 +113,12 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    good, _ = weather.parse_weather(messages(spark, sf))
+    good, _ = weather.parse_weather(spread(messages(spark, sf)))
     return ntz(weather.enrich_weather(good, processing_time=LOADED))
 
 
 def weather_dlq(spark: SparkSession, sf: str) -> DataFrame:
-    return weather.parse_weather(messages(spark, sf))[1]
+    return weather.parse_weather(spread(messages(spark, sf)))[1]
 
 
 QUERIES = {

@@ -145,15 +145,20 @@ def business_versions(spark: SparkSession, sf: str) -> DataFrame:
     return dim.drop("hash_diff")
 
 
+def printable_end(df: DataFrame) -> DataFrame:
+    """``valid_to`` as text: the open end lies beyond what nanosecond clocks of result viewers can hold."""
+    return ntz(df.withColumn("valid_to", F.date_format("valid_to", "yyyy-MM-dd HH:mm:ss")))
+
+
 def scd2_business(spark: SparkSession, sf: str) -> DataFrame:
-    return ntz(business_versions(spark, sf))
+    return printable_end(business_versions(spark, sf))
 
 
 def scd2_user(spark: SparkSession, sf: str) -> DataFrame:
     dim = empty_table(spark, "user")
     for period, at in enumerate((T1, T2, T3)):
         dim = land(silver.merge_users(dim, raw_users(spark, sf, period), at))
-    return ntz(dim.drop("hash_diff"))
+    return printable_end(dim.drop("hash_diff"))
 
 
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +166,7 @@ def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    return ntz(as_of(business_versions(spark, sf), "2024-02-15 00:00:00").select(
+    return printable_end(as_of(business_versions(spark, sf), "2024-02-15 00:00:00").select(
         "business_id", "city", "stars", "valid_from", "valid_to", "is_current"))
 
 
@@ -248,8 +253,8 @@ _VERSIONS = f"""
         SELECT k, v, v // 10 AS size, v % 10 AS digit, batch_ts AS valid_from, lead(batch_ts) OVER (PARTITION BY k ORDER BY batch_ts) AS closed
         FROM step WHERE before IS NULL OR before <> v)
 """
-_VERSION_COLUMNS = f"""closed IS NULL AS is_current, valid_from, coalesce(closed, TIMESTAMP '{OPEN_END}') AS valid_to,
-    valid_from AS _ingested_at, 'bronze_external_table' AS _source_file, CAST(1 AS BIGINT) AS _schema_version,
+_VERSION_COLUMNS = f"""closed IS NULL AS is_current, valid_from,
+    strftime(coalesce(closed, TIMESTAMP '{OPEN_END}'), '%Y-%m-%d %H:%M:%S') AS valid_to, valid_from AS _ingested_at, 'bronze_external_table' AS _source_file, CAST(1 AS BIGINT) AS _schema_version,
     coalesce(closed, valid_from) AS _processed_at"""
 
 _CHECKINS = """
@@ -331,7 +336,7 @@ ORACLE = {
         FROM versions WHERE closed IS NULL""",
     "scd2_as_of": _VERSIONS + f"""
         SELECT CAST(k AS VARCHAR) AS business_id, 'City ' || size AS city, CAST(digit AS DOUBLE) AS stars, valid_from,
-            coalesce(closed, TIMESTAMP '{OPEN_END}') AS valid_to, closed IS NULL AS is_current
+            strftime(coalesce(closed, TIMESTAMP '{OPEN_END}'), '%Y-%m-%d %H:%M:%S') AS valid_to, closed IS NULL AS is_current
         FROM versions WHERE valid_from <= TIMESTAMP '2024-02-15' AND coalesce(closed, TIMESTAMP '{OPEN_END}') > TIMESTAMP '2024-02-15'""",
     "merge_scd1": f"""
         WITH pick AS (SELECT l_orderkey AS k, max(l_shipdate) FILTER (l_shipdate < '2000-01-01') AS d1,

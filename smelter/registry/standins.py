@@ -11,6 +11,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smelter.operators.joins import join_dimension
 from smelter.schemas import COMPLIMENTS
 from smelter.session import tune
 
@@ -62,7 +63,7 @@ def line_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_shipdate")
     order = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority")
-    return line.join(order, "l_orderkey")
+    return join_dimension(line, order, "l_orderkey", spread_by=["l_partkey", "l_suppkey", "l_linenumber"])
 
 
 def supplier_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:

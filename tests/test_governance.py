@@ -170,3 +170,12 @@ def test_run_log(spark):
                                  "dag string, run_id string, state string, start_date timestamp, logical_date timestamp")
     assert [r.run_id for r in runlog.failed_runs(runs, now).collect()] == ["1", "3", "5", "7", "9"]
     assert runlog.failed_runs(runs, now, minutes=60, limit=3).count() == 3 and runlog.failed_runs(runs, now, dag="x").count() == 0
+
+
+def test_peek_and_creation_time(spark, tmp_path):
+    spark.createDataFrame([("x" * 300, 1)], "a string, b int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    count, rows = quality.peek(df)
+    assert count == 1 and rows == [{"a": "x" * 100, "b": 1}]
+    volume = audit.audit_volume({"Bronze": {"t": df}}, with_created=True).first()
+    assert volume.row_count == 1 and volume.created_at is not None
