@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from smelter.session import estimated_bytes
 
 HEAVY_SHARE = 1 / 200
-SALTS = 32
+LEAST_SALTS = 32
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -17,9 +17,12 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(jvm_conf.autoBroadcastJoinThreshold())
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if the plan's estimated size is within the session's broadcast limit."""
-    return 0 <= estimated_bytes(df) <= broadcast_limit(df)
+def fits_broadcast(df: DataFrame, room: int = 1) -> bool:
+    """True if the plan's estimated size, times ``room``, is within the session's broadcast limit.
+
+    The estimate starts from file sizes. Columnar files unpack to several times their size, hence ``room``.
+    """
+    return estimated_bytes(df) * room <= broadcast_limit(df)
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
@@ -33,16 +36,16 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str | list[str], how: str = "inner",
-                   share: float = HEAVY_SHARE, salts: int = SALTS, salt: bool | None = None,
+                   share: float = HEAVY_SHARE, salts: int | None = None, salt: bool | None = None,
                    count_on: DataFrame | None = None) -> DataFrame:
     """Join a fact table to a dimension with one row per key.
 
     A dimension within the broadcast limit is left to Catalyst, which broadcasts it: no shuffle, so no
     skew. For a larger one the heavy keys are looked up first (one column-pruned count of ``count_on``,
     by default the fact). If there are any, the join runs on ``(key, salt)``: fact rows of a heavy key
-    are spread over ``salts`` partitions by a hash of ``spread_by``, and the dimension rows of the heavy
-    keys (at most ``1/share`` of them) are repeated once per salt. All other rows keep salt 0 and are
-    not repeated.
+    are spread over ``salts`` values (by default as many as there are shuffle partitions) by a hash of
+    ``spread_by``, and the dimension rows of the heavy keys (at most ``1/share`` of them) are repeated
+    once per salt. All other rows keep salt 0 and are not repeated.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_dimension supports inner and left joins")
@@ -52,6 +55,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str | l
     hot = [r[key] for r in heavy_keys(fact if count_on is None else count_on, key, share).collect()] if salt else []
     if not hot:
         return fact.join(dim, key, how)
+    salts = salts or max(LEAST_SALTS, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     is_hot = F.col(key).isin(hot)
     spread_by = [spread_by] if isinstance(spread_by, str) else spread_by
     salted_fact = fact.withColumn(

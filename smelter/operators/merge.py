@@ -44,7 +44,7 @@ def as_of(df: DataFrame, at: Instant) -> DataFrame:
 def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch: bool | None = None) -> DataFrame:
     """Full outer match of table and batch as two struct columns ``_t`` and ``_s`` (null where absent).
 
-    A full outer join cannot broadcast. So if the batch is within the broadcast limit and the table is
+    A full outer join cannot broadcast. So if the batch is well within the broadcast limit and the table is
     not, the table is left-joined to the batch, which Catalyst then broadcasts, and the batch rows that
     found no partner are added: the table does not shuffle. Otherwise one full outer join shuffles each
     side once.
@@ -52,7 +52,7 @@ def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch:
     t = table.select(F.struct(*table.columns).alias("_t"), *keys)
     s = batch.select(F.struct(*batch.columns).alias("_s"), *keys)
     if small_batch is None:
-        small_batch = fits_broadcast(batch) and not fits_broadcast(table)
+        small_batch = fits_broadcast(batch, room=8) and not fits_broadcast(table)
     if not small_batch:
         return t.join(s, keys, "full_outer").select("_t", "_s")
     kept = t.join(s, keys, "left").select("_t", "_s")  # Catalyst broadcasts the batch by its own size check
