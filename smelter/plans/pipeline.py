@@ -20,7 +20,8 @@ from smelter.operators.quality import (
 from smelter.operators.merge import current
 from smelter.plans import gold, ml, silver
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES
-from smelter.sources.bronze import MAX_BAD_RECORDS, available_entities, land_batch, landed_path, read_landed
+from smelter.session import tune
+from smelter.sources.bronze import MAX_BAD_RECORDS, available_entities, batch_path, land_batch, landed_path, read_landed
 from smelter.sources.tables import (
     apply_insert_only, apply_scd1, apply_scd2, ensure_silver_tables, is_dimension, path_exists, read_gold, read_silver,
     write_gold,
@@ -40,7 +41,9 @@ def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_record
     Only too many bad lines stop the batch; the rest is for warning. Dead letters stay in ``landed/``.
     """
     report = {}
-    for entity in available_entities(spark, raw):
+    for entity in available_entities(tune(spark), raw):
+        if not path_exists(spark, batch_path(raw, entity, dt)):
+            continue
         bad = land_batch(spark, raw, root, entity, dt, extra=_EXTRA.get(entity), limit=max_bad_records)
         keys, null_cols = BRONZE_KEYS[entity]
         stats = bronze_key_stats(read_landed(spark, root, entity, dt), list(keys), list(null_cols)).first()
@@ -55,7 +58,7 @@ def run_silver(spark: SparkSession, root: str, dt: str, processing_time: Instant
     ``mask_pii`` also masks the registered columns that are otherwise loaded in the clear: business
     names and addresses, and friends lists.
     """
-    ensure_silver_tables(spark, root)
+    ensure_silver_tables(tune(spark), root)
     for entity in entities:
         if not path_exists(spark, landed_path(root, entity, dt)):
             continue
@@ -113,6 +116,7 @@ def standing_checks(spark: SparkSession, root: str, as_of: Instant) -> DataFrame
 def run_gold(spark: SparkSession, root: str, as_of: Instant, processing_time: Instant | None = None, min_businesses: int = 5) -> None:
     """Rebuild the four aggregate tables from the cleaned ones."""
     at = processing_time or as_of
+    tune(spark)
     businesses, users, reviews, tips = (read_silver(spark, root, e) for e in ("business", "user", "review", "tip"))
     write_gold(gold.business_performance(businesses, reviews, tips, at), root, "business_performance")
     write_gold(gold.city_analytics(businesses, reviews, at, min_businesses), root, "city_analytics")

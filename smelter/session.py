@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed partition even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that writes to a few partitions (good rows and dead letters) keeps a file open for each
+    # instead of sorting its rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 

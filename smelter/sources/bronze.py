@@ -43,11 +43,18 @@ def available_entities(spark: SparkSession, root: str, entities: tuple[str, ...]
     return found
 
 
+def batch_path(root: str, entity: str, dt: str) -> str:
+    return os.path.join(entity_path(root, entity), f"dt={dt}")
+
+
 def bronze_lines(spark: SparkSession, root: str, entity: str, dt: str | None = None) -> DataFrame:
-    """Raw text lines with their partition (as text) and file. ``dt`` prunes the other partitions."""
-    lines = spark.read.schema("value string, dt string").option("basePath", entity_path(root, entity)).text(entity_path(root, entity))
-    lines = lines.select("value", "dt", F.col("_metadata.file_path").alias("_source_file"))
-    return lines if dt is None else lines.where(F.col("dt") == dt)
+    """Raw text lines with their partition (as text) and file.
+
+    With ``dt`` only that partition's folder is listed and read, however many batches there are.
+    """
+    path = entity_path(root, entity) if dt is None else batch_path(root, entity, dt)
+    lines = spark.read.schema("value string, dt string").option("basePath", entity_path(root, entity)).text(path)
+    return lines.select("value", "dt", F.col("_metadata.file_path").alias("_source_file"))
 
 
 def infer_schema(spark: SparkSession, root: str, entity: str, sampling: float = 1.0) -> T.StructType:
@@ -119,7 +126,7 @@ def check_bad_records(spark: SparkSession, root: str, entity: str, dt: str | Non
 def write_bronze(df: DataFrame, root: str, entity: str, dt: str | datetime) -> None:
     """Write rows as one batch partition of JSON lines, replacing an earlier try of the same batch."""
     day = dt if isinstance(dt, str) and len(dt) == 10 else run_date(dt)
-    df.write.mode("overwrite").json(os.path.join(entity_path(root, entity), f"dt={day}"))
+    df.write.mode("overwrite").json(batch_path(root, entity, day))
 
 
 def sample_lines(spark: SparkSession, path: str, n: int = 1000) -> DataFrame:

@@ -28,10 +28,18 @@ def test_good_rows_keep_partition_and_file(spark, raw):
     assert rows[0]._source_file.endswith("a.json") and dict(bronze.read_bronze(spark, raw, "checkin").dtypes)["dt"] == "string"
 
 
-def test_partition_filter_reaches_the_scan(spark, raw):
+def test_only_the_batch_folder_is_listed(spark, raw):
     df = bronze.read_bronze(spark, raw, "checkin", "2024-01-02")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan and df.count() == 1
+    assert [f.rsplit("/", 2)[-2:] for f in bronze.bronze_lines(spark, raw, "checkin", "2024-01-02").inputFiles()] == [["dt=2024-01-02", "b.json"]]
+    assert [r.dt for r in df.collect()] == ["2024-01-02"]
+
+
+def test_landing_needs_no_sort(spark, raw, tmp_path):
+    refused = bronze.land_batch(spark, raw, str(tmp_path / "lake"), "checkin", "2024-01-01")
+    assert refused == 3
+    assert bronze.read_landed(spark, str(tmp_path / "lake"), "checkin", "2024-01-01").count() == 1
+    assert bronze.read_landed(spark, str(tmp_path / "lake"), "checkin", "2024-01-01", bad=True).count() == 4
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
 
 
 def test_bad_lines_say_why(spark, raw):
