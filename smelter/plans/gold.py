@@ -53,11 +53,12 @@ def business_performance(businesses: DataFrame, reviews: DataFrame, tips: DataFr
 
 
 def city_analytics(businesses: DataFrame, reviews: DataFrame, processing_time: Instant, min_businesses: int = 5,
-                   top_k: int = 5, exact: bool = False) -> DataFrame:
+                   top_k: int = 5, exact: bool = False, ordered: bool = False) -> DataFrame:
     """Per (city, state) of current businesses: sizes, closures, ratings, centre, engagement, top categories.
 
     ``avg_review_quality`` is the plain mean of the businesses' own means. ``exact`` counts categories
-    exactly instead of by sketch. The result is unordered; sort by ``total_businesses`` when reading.
+    exactly instead of by sketch. ``ordered`` puts the largest places first, for reading; a stored table
+    has no order.
     """
     place = ["city", "state"]
     kept = current(businesses).where(F.col("city").isNotNull())
@@ -90,11 +91,12 @@ def city_analytics(businesses: DataFrame, reviews: DataFrame, processing_time: I
     # per business. The state may be null, so the two results meet on a null-safe comparison.
     best = top_values(kept, place, "categories", top_k, exact, out="top_category_combinations")
     best = best.withColumnsRenamed({"city": "_city", "state": "_state"})
-    return per_place.join(
+    out = per_place.join(
         best, (F.col("city") == F.col("_city")) & F.col("state").eqNullSafe(F.col("_state")), "left").select(
         *place, "total_businesses", "open_businesses", "closed_businesses", "closure_rate", "avg_business_stars",
         "total_reviews", "avg_reviews_per_business", "top_category_combinations", "center_latitude",
         "center_longitude", "avg_review_quality", "total_engagement", instant(processing_time).alias("_refreshed_at"))
+    return out.orderBy(F.desc("total_businesses"), *place) if ordered else out
 
 
 def friend_count(friends: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smelter.functions.casts import coerce
 from smelter.operators.badrows import split_bad_records
 from smelter.operators.evolution import evolve_union, infer_fields
 from smelter.operators.flatten import flatten
@@ -121,7 +122,18 @@ def weather_dlq(spark: SparkSession, sf: str) -> DataFrame:
     return weather.parse_weather(spread(messages(spark, sf)))[1]
 
 
+def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as raw businesses whose numbers are text and whose attributes are nested."""
+    raw = table(spark, sf, "orders").select(
+        text("o_orderkey").alias("business_id"), F.col("o_orderstatus").alias("name"), text("o_totalprice").alias("stars"),
+        F.when(F.col("o_orderstatus") == "P", "many").otherwise(text("o_custkey")).alias("review_count"),
+        F.struct(F.col("o_orderpriority").alias("priority"), F.lit(None).cast("string").alias("none")).alias("attributes"),
+        F.when(F.col("o_orderstatus") == "O", '{"Monday": "9:0-18:0"}').alias("hours"))
+    return ntz(coerce(raw, "business", LOADED))
+
+
 QUERIES = {
+    "coerce_types": coerce_types,
     "dlq_split": dlq_split, "flatten_json": flatten_json, "infer_types": infer_types, "infer_types_strict": infer_types_strict,
     "evolve_union": evolved, "parse_log": parse_log_lines, "failed_runs": failed, "weather_flatten": weather_flatten,
     "weather_enrich": weather_enrich, "weather_dlq": weather_dlq,
@@ -133,6 +145,12 @@ _MESSAGE = """'{"city": "' || event_type || '", "temp_c": ' || CASE event_type W
 _TEMP = "CASE event_type WHEN 'click' THEN floor(value) WHEN 'view' THEN NULL ELSE value END"
 
 ORACLE = {
+    "coerce_types": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS business_id, o_orderstatus AS name, o_totalprice AS stars,
+            CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS review_count,
+            '{{"priority":"' || o_orderpriority || '"}}' AS attributes_json,
+            CASE WHEN o_orderstatus = 'O' THEN '{{"Monday": "9:0-18:0"}}' END AS hours_json,
+            TIMESTAMP '{LOADED}' AS _ingested_at, CAST(1 AS BIGINT) AS _schema_version FROM orders""",
     "dlq_split": """
         WITH l AS (SELECT event_id, event_type, value AS v, CASE
                 WHEN event_type = 'error' THEN left(props, length(props) - 1) WHEN event_type = 'signup' THEN '   '

@@ -77,6 +77,10 @@ def elite_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ml.elite_frame(order_users(spark, sf), AS_OF), "average_stars")
 
 
+def segment_features(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_segments(spark, sf), "avg_stars", "latitude", "longitude")
+
+
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
     return ml.cluster_frame(customer_businesses(spark, sf).withColumn("name", F.col("city")))
 
@@ -98,7 +102,7 @@ def explain(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "standardize": standardize, "one_hot": one_hot, "split_hash": split_hash, "regression_metrics": regression_metrics,
-    "classification_metrics": classification_metrics, "elite_features": elite_features, "star_gbt": star_gbt,
+    "classification_metrics": classification_metrics, "elite_features": elite_features, "segment_features": segment_features, "star_gbt": star_gbt,
     "star_linear": star_linear, "topn_predictions": topn_predictions, "elite_gbt": elite_gbt,
     "elite_logistic": elite_logistic, "clusters": clusters, "cluster_quality": cluster_quality, "explain": explain,
 }
@@ -136,4 +140,9 @@ ORACLE = {
             CAST(CASE WHEN c_acctbal >= 1000 THEN 3 ELSE 0 END AS BIGINT) AS friend_count,
             CAST(DATE '2024-07-01' - first AS INTEGER) AS days_on_platform
         FROM customer JOIN o ON o_custkey = c_custkey""",
+    "segment_features": """
+        SELECT CAST(c_custkey AS VARCHAR) AS business_id, n_name AS name, round(c_acctbal / 2000, 6) AS avg_stars,
+            CAST(floor(c_acctbal) AS BIGINT) AS review_count, CAST(c_acctbal >= 0 AS DOUBLE) AS is_open_float,
+            round(c_acctbal / 100, 6) AS latitude, round(c_acctbal / -50, 6) AS longitude
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 }
