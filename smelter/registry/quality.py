@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smelter.operators import audit, pii, quality
 from smelter.registry.silver import _VERSIONS, business_versions
-from smelter.registry.standins import AS_OF, ntz, table, text
+from smelter.registry.standins import AS_OF, ntz, table
 
 NOW = "2024-01-31 07:30:00"
 

@@ -105,19 +105,19 @@ def checkin_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- versioned dimensions ----------------------------------------------------------------------
 
-def orders_in(spark: SparkSession, sf: str, period: int) -> DataFrame:
-    """Orders of one of three consecutive periods that cover the table. A customer has many or none."""
+def orders_in(spark: SparkSession, sf: str, period: int, through: int | None = None) -> DataFrame:
+    """Orders of one (or several) of three consecutive periods that cover the table. A customer has many or none."""
     bounds = ["1900-01-01", "1997-01-01", "1999-01-01", "9999-01-01"]
     d = F.col("o_orderdate")
-    orders = table(spark, sf, "orders").where((d >= bounds[period]) & (d < bounds[period + 1]))
+    orders = table(spark, sf, "orders").where((d >= bounds[period]) & (d < bounds[(period if through is None else through) + 1]))
     size = F.floor(F.col("o_totalprice") / 100000)
     return orders.select("o_custkey", size.alias("size"), F.substring("o_orderpriority", 1, 1).cast("bigint").alias("digit"))
 
 
-def raw_businesses(spark: SparkSession, sf: str, period: int) -> DataFrame:
+def raw_businesses(spark: SparkSession, sf: str, period: int, through: int | None = None) -> DataFrame:
     """One row per order: the customer as a business, so keys repeat and the merge must deduplicate."""
     null = F.lit(None).cast("string")
-    return orders_in(spark, sf, period).select(
+    return orders_in(spark, sf, period, through).select(
         text("o_custkey").alias("business_id"), F.concat(F.lit("Shop "), text("o_custkey")).alias("name"),
         null.alias("address"), F.concat(F.lit("City "), text("size")).alias("city"), null.alias("state"),
         null.alias("postal_code"), F.col("digit").cast("double").alias("latitude"), F.lit(1.5).alias("longitude"),
@@ -172,7 +172,7 @@ def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 def insert_set(spark: SparkSession, sf: str) -> DataFrame:
     dim = land(silver.merge_businesses(empty_table(spark, "business"), raw_businesses(spark, sf, 0), T1))
-    stage, _ = silver.stage_businesses(raw_businesses(spark, sf, 1))
+    stage, _ = silver.stage_businesses(raw_businesses(spark, sf, 1, through=2))
     return scd2_insert_set(dim, stage, "business_id").select("business_id", "city", "stars")
 
 
@@ -314,9 +314,11 @@ ORACLE = {
         WITH o AS (SELECT o_custkey, o_orderstatus || o_orderpriority AS state, o_orderdate, o_orderkey FROM orders)
         SELECT o_custkey, arg_max(state, (o_orderdate, o_orderkey)) <> arg_min(state, (o_orderdate, o_orderkey)) AS changed
         FROM o GROUP BY 1""",
-    "scd2_insert_set": _VERSIONS + f"""
-        SELECT CAST(k AS VARCHAR) AS business_id, 'City ' || v // 10 AS city, CAST(v % 10 AS DOUBLE) AS stars
-        FROM step WHERE batch_ts = TIMESTAMP '{T2}' AND (before IS NULL OR before <> v)""",
+    "scd2_insert_set": _VERSIONS + f""", two AS (
+            SELECT k, max(v) FILTER (batch_ts = TIMESTAMP '{T1}') AS v0, max(v) FILTER (batch_ts > TIMESTAMP '{T1}') AS v1
+            FROM src GROUP BY 1)
+        SELECT CAST(k AS VARCHAR) AS business_id, 'City ' || v1 // 10 AS city, CAST(v1 % 10 AS DOUBLE) AS stars
+        FROM two WHERE v1 IS NOT NULL AND (v0 IS NULL OR v0 <> v1)""",
     "scd2_business": _VERSIONS + f"""
         SELECT CAST(k AS VARCHAR) AS business_id, 'Shop ' || k AS name, CAST(NULL AS VARCHAR) AS address,
             'City ' || size AS city, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS postal_code,

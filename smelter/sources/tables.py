@@ -107,14 +107,20 @@ def apply_scd2(spark: SparkSession, root: str, entity: str, stage: DataFrame, pr
     """Merge a staged batch into a dimension. Reads and rewrites only the current part.
 
     The history part goes first and is named after the batch, so a run that died between the two
-    writes can be repeated: it writes the same history part again.
+    writes can be repeated. Where the batch has a history part already, that part keeps its rows, except
+    versions that this run closes again or that are still current (left by a run that died).
     """
     layout, path = LAYOUT[entity], silver_path(root, entity)
+    key = layout.keys[0]
     now = read_silver(spark, root, entity).where("is_current")
-    merged = scd2_apply_to_current(now, stage, layout.keys[0], processing_time)
+    merged = scd2_apply_to_current(now, stage, key, processing_time)
     merged = merged.persist(StorageLevel.MEMORY_AND_DISK)  # read by two writes; its sources stay until the second commits
     try:
-        closed = merged.where(~F.col("is_current")).withColumn("batch", F.lit(batch))
+        closed = merged.where(~F.col("is_current"))
+        if path_exists(spark, os.path.join(path, "is_current=false", f"batch={batch}")):
+            earlier = _read_stored(spark, root, entity).where(~F.col("is_current") & (F.col("batch") == batch)).drop("batch")
+            closed = closed.unionByName(earlier.join(merged.select(key, "valid_from"), [key, "valid_from"], "left_anti"))
+        closed = closed.withColumn("batch", F.lit(batch))
         _overwrite_parts(closed, path, _PART["dimension"], layout.sort_by)
         opened = merged.where("is_current").withColumn("batch", F.lit("current"))
         # One part only, already spread evenly by key: no further shuffle.

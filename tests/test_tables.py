@@ -74,6 +74,33 @@ def test_dimension_batch_repeated_after_a_crash_between_its_writes(spark, root,
     assert [(n, c) for _, n, c, *_ in state(spark, root)] == [("A", False), ("B", True)]
 
 
+def test_corrected_batch_keeps_the_versions_its_first_run_closed(spark, root):
+    apply_businesses(spark, root, [A, ("m", "M", 1, 1.0, 0.0)], 0)
+    for i, name in ((1, "B"), (2, "C")):
+        stage, _ = silver.stage_businesses(businesses(spark, ("k", name, 1, 1.0, 0.0)))
+        tables.apply_scd2(spark, root, "business", stage, T[i], batch="same")
+    assert [(n, c, f.day, t.year) for k, n, c, f, t in state(spark, root) if k == "k"] == [
+        ("A", False, 1, 2024), ("B", False, 2, 2024), ("C", True, 3, 9999)]
+
+
+def test_repeat_at_another_time_after_a_crash_leaves_no_double(spark, root, monkeypatch):
+    apply_businesses(spark, root, [A], 0)
+    stage, _ = silver.stage_businesses(businesses(spark, B))
+    real = tables._overwrite_parts
+
+    def only_history(df, path, parts, sort_by, rebalance=True):
+        if not rebalance:
+            raise RuntimeError("driver lost")
+        real(df, path, parts, sort_by)
+
+    monkeypatch.setattr(tables, "_overwrite_parts", only_history)
+    with pytest.raises(RuntimeError):
+        tables.apply_scd2(spark, root, "business", stage, T[1], batch="b1")
+    monkeypatch.setattr(tables, "_overwrite_parts", real)
+    tables.apply_scd2(spark, root, "business", stage, T[2], batch="b1")
+    assert [(n, c, t.day) for _, n, c, _, t in state(spark, root)] == [("A", False, 3), ("B", True, 31)]
+
+
 def load_reviews(spark, root, i, *rows):
     stage, _ = silver.stage_reviews(reviews(spark, *rows))
     return tables.apply_scd1(spark, root, "review", stage, silver.REVIEW_UPDATES, T[i])
