@@ -120,3 +120,44 @@ def uncollected(frames: Iterator) -> Iterator:
     finally:
         if was:
             gc.enable()
+
+
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Weights, and last a constant, of P(y) = 1 / (1 + exp(-(x w + c))) by damped Newton steps.
+
+    Targets are drawn in a little by the size of their class, so that classes which separate leave finite weights.
+    """
+    positive, negative = (y == 1).sum(), (y == 0).sum()
+    target = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
+    design = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    at = np.zeros(design.shape[1])
+
+    def loss(v: np.ndarray) -> float:
+        z = design @ v
+        return float(np.sum(np.logaddexp(0, z) - target * z) + 5e-4 * (v @ v))
+
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(design @ at, -500, 500)))
+        curve = design.T @ (design * (p * (1 - p))[:, None]) + 1e-3 * np.eye(len(at))
+        step = np.linalg.solve(curve, design.T @ (target - p) - 1e-3 * at)
+        damp = 1.0
+        while loss(at + damp * step) > loss(at) and damp > 1e-6:
+            damp /= 2
+        at = at + damp * step
+        if np.abs(damp * step).max() < 1e-8:
+            break
+    return at
+
+
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """labelled_id and y (0 or 1), once per document, of the rows that labels may be learned from."""
+    return (labels.select(F.col("doc_id").cast("long").alias("labelled_id"), F.col(label).cast("int").alias("y"))
+            .where(F.col("labelled_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("labelled_id", 5, 0))
+            .groupBy("labelled_id").agg(F.max("y").alias("y")))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """doc_id, text and y of at most bound labelled documents; the bound is what makes the broadcast of their ids safe."""
+    chosen = F.broadcast(bounded_sample(learnable(labels, label), "labelled_id", bound))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+            .join(chosen, F.col("doc_id") == F.col("labelled_id")).dropDuplicates(["doc_id"]).select("doc_id", "text", "y"))

@@ -5,19 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.llm import line_dedup, pieces
+from smelter.llm import language_ecoc, line_dedup, pieces, quality_nbsvm, toxicity
 from smelter.llm.common import table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_ecoc.identify(docs, language_ecoc.fit(docs))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_nbsvm, op3_sentencepiece, op6_toxicity, op8_language_ecoc, op10_line_dedup)}
 ORACLE = {"op10_line_dedup": line_dedup.DIGEST_SQL}
