@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.llm import language_ecoc, line_dedup, pieces, quality_nbsvm, toxicity
+from smelter.llm import language_ecoc, line_dedup, pieces, quality_nbsvm, simhash_dedup, substring_dedup, toxicity
 from smelter.llm.common import table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,10 +19,18 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.words_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.cluster_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_ecoc.identify(docs, language_ecoc.fit(docs))
@@ -33,5 +41,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_nbsvm, op3_sentencepiece, op6_toxicity, op8_language_ecoc, op10_line_dedup)}
-ORACLE = {"op10_line_dedup": line_dedup.DIGEST_SQL}
+    op1_quality_nbsvm, op3_sentencepiece, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op10_line_dedup)}
+ORACLE = {"op5_substring_dedup": substring_dedup.DIGEST_SQL, "op10_line_dedup": line_dedup.DIGEST_SQL}

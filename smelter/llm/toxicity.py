@@ -124,16 +124,17 @@ def learn(texts: list[str], labels: np.ndarray, *, least: int = 5, odds: float =
     """
     sizes = [max(1, int((labels == y).sum())) for y in (0, 1)]
     words = [WORD.findall(fold(t)) for t in texts]
-    entries = [set().union(*map(_entries, set(w))) for w in words]
     rates = [Counter(), Counter()]
-    for e, y in zip(entries, labels):
+    for w, y in zip(words, labels):
         if y == 1:
-            rates[1].update(e)
+            rates[1].update(set().union(*map(_entries, set(w))))
     frequent = {e for e, n in rates[1].items() if n >= least}
+    rates[1] = Counter({e: rates[1][e] for e in frequent})
+    entries = [frequent & set().union(*map(_entries, set(w))) for w in words]
     around = defaultdict(set)
     for w, e, y in zip(words, entries, labels):
         if y == 0:
-            rates[0].update(e & frequent)
+            rates[0].update(e)
             continue
         padded = ["", *w, ""]
         for k, x in enumerate(w):
