@@ -80,3 +80,14 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
+
+
+def without_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """docs with text cut to what ``drop_repeated_lines`` keeps; n_chars, where there is one, follows. Null texts stay null."""
+    kept = drop_repeated_lines(docs, min_chars=min_chars, min_docs=min_docs)
+    fields = {f.name: f.dataType for f in docs.schema}
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("row.text"))}
+    if "n_chars" in fields:
+        new["n_chars"] = F.when(changed, F.char_length("kept_text").cast(fields["n_chars"])).otherwise(F.col("row.n_chars"))
+    return kept.select(*[(new[n] if n in new else F.col(f"row.`{n}`")).alias(n) for n in docs.columns])

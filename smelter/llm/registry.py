@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.llm import language_ecoc, line_dedup, pieces, quality_nbsvm, simhash_dedup, substring_dedup, toxicity
+from smelter.llm import (
+    decontamination,
+    language_ecoc,
+    line_dedup,
+    pieces,
+    quality_nbsvm,
+    simhash_dedup,
+    substring_dedup,
+    topk_segments,
+    toxicity,
+)
 from smelter.llm.common import table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -15,10 +25,18 @@ def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_topk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_segments.hundredths(table(spark, sf_dir, "embeddings"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.words_digest(table(spark, sf_dir, "documents"))
 
@@ -41,5 +59,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_nbsvm, op3_sentencepiece, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op10_line_dedup)}
-ORACLE = {"op5_substring_dedup": substring_dedup.DIGEST_SQL, "op10_line_dedup": line_dedup.DIGEST_SQL}
+    op1_quality_nbsvm, op2_topk_segments, op3_sentencepiece, op4_decontamination, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op10_line_dedup)}
+ORACLE = {"op2_topk_segments": topk_segments.SEARCH_SQL, "op5_substring_dedup": substring_dedup.DIGEST_SQL, "op10_line_dedup": line_dedup.DIGEST_SQL}

@@ -162,3 +162,21 @@ def cluster(docs: DataFrame, *, width: int = 3, longest: int = LONGEST_LIST) ->
 def cluster_digest(docs: DataFrame) -> DataFrame:
     """doc_id, the fingerprint in 16 hexadecimal digits, component_id."""
     return cluster(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, *, width: int = 3, longest: int = LONGEST_LIST) -> DataFrame:
+    """The rows of docs, all columns, one of each group: that with the smallest doc_id (then by a hash of its text)."""
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in uncollected(batches(frames, 512)):
+            found = np.array([fingerprint(t, width) for t in frame["text"].to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([frame["doc"], frame["th"], pa.array(found.view(np.int64))], names=["doc", "th", "fp"])
+
+    marked = cut(rows.select("doc", "th", F.col("row.text").alias("text")).mapInArrow(run, "doc long, th long, fp long"))
+    prints = marked.groupBy("fp").agg(F.min(F.struct("doc", "th")).alias("first"))
+    groups = components(links(prints.select("fp"), longest))
+    first = (prints.join(groups.withColumnRenamed("a", "fp"), "fp", "left")
+             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first")).select("first.*"))
+    return rows.join(first, ["doc", "th"]).dropDuplicates(["doc", "th"]).select("row.*")
