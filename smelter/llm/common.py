@@ -34,8 +34,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     a key, so that what is found out for one holds for each of them, and no join multiplies them.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(text).alias("th"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                       F.hash(text).alias("th"))
 
 
 def shared_folder(spark: SparkSession) -> str:

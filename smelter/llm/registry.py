@@ -13,6 +13,7 @@ from smelter.llm import (
     quality_nbsvm,
     simhash_dedup,
     substring_dedup,
+    suffix_dedup,
     topk_segments,
     toxicity,
 )
@@ -54,10 +55,15 @@ def op8_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ecoc.identify(docs, language_ecoc.fit(docs))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_duplicated(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_nbsvm, op2_topk_segments, op3_sentencepiece, op4_decontamination, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op10_line_dedup)}
-ORACLE = {"op2_topk_segments": topk_segments.SEARCH_SQL, "op5_substring_dedup": substring_dedup.DIGEST_SQL, "op10_line_dedup": line_dedup.DIGEST_SQL}
+    op1_quality_nbsvm, op2_topk_segments, op3_sentencepiece, op4_decontamination, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op9_suffix_dedup, op10_line_dedup)}
+ORACLE = {"op2_topk_segments": topk_segments.SEARCH_SQL, "op5_substring_dedup": substring_dedup.DIGEST_SQL, "op9_suffix_dedup": suffix_dedup.DIGEST_SQL,
+          "op10_line_dedup": line_dedup.DIGEST_SQL}

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.common import HASH_BASE, OTHER_BASE, batches, cover_runs, keyed, rolling, uncollected, word_hashes
@@ -68,14 +68,14 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
                     if not with_places:
                         hashes = np.unique(hashes)
                         places = hashes
-                    for column, values in zip(out, (hashes.view(np.int64), np.full(len(hashes), doc), np.full(len(hashes), th), places)):
+                    for column, values in zip(out, (hashes.view(np.int64), np.full(len(hashes), doc), np.full(len(hashes), th, dtype=np.int32), places)):
                         column.append(values)
                 if out[0]:
                     columns = [pa.array(np.concatenate(c)) for c in (out if with_places else out[:2])]
                     if with_places:
                         columns[3] = columns[3].cast(pa.int32())
                     yield pa.RecordBatch.from_arrays(columns, names=["h", "doc", "th", "place"][:len(columns)])
-        kinds = "h long, doc long" + ", th long, place int" * with_places
+        kinds = "h long, doc long" + ", th int, place int" * with_places
         return rows.select("text", "doc", "th").mapInArrow(run, kinds)
 
     def windows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +92,7 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
                 hashes = word_hashes(words)
                 for column, values in zip(out, (rolling(hashes, window)[starts].view(np.int64),
                                                 (rolling(hashes, window, OTHER_BASE)[starts] >> np.uint64(32)).astype(np.int64).astype(np.int32),
-                                                np.full(len(starts), doc), np.full(len(starts), th), starts.astype(np.int32))):
+                                                np.full(len(starts), doc), np.full(len(starts), th, dtype=np.int32), starts.astype(np.int32))):
                     column.append(values)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["w1", "w2", "doc", "th", "place"])
@@ -101,7 +101,7 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
               .where("low < high").select("h"))
     found = anchors(True).join(shared, "h").groupBy("doc", "th").agg(F.collect_list("place").alias("places"))
     candidates = (rows.select("doc", "th", "text").join(found, ["doc", "th"]).dropDuplicates(["doc", "th"])
-                  .select("text", "doc", "th", "places").mapInArrow(windows, "w1 long, w2 int, doc long, th long, place int"))
+                  .select("text", "doc", "th", "places").mapInArrow(windows, "w1 long, w2 int, doc long, th int, place int"))
     first = candidates.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     return (candidates.join(first.select("w1", "w2", "first"), ["w1", "w2"]).where("doc > first")
             .groupBy("doc", "th").agg(F.array_sort(F.collect_set("place")).alias("starts")))
@@ -136,12 +136,12 @@ def _answers(window: int, digest: bool):
 
 def remove_duplicated(docs: DataFrame, *, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (kept words joined by one blank) for every row of docs."""
-    return _joined(docs, window=window, period=period, cover=cover).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+    return _joined(docs, window=window, period=period, cover=cover).mapInArrow(
         _answers(window, False), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def words_digest(docs: DataFrame) -> DataFrame:
-    return _joined(docs).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+    return _joined(docs).mapInArrow(
         _answers(WINDOW, True), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
