@@ -52,6 +52,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows without the grouping's partitioning, so that a join with them exchanges both sides and adaptive
+    execution can split a hot key's rows, which it cannot where one side lies as its aggregate left it."""
+    return df.hint("rebalance")
+
+
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     """At most bound rows, by hash of key: the same rows in every run. For fitting only."""
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(bound)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import LAST, batches, cut, uncollected
+from smelter.llm.common import LAST, batches, cut, spread, uncollected
 
 POSITIONS, DISTANCE = 8, 3
 LEAST_SHARED = POSITIONS - DISTANCE
@@ -117,7 +117,7 @@ def links(distinct: DataFrame, longest: int = LONGEST_LIST) -> DataFrame:
     posted = distinct.select("fp", F.explode(_posted(TRIPLES)).alias("p")).select("p.g", "p.k", "fp")
     sizes = posted.groupBy("g", "k").agg(F.count("*").alias("n"))
     short = posted.join(sizes.where(f"n between 2 and {longest}").select("g", "k"), ["g", "k"])
-    long = posted.join(sizes.where(f"n > {longest}").select("g", "k"), ["g", "k"])
+    long = posted.join(spread(sizes.where(f"n > {longest}").select("g", "k")), ["g", "k"])
     fives = [(n, five) for n, t in enumerate(TRIPLES) for five in combinations(range(POSITIONS), LEAST_SHARED) if set(t) <= set(five)]
     options = F.filter(F.array(*[F.struct(F.lit(n).alias("of"), F.lit(100 + m).alias("g"), _posted([five])[0]["k"].alias("k"))
                                  for m, (n, five) in enumerate(fives)]), lambda x: x["of"] == F.col("g"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import HASH_BASE, batches, cover_runs, keyed, rolling, uncollected
+from smelter.llm.common import HASH_BASE, batches, cover_runs, keyed, rolling, spread, uncollected
 from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
@@ -150,6 +150,7 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
 
     shared = (rows.mapInArrow(held, "m long, doc long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
               .where("low < high").select("m"))
+    shared = spread(shared)
     found = rows.mapInArrow(held, "m long, doc long").join(shared, "m").groupBy("doc").agg(F.collect_set("m").alias("shared"))
     places = (rows.join(found, "doc").select("text", "doc", "th", "shared")
               .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th int, at int, n int"))
@@ -161,7 +162,7 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
     size = chosen.select(F.explode("chosen.n").alias("n")).agg(F.sum(F.col("n") + width).alias("size")).first()["size"] or 0
     again = (sorted_in.repartition(max(1, -(-int(size) // shard_bytes)), "m").mapInArrow(sort_shard, "s1 long, s2 long, froms array<int>, tos array<int>"))
     # Whole segments go outside their first document; inside it, the strings that another segment's smaller document has.
-    late = places.join(owned.select("s1", "s2", F.col("o.doc").alias("owner")), ["s1", "s2"])
+    late = places.join(spread(owned.select("s1", "s2", F.col("o.doc").alias("owner"))), ["s1", "s2"])
     whole = late.where("doc > owner").select("doc", "th", F.col("at").alias("low"), (F.col("at") + F.col("n")).alias("high"))
     inner = (late.where("doc = owner").join(again, ["s1", "s2"])
              .select("doc", "th", "at", F.explode(F.arrays_zip("froms", "tos")).alias("r"))

@@ -14,6 +14,7 @@ classes every score is 0.5. Repeated rows are scored each. Empty table: empty re
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -123,7 +124,7 @@ def learn(texts: list[str], labels: np.ndarray, *, least: int = 5, odds: float =
     once. It is kept if the log ratio of its rates in toxic and other documents, less two standard errors, reaches odds.
     """
     sizes = [max(1, int((labels == y).sum())) for y in (0, 1)]
-    words = [WORD.findall(fold(t)) for t in texts]
+    words = [[*map(sys.intern, WORD.findall(fold(t)))] for t in texts]
     rates = [Counter(), Counter()]
     for w, y in zip(words, labels):
         if y == 1:
