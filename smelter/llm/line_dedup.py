@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import LAST
+from smelter.llm.common import LAST, spread
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -43,7 +43,7 @@ def drop_repeated_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int =
     common = (places.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
               .groupBy("h1", "h2").agg(F.count("*").alias("holders"), F.max("doc").alias("keeper"))
               .where(F.col("holders") >= min_docs).select("h1", "h2", "keeper"))
-    dropped = (places.join(common, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    dropped = (places.join(spread(common), ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
                .groupBy("doc", "th").agg(F.array_sort(F.collect_set("pos")).alias("drop")))
     joined = rows.join(dropped, ["doc", "th"], "left")
     lines = F.split("body", "\n", -1)
