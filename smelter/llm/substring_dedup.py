@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import HASH_BASE, OTHER_BASE, batches, cover_runs, keyed, rolling, spread, uncollected, word_hashes
+from smelter.llm.common import HASH_BASE, OTHER_BASE, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected, word_hashes
 
 WINDOW = 50
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)  # every difference modulo 31 is one of two places of the cover
@@ -101,8 +101,7 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
               .where("low < high").select("h"))
     shared = spread(shared)
     found = anchors(True).join(shared, "h").groupBy("doc", "th").agg(F.collect_list("place").alias("places"))
-    candidates = (rows.select("doc", "th", "text").join(found, ["doc", "th"]).dropDuplicates(["doc", "th"])
-                  .select("text", "doc", "th", "places").mapInArrow(windows, "w1 long, w2 int, doc long, th int, place int"))
+    candidates = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "places").mapInArrow(windows, "w1 long, w2 int, doc long, th int, place int"))
     first = candidates.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     return (candidates.join(spread(first.select("w1", "w2", "first")), ["w1", "w2"]).where("doc > first")
             .groupBy("doc", "th").agg(F.array_sort(F.collect_set("place")).alias("starts")))
@@ -122,7 +121,7 @@ def _kept(text: str, starts: list[int] | None, window: int) -> tuple[int, int, b
 
 
 def _joined(docs: DataFrame, **parameters) -> DataFrame:
-    return keyed(docs).join(duplicated_words(docs, **parameters), ["doc", "th"], "left").select("doc_id", "text", "starts")
+    return keyed(docs).join(duplicated_words(docs, **parameters), ["doc", "th"], "left").select(doc_id(), "text", "starts")
 
 
 def _answers(window: int, digest: bool):

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import HASH_BASE, batches, cover_runs, keyed, rolling, spread, uncollected
+from smelter.llm.common import HASH_BASE, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected
 from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
@@ -93,18 +93,18 @@ def _emit(out: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.Rec
 
 def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``."""
-    rows = keyed(docs).select("doc", "th", "text")
+    rows = keyed(docs)
 
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's different minimizers."""
         for frame in uncollected(batches(frames, 256)):
-            out: list[list] = [[], []]
-            for text, doc in zip(frame["text"].to_pylist(), frame["doc"].to_pylist()):
+            out: list[list] = [[], [], []]
+            for text, doc, th in zip(*(frame[c].to_pylist() for c in ("text", "doc", "th"))):
                 low = np.unique(segments(np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8), width, gram)[0])
-                out[0].append(low)
-                out[1].append(np.full(len(low), doc))
+                for column, values in zip(out, (low, np.full(len(low), doc), np.full(len(low), th))):
+                    column.append(values)
             if out[0]:
-                yield _emit(out, ["m", "doc"], [pa.int64(), pa.int64()])
+                yield _emit(out, ["m", "doc", "th"], [pa.int64(), pa.int64(), pa.int32()])
 
     def cut_up(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Segments of shared minimizers by hash and place."""
@@ -148,16 +148,17 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
                     [pa.array(s1[which]), pa.array(s2[which]), pa.array([a.tolist() for a, _ in runs], pa.list_(pa.int32())),
                      pa.array([b.tolist() for _, b in runs], pa.list_(pa.int32()))], names=["s1", "s2", "froms", "tos"])
 
-    shared = (rows.mapInArrow(held, "m long, doc long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared = (rows.mapInArrow(held, "m long, doc long, th int").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
               .where("low < high").select("m"))
     shared = spread(shared)
-    found = rows.mapInArrow(held, "m long, doc long").join(shared, "m").groupBy("doc").agg(F.collect_set("m").alias("shared"))
-    places = (rows.join(found, "doc").select("text", "doc", "th", "shared")
+    found = rows.mapInArrow(held, "m long, doc long, th int").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
+    places = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
               .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th int, at int, n int"))
     owned = places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"))
     chosen = (owned.select("o.doc", "o.th", F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
               .groupBy("doc", "th").agg(F.collect_list("x").alias("chosen")))
-    sorted_in = (rows.join(chosen, ["doc", "th"]).dropDuplicates(["doc", "th"]).select("text", "doc", "chosen")
+    # Repeated rows bring a segment twice, which changes no minimum.
+    sorted_in = (rows.join(chosen, ["doc", "th"]).select("text", "doc", "chosen")
                  .mapInArrow(bodies, "m long, s1 long, s2 long, doc long, body binary"))
     size = chosen.select(F.explode("chosen.n").alias("n")).agg(F.sum(F.col("n") + width).alias("size")).first()["size"] or 0
     again = (sorted_in.repartition(max(1, -(-int(size) // shard_bytes)), "m").mapInArrow(sort_shard, "s1 long, s2 long, froms array<int>, tos array<int>"))
@@ -187,7 +188,7 @@ def remove_duplicated(docs: DataFrame, *, digest: bool = False, width: int = WID
                       queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes; with digest kept_sha256) for every row of docs."""
     runs = duplicated_bytes(docs, width=width, gram=gram, shard_bytes=shard_bytes, queue_bytes=queue_bytes)
-    joined = keyed(docs).select("doc", "th", "text", "doc_id").join(runs, ["doc", "th"], "left").select("doc_id", "text", "lows", "highs")
+    joined = keyed(docs).join(runs, ["doc", "th"], "left").select(doc_id(), "text", "lows", "highs")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in uncollected(batches(frames, 128)):
