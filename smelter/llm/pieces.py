@@ -29,7 +29,7 @@ from smelter.llm.common import batches, uncollected
 
 BLANK = "▁"
 CHUNKS = re.compile(" *[^ \n]+| +|\n")
-REMEMBERED, SHORT, BATCH_ROWS, ROWS_AT_ONCE = 600_000, 32, 512, 4096
+REMEMBERED, SHORT, BATCH_ROWS, ROWS_AT_ONCE = 200_000, 32, 256, 4096
 NONE = np.iinfo(np.int32).max
 
 
