@@ -28,14 +28,15 @@ def parse_log(lines: DataFrame, col: str = "value") -> DataFrame:
         F.col("event").isin(*EVENTS))
 
 
-def failed_runs(runs: DataFrame, as_of: datetime | str, minutes: int = 10, limit: int = 25, dag: str | None = None) -> DataFrame:
-    """The newest failed runs that started in the last ``minutes``, newest first, at most ``limit``.
+def failed_runs(runs: DataFrame, as_of: datetime | str, minutes: int = 10, limit: int | None = None, dag: str | None = None) -> DataFrame:
+    """The newest failed runs that started in the last ``minutes``, newest first; all of them, or the ``limit`` newest.
 
-    ``runs`` has ``dag, run_id, state, start_date, logical_date``. The listing is a top-n report: every
-    task keeps its ``limit`` newest rows.
+    ``runs`` has ``dag, run_id, state, start_date, logical_date``. With a limit every task keeps its
+    newest rows only.
     """
     cutoff = F.timestamp_add("MINUTE", F.lit(-minutes), instant(as_of))
     found = runs.where((F.col("state") == "failed") & (F.col("start_date") >= cutoff))
     if dag is not None:
         found = found.where(F.col("dag") == dag)
-    return found.orderBy(F.desc("logical_date"), "run_id").limit(limit)
+    ordered = found.orderBy(F.desc("logical_date"), "run_id")
+    return ordered if limit is None else ordered.limit(limit)

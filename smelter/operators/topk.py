@@ -32,32 +32,9 @@ def approx_top(col: str, k: int, tracked: int = 10000) -> Column:
     return F.transform(sketch, lambda e: F.struct(e["item"].alias("value"), e["count"].alias("count")))
 
 
-def top_values(df: DataFrame, group_cols: list[str], col: str, k: int = 5, exact: bool = False,
+def top_values(df: DataFrame, group_cols: list[str], col: str, k: int = 5, exact: bool = True,
                out: str = "top_values") -> DataFrame:
     """The ``k`` most frequent values of ``col`` per group, as one array per group."""
     if exact:
         return pack_ranked(value_counts_ranked(df, group_cols, col, k), group_cols, out)
     return df.groupBy(*group_cols).agg(approx_top(col, k).alias(out))
-
-
-def sample_top(df: DataFrame, order: list[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows of a total order. Each task keeps its own ``n`` best rows before the merge, so
-    ``n`` times the number of tasks must be small; for a large ``n`` take :func:`hash_sample`."""
-    return df.orderBy(*order).limit(n)
-
-
-def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer), the same ones on every run: those with the least key hash.
-
-    Hashes are uniform, so a bound that lets about ``2n`` rows through is known from the row count. The
-    merge then sees about ``2n`` rows in all, however many tasks there are.
-    """
-    total = df.count()
-    if total <= n:
-        return df
-    buckets = 1 << 40
-    hashed = df.withColumn("_hash", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    near = hashed.where(F.col("_hash") < int(buckets * min(1.0, 2 * n / total)))
-    if near.count() < n:  # few or often repeated keys
-        near = hashed
-    return near.orderBy("_hash", key).limit(n).drop("_hash")

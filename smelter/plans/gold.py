@@ -53,7 +53,7 @@ def business_performance(businesses: DataFrame, reviews: DataFrame, tips: DataFr
 
 
 def city_analytics(businesses: DataFrame, reviews: DataFrame, processing_time: Instant, min_businesses: int = 5,
-                   top_k: int = 5, exact: bool = False, ordered: bool = False) -> DataFrame:
+                   top_k: int = 5, exact: bool = True, ordered: bool = False) -> DataFrame:
     """Per (city, state) of current businesses: sizes, closures, ratings, centre, engagement, top categories.
 
     ``avg_review_quality`` is the plain mean of the businesses' own means. ``exact`` counts categories

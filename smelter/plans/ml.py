@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from smelter.functions.casts import local_today
 from smelter.functions.text import non_empty_flag
 from smelter.operators.merge import current
-from smelter.operators.topk import hash_sample
 from smelter.plans.gold import friend_count, total_compliments
 from smelter.session import ensure_checkpoint_dir
 
@@ -41,7 +40,6 @@ CLUSTER_NUMERIC = ["avg_stars", "review_count", "is_open_float", "latitude", "lo
 # Training settings.
 MAX_ITERATIONS, MIN_PROGRESS, L2 = 20, 0.001, 0.001
 CLUSTERS, CLUSTER_ITERATIONS = 6, 50
-PREDICTION_ROWS = 10_000
 
 
 # ---- frames ------------------------------------------------------------------------------------
@@ -177,10 +175,9 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 # ---- prediction --------------------------------------------------------------------------------
 
-def predict_stars(model: PipelineModel, features: DataFrame, n: int | None = PREDICTION_ROWS, key: str = "review_id") -> DataFrame:
-    """Actual and predicted rating with the absolute error, for ``n`` reviews chosen by key hash (None: all)."""
-    rows = features if n is None else hash_sample(features, key, n)
-    rows = numbers_as_double(rows, list(dict.fromkeys(STAR_NUMERIC + LINEAR_SCALED)))
+def predict_stars(model: PipelineModel, features: DataFrame, key: str = "review_id") -> DataFrame:
+    """Actual and predicted rating with the absolute error, for every review."""
+    rows = numbers_as_double(features, list(dict.fromkeys(STAR_NUMERIC + LINEAR_SCALED)))
     return model.transform(rows).select(
         key, F.col("label").alias("actual_stars"), F.col("prediction").alias("predicted_stars"),
         F.abs(F.col("label") - F.col("prediction")).alias("prediction_error"))

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.functions.casts import round_int, safe_date, safe_int
+from smelter.functions.casts import round_int, safe_date, safe_int, safe_timestamp
 from smelter.functions.text import char_length, count_char, mask_name, mask_text, word_count
 from smelter.operators.dedup import dedup_latest, explode_list, split_null_keys
 from smelter.operators.flatten import json_text
@@ -65,7 +65,7 @@ def stage_users(raw: DataFrame, mask_pii: bool = False, load_compliments: bool =
     ``load_compliments=False`` leaves the compliment columns null.
     """
     keyed, bad = split_null_keys(_trim_keys(raw, "user_id"), ["user_id"])
-    latest = dedup_latest(keyed, ["user_id"], ["review_count", "yelping_since"])
+    latest = dedup_latest(keyed, ["user_id"], ["review_count", safe_timestamp(F.col("yelping_since")), "yelping_since"])
     hashed = with_hash_diff(latest, list(LAYOUT["user"].tracked))
     extra = [c for c in ("user_loyalty_tier",) if c in raw.columns]
     compliments = [safe_int(F.col(c)).alias(c) for c in COMPLIMENTS if c in raw.columns] if load_compliments else []
@@ -88,7 +88,7 @@ def stage_reviews(raw: DataFrame) -> Staged:
     """Latest row per review: typed, masked, with measures of the unmasked text."""
     keyed, bad = split_null_keys(_trim_keys(raw, "review_id", "user_id", "business_id"),
                                  ["review_id", "user_id", "business_id"])
-    latest = dedup_latest(keyed, ["review_id"], ["date"])
+    latest = dedup_latest(keyed, ["review_id"], [safe_timestamp(F.col("date")), "date"])
     text = F.col("text")
     staged = latest.select(
         "review_id", "user_id", "business_id",
@@ -108,7 +108,7 @@ def stage_tips(raw: DataFrame) -> Staged:
     """Latest row per (user, business, day); a tip without a readable day is quarantined."""
     dated = _trim_keys(raw, "user_id", "business_id").withColumn("_day", safe_date(F.col("date")))
     keyed, bad = split_null_keys(dated, ["user_id", "business_id", "_day"])
-    latest = dedup_latest(keyed, ["user_id", "business_id", "_day"], ["date"])
+    latest = dedup_latest(keyed, ["user_id", "business_id", "_day"], [safe_timestamp(F.col("date")), "date"])
     staged = latest.select(
         "user_id", "business_id", mask_text(F.col("text")).alias("text"), F.col("_day").alias("date"),
         safe_int(F.col("compliment_count")).alias("compliment_count"), *_lineage(latest),

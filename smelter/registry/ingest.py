@@ -191,7 +191,7 @@ ORACLE = {
         SELECT CAST(o_custkey AS VARCHAR) AS dag, o_orderkey AS run_id, 'failed' AS state, o_orderdate AS start_date,
             o_orderdate AS logical_date
         FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2001-07-31 12:00:00' - INTERVAL 90 DAY
-        ORDER BY o_orderdate DESC, o_orderkey LIMIT 25""",
+        ORDER BY o_orderdate DESC, o_orderkey""",
     "weather_flatten": """
         SELECT event_type AS city, value AS temp_c, CASE WHEN event_type <> 'view' THEN 'Rain' END AS condition,
             CAST(user_id AS INTEGER) AS humidity, CASE WHEN event_type <> 'error' THEN CAST(user_id AS DOUBLE) END AS wind_speed,

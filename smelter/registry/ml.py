@@ -50,7 +50,7 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def star_gbt(spark: SparkSession, sf: str) -> DataFrame:
     features = feature_table(spark, sf)
-    return ml.predict_stars(ml.train_stars(features), features, n=None)
+    return ml.predict_stars(ml.train_stars(features), features)
 
 
 def star_linear(spark: SparkSession, sf: str) -> DataFrame:

@@ -76,10 +76,11 @@ def enrich_weather(df: DataFrame, windy: float = WINDY_ABOVE, processing_time: d
         "temp_f": F.col("temp_c") * 9 / 5 + 32, "is_windy": F.col("wind_speed") > windy, "_processed_at": at})
 
 
-def weather_stream(spark: SparkSession, source: str, max_files: int = 100) -> DataFrame:
+def weather_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
     """Messages that land as text files in a folder. Any streaming frame with a text column ``value`` does
     as well: a message bus whose payload is cast to string needs no other change."""
-    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(source)
+    reader = spark.readStream.format("text")
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).load(source)
 
 
 def once_per_event(messages: DataFrame, delay: str = "1 hour") -> DataFrame:

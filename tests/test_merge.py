@@ -190,3 +190,10 @@ def test_pair_rows_strategies_agree(spark):
     a, b = (merge.pair_rows(table, batch, ["k"], small) for small in (True, False))
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 90
     assert a.where(F.col("_t").isNull()).count() == 40
+
+
+def test_latest_is_by_instant_not_by_text(spark):
+    rows = [("a", 1.0, "morning", "2024-01-01T08:00:00"), ("a", 2.0, "evening", "2024-01-01 20:00:00"),
+            ("b", 1.0, "next day in text", "2024-01-02T01:00:00Z"), ("b", 2.0, "later", "2024-01-01T23:00:00-08:00")]
+    staged, _ = silver.stage_reviews(reviews(spark, *rows))
+    assert {r.review_id: r.text for r in staged.collect()} == {"a": "evening", "b": "later"}

@@ -81,15 +81,6 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", text)
 
 
-def test_hash_sample_is_exact_and_stable(spark):
-    from smelter.operators.topk import hash_sample
-    df = spark.range(20000).select(F.col("id").cast("string").alias("k"))
-    first = hash_sample(df, "k", 500)
-    assert first.count() == 500 and first.exceptAll(hash_sample(df.repartition(7), "k", 500)).count() == 0
-    one_key = spark.range(300).select(F.lit("same").alias("k"), "id")
-    assert hash_sample(one_key, "k", 50).count() == 50 and hash_sample(df.limit(10), "k", 50).count() == 10
-
-
 def test_spread_leaves_tiny_and_huge_inputs_alone(spark):
     from smelter.session import spread
     assert "Repartition" not in spread(spark.range(10))._jdf.queryExecution().optimizedPlan().toString()
