@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,6 +58,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write df as a table in the shared folder and go on from there; computes df once, which a checkpoint does twice."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The same rows without the grouping's partitioning, so that a join with them exchanges both sides and adaptive
     execution can split a hot key's rows, which it cannot where one side lies as its aggregate left it."""
