@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,11 +124,19 @@ def split_runs(positions: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarra
     return cover_runs(p, 1)
 
 
-def batches(frames: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Slices of at most rows rows, so that what a task holds at once stays small with long texts."""
+def batches(frames: Iterator[pa.RecordBatch], rows: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of at most rows rows and, but for a single longer row, size bytes of the first text column, so that what a
+    task holds at once stays small with long texts."""
     for frame in frames:
-        for at in range(0, frame.num_rows, rows):
-            yield frame.slice(at, rows)
+        texts = next((c for c in frame.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)), None)
+        lengths = np.zeros(frame.num_rows) if texts is None else pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(lengths)
+        at = 0
+        while at < frame.num_rows:
+            fits = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, side="right"))
+            stop = max(at + 1, min(at + rows, fits))
+            yield frame.slice(at, stop - at)
+            at = stop
 
 
 def uncollected(frames: Iterator) -> Iterator:

@@ -29,7 +29,7 @@ from smelter.llm.common import batches, uncollected
 
 BLANK = "▁"
 CHUNKS = re.compile(" *[^ \n]+| +|\n")
-REMEMBERED, SHORT, BATCH_ROWS, ROWS_AT_ONCE = 200_000, 32, 256, 4096
+REMEMBERED, SHORT, BATCH_ROWS, BATCH_BYTES, ROWS_AT_ONCE = 200_000, 32, 256, 1 << 20, 4096
 NONE = np.iinfo(np.int32).max
 
 
@@ -217,16 +217,16 @@ def agenda(model_file: str) -> Agenda:
     return _loaded[model_file]
 
 
-def encode_decode(docs: DataFrame, model_file: str, *, check: bool = True, keep_ids: bool = True) -> DataFrame:
-    """doc_id, ids (unless keep_ids is off), n_tokens, ids_sha256, decoded and decoded_sha256 of every row of docs.
+def encode_decode(docs: DataFrame, model_file: str, *, check: bool = True, keep_ids: bool = True, keep_text: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (unless keep_ids is off) and decoded (unless keep_text is) of every row of docs.
 
     model_file must be readable on every executor.
     """
-    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = agenda(model_file)
-        for frame in uncollected(batches(frames, BATCH_ROWS)):
+        for frame in uncollected(batches(frames, BATCH_ROWS, BATCH_BYTES)):
             texts = [t or "" for t in frame.column(1).to_pylist()]
             ids = list(coder.encode_batch(texts, check))
             shas = [hashlib.sha256(",".join(map(coder.decimal.__getitem__, k)).encode()).hexdigest() for k in ids]
@@ -237,12 +237,15 @@ def encode_decode(docs: DataFrame, model_file: str, *, check: bool = True, keep_
                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded])]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)]
-                names += ["ids", "decoded"]
+                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                names.append("ids")
+            if keep_text:
+                columns.append(pa.array(decoded))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, kinds)
 
 
 def piece_digest(docs: DataFrame, model_file: str) -> DataFrame:
-    return encode_decode(docs, model_file, keep_ids=False)
+    return encode_decode(docs, model_file, keep_ids=False, keep_text=False)

@@ -11,7 +11,7 @@ every score is 0.5. Repeated rows are scored each. Empty table: empty result. On
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,7 +59,7 @@ def dual_descent(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray,
     return w, bias
 
 
-def margins(rows: list[np.ndarray], scale: np.ndarray, w: np.ndarray, bias: float) -> np.ndarray:
+def margins(rows: Iterable[np.ndarray], scale: np.ndarray, w: np.ndarray, bias: float) -> np.ndarray:
     return np.array([w[s] @ scale[s] / (float(scale[s] @ scale[s]) ** 0.5 or 1.0) + bias for s in rows])
 
 
@@ -74,7 +74,7 @@ class Scorer:
     shift: float
 
     def probability(self, texts: list[str]) -> np.ndarray:
-        m = margins([indicators(t) for t in texts], self.scale, self.weights, self.bias)
+        m = margins(map(indicators, texts), self.scale, self.weights, self.bias)
         return 1 / (1 + np.exp(-np.clip(self.slope * m + self.shift, -500, 500)))
 
 
