@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.functions.casts import instant
-from smelter.session import spread
 
 # Type changes that lose nothing.
 SAFE_WIDENINGS = {
@@ -30,20 +29,17 @@ class SchemaChanges:
         return all((old, new) in SAFE_WIDENINGS for _, old, new in self.type_changes)
 
 
-def infer_fields(lines: DataFrame, col: str = "value", sample: int | None = None, strict: bool = False) -> DataFrame:
+def infer_fields(lines: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:
     """Rows ``(field, type)`` for the top-level fields of JSON lines.
 
     Types are boolean, bigint, double, json (nested object) or string (text, lists and nulls). Each
-    (field, type) pair is counted once per task before the shuffle, so all lines can be read; ``sample``
-    limits the number of lines.
+    (field, type) pair is counted once per task before the shuffle, so all lines are read.
 
     Where types differ, whole and fractional numbers widen to double and everything else to string.
     ``strict`` ignores string as soon as another type is seen, and turns any other mix into string.
     """
-    if sample is not None:
-        lines = lines.limit(sample)
     spark = lines.sparkSession
-    document = spread(lines).select(F.try_parse_json(col).alias("_doc"))
+    document = lines.select(F.try_parse_json(col).alias("_doc"))
     exploded = document.lateralJoin(spark.tvf.variant_explode(F.col("_doc").outer())).where("key IS NOT NULL")  # objects only
     shape = F.schema_of_variant("value")
     kind = (F.when(shape == "BOOLEAN", "boolean").when(shape == "BIGINT", "bigint")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.session import spread
 
 # The information types, how sure a pattern alone can be, and its pattern. Patterns use
 # only syntax that Java and RE2 share. Names, street addresses and birth dates cannot be told reliably
@@ -50,20 +49,14 @@ def count_findings(c: Column, info_type: str) -> Column:
     return F.coalesce(hits, F.lit(0)).cast("bigint")
 
 
-def inspect_pii(df: DataFrame, cols: list[str], info_types: list[str] | None = None, sample_rows: int | None = None,
-                min_likelihood: str = "likely") -> DataFrame:
+def inspect_pii(df: DataFrame, cols: list[str], info_types: list[str] | None = None, min_likelihood: str = "likely") -> DataFrame:
     """Findings per (column, information type): rows that hold one, occurrences, rows seen.
 
-    Counts only; no text is quoted. Every row is read unless ``sample_rows`` asks for a sample of about
-    that size (which counts the rows first). All counts come from one pass and one aggregate.
+    Counts only; no text is quoted. Every row is read. All counts come from one pass and one aggregate.
     """
     chosen = [t for t in (info_types or INFO_TYPES) if min_likelihood == "possible" or INFO_TYPES[t][0] == "likely"]
-    if sample_rows is not None:
-        total = df.count()
-        if total > sample_rows:
-            df = df.sample(fraction=sample_rows / total, seed=7)
     pairs = [(c, t) for c in cols for t in chosen]
-    counted = spread(df.select(*cols)).select(*[count_findings(F.col(c), t).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
+    counted = df.select(*cols).select(*[count_findings(F.col(c), t).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
     sums = counted.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col(f"_{i}") > 0).alias(f"_r{i}") for i in range(len(pairs))],

@@ -43,23 +43,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SPREAD_BELOW = 1 << 30
-SPREAD_PIECE = 1 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input of 1 MiB to 1 GiB over the cores before work that is heavy on the processor.
-
-    Such an input is a few files or row groups, so it would keep a few cores busy; moving it costs
-    little. A larger input already comes in many splits and passes through untouched, as does a stream.
-    """
-    if df.isStreaming:
-        return df
-    size = estimated_bytes(df)
-    pieces = min(size // SPREAD_PIECE, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(pieces) if size <= SPREAD_BELOW and pieces > 1 else df
-
-
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for a plan. It errs high: unknown selectivity counts as 1."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -21,10 +21,6 @@ PAYLOAD_DDL = ("name string, main struct<temp: double, humidity: int>, weather a
                "wind struct<speed: double>, dt bigint")
 WINDY_ABOVE = 20
 API_SOURCE = "OpenWeatherMap"
-MOCK_SOURCE = "MockData"
-CITIES = ("Philadelphia", "Tampa", "Indianapolis", "Nashville", "Tucson", "New Orleans", "Edmonton", "Santa Barbara",
-          "St. Louis", "Boise")
-CONDITIONS = ("Clear", "Clouds", "Rain", "Thunderstorm")
 
 
 def message_schema() -> T.StructType:
@@ -45,20 +41,6 @@ def weather_payload_to_event(raw: DataFrame, ingested_at: datetime | str, source
         _iso(instant(ingested_at)).alias("ingest_timestamp"), F.lit(source).alias("source"))
 
 
-def mock_weather(spark: SparkSession, n: int, at: datetime | str, seed: int = 1) -> DataFrame:
-    """``n`` made-up messages, the cities in turn; the same seed gives the same messages."""
-    def pick(values: tuple, index: Column) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-    rows = spark.range(n)
-    return rows.select(
-        pick(CITIES, F.col("id") % len(CITIES)).alias("city"), F.round(F.rand(seed) * 25 + 10, 1).alias("temp_c"),
-        pick(CONDITIONS, F.floor(F.rand(seed + 1) * len(CONDITIONS))).alias("condition"),
-        (F.floor(F.rand(seed + 2) * 51) + 30).cast("int").alias("humidity"),
-        F.round(F.rand(seed + 3) * 15, 1).alias("wind_speed"), F.unix_seconds(instant(at)).alias("api_timestamp"),
-        _iso(instant(at)).alias("ingest_timestamp"), F.lit(MOCK_SOURCE).alias("source"))
-
-
 def as_messages(events: DataFrame) -> DataFrame:
     """One JSON text per row, as a producer would publish it."""
     return events.select(F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))

@@ -79,10 +79,3 @@ def test_only_needed_columns_are_read(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(entry.queries()["dq_fact_unique"](spark, SF_DIR))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", text)
-
-
-def test_spread_leaves_tiny_and_huge_inputs_alone(spark):
-    from smelter.session import spread
-    assert "Repartition" not in spread(spark.range(10))._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition" in spread(spark.range(1 << 20))._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition" not in spread(spark.range(1 << 30))._jdf.queryExecution().optimizedPlan().toString()

@@ -1,11 +1,8 @@
-import datetime as dt
-import zipfile
-
 import pytest
 from pyspark.sql import types as T
 
 from smelter.operators.badrows import number_lines, split_bad_records, tag_position
-from smelter.sources import bronze, demo, workbooks
+from smelter.sources import bronze
 
 
 def put(folder, name, *lines):
@@ -101,53 +98,3 @@ def test_write_and_paths(spark, tmp_path):
     assert [r.dt for r in bronze.read_bronze(spark, root, "checkin").collect()] == ["2024-05-07"]
     assert bronze.partition_path("r", "tip", "2024-01-15T01:02:03") == "r/entity=tip/dt=2024-01-15/data_20240115_010203.json"
     assert bronze.sample_lines(spark, bronze.entity_path(root, "checkin"), 1).count() == 1
-
-
-def test_demo_is_repeatable_and_joins(spark):
-    a, b = (demo.demo_batch(spark, "review", 50, seed=3).collect() for _ in range(2))
-    assert a == b
-    sizes = demo.FIRST[1]
-    businesses = {r.business_id for r in demo.demo_batch(spark, "business", sizes["business"], seed=3).collect()}
-    assert len(businesses) == 302 and all(r.business_id in businesses for r in a)
-
-
-def workbook(path, header, *rows):
-    cells = []
-    for n, row in enumerate([header, *rows], 1):
-        cols = []
-        for i, v in enumerate(row):
-            ref = f"{chr(65 + i)}{n}"
-            if v is None:
-                continue
-            if isinstance(v, bool):
-                cols.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
-            elif isinstance(v, str):
-                cols.append(f'<c r="{ref}" t="inlineStr"><is><t>{v}</t></is></c>')
-            elif isinstance(v, dt.date):
-                cols.append(f'<c r="{ref}" s="1"><v>{(v - dt.date(1899, 12, 30)).days}</v></c>')
-            else:
-                cols.append(f'<c r="{ref}"><v>{v}</v></c>')
-        cells.append(f'<row r="{n}">{"".join(cols)}</row>')
-    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{rel}"><sheets><sheet name="s" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-                   f'Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-        z.writestr("xl/styles.xml", f'<styleSheet {ns}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData>{"".join(cells)}</sheetData></worksheet>')
-
-
-def test_workbooks(spark, tmp_path):
-    source = tmp_path / "in"
-    source.mkdir()
-    workbook(source / "a.xlsx", ["id", "name", "day", "ok"], [1, "x", dt.date(2024, 2, 3), True], [2.5, None, None, False])
-    workbook(source / "b.xlsx", ["id", "extra", "name"], [3, "e", 7])
-    out = workbooks.load_workbooks(spark, str(source / "*.xlsx"), "2024-01-01 00:00:00", target=str(tmp_path / "out"))
-    assert dict(out.dtypes) == {"id": "double", "name": "string", "extra": "string", "day": "timestamp", "ok": "boolean",
-                                "_source_file": "string", "_processed_at": "timestamp"}
-    rows = sorted(out.collect(), key=lambda r: r.id)
-    assert [(r.id, r.name, r.ok, r.extra) for r in rows] == [(1.0, "x", True, None), (2.5, None, False, None), (3.0, "7", None, "e")]
-    assert rows[0].day == dt.datetime(2024, 2, 3)
-    assert workbooks.archive_workbooks(spark, str(source / "*.xlsx"), str(tmp_path / "kept"), "2024-01-01") == 2

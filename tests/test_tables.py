@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import pipeline, silver
-from smelter.sources import bronze, demo, tables
+from smelter.sources import bronze, tables
+from tests import raw_batches
 from tests.test_merge import A, B, T, businesses, reviews
 
 
@@ -154,15 +155,15 @@ def test_reset(spark, root):
     assert tables.read_silver(spark, root, "business").count() == 0 and "is_current" in schema.names
 
 
-def test_two_demo_batches_through_all_layers(spark, tmp_path):
+def test_two_batches_through_all_layers(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     small = {"business": 30, "user": 30, "review": 80, "checkin": 20, "tip": 20}
-    demo.write_demo(spark, raw, "2026-03-31", small, seed=1)
-    demo.write_demo(spark, raw, "2026-04-01", small, seed=2)
+    raw_batches.write(raw, "2026-03-31", small, "a")
+    raw_batches.write(raw, "2026-04-01", small, "b")
     reports = [pipeline.run_batch(spark, raw, root, d, f"{d} 05:00:00") for d in ("2026-03-31", "2026-04-01")]
     assert all(r["silver"][e]["duplicate_keys"] == 0 for r in reports for e in r["silver"])
     assert reports[0]["silver"]["review"]["rows_checked"] == 80
-    for entity, key in demo.UPDATED.items():
+    for entity, key in raw_batches.SHARED.items():
         mine = tables.read_silver(spark, root, entity).where(F.col(f"{entity}_id") == key)
         assert sorted(r.is_current for r in mine.collect()) == [False, True]
     tags = tables.read_silver(spark, root, "business").where("data_quality_tag is not null")
@@ -196,7 +197,7 @@ def test_month_parts_are_not_one_file_per_task(spark, root):
 
 def test_failed_validation_stops_before_gold(spark, tmp_path, monkeypatch):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
-    demo.write_demo(spark, raw, "2026-03-31", {"business": 5, "user": 5, "review": 5, "checkin": 5, "tip": 5})
+    raw_batches.write(raw, "2026-03-31", {"business": 5, "user": 5, "review": 5, "checkin": 5, "tip": 5})
     monkeypatch.setattr(pipeline, "check_single_active", lambda df, key, in_batch: df.limit(1))
     with pytest.raises(pipeline.ValidationFailed):
         pipeline.run_batch(spark, raw, root, "2026-03-31", "2026-03-31 05:00:00")
