@@ -226,3 +226,32 @@ def test_pipeline_against_its_parts(spark):
     library = pieces.agenda(MODEL).library
     want = {i: hashlib.sha256(",".join(map(str, library.encode(t))).encode()).hexdigest() for i, t in kept.items()}
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SMALL).collect()} == want
+
+
+def test_repeated_passages_against_brute_force(spark):
+    """Copies with changed words, passages at other places, passages twice in one document, one id with several texts."""
+    random.seed(12)
+    passages = [[f"p{k}w{random.randrange(40)}" for _ in range(random.choice([49, 50, 51, 90, 200]))] for k in range(8)] + [["same"] * 150]
+    texts = []
+    for i in range(60):
+        words = [f"own{i}-{j}" for j in range(random.randrange(70))]
+        for _ in range(random.randrange(4)):
+            part = list(random.choice(passages))
+            if random.random() < 0.5:
+                part[random.randrange(len(part))] = f"new{i}"
+            words += part[random.choice([0, 0, 5]):] + [f"own{i}"] * random.randrange(2)
+        texts.append((random.randrange(45), " ".join(words)))
+    texts += [(50, texts[0][1]), (50, texts[1][1]), (50, texts[1][1])]
+    first = {}
+    for d, t in texts:
+        w = t.split()
+        for p in range(len(w) - 49):
+            key = tuple(w[p:p + 50])
+            first[key] = min(d, first.get(key, d))
+    expected = []
+    for d, t in texts:
+        w = t.split()
+        gone = {q for p in range(len(w) - 49) if first[tuple(w[p:p + 50])] < d for q in range(p, p + 50)}
+        expected.append((d, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    found = substring_dedup.remove_duplicated(spark.createDataFrame(texts, PLAIN)).collect()
+    assert sorted(map(tuple, found)) == sorted(expected) and any(n for _, _, n, _ in expected)
