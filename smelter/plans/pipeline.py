@@ -21,7 +21,7 @@ from smelter.operators.merge import current
 from smelter.plans import gold, ml, silver
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES
 from smelter.session import tune
-from smelter.sources.bronze import MAX_BAD_RECORDS, available_entities, batch_path, land_batch, landed_path, read_landed
+from smelter.sources.bronze import available_entities, batch_path, land_batch, landed_path, read_landed
 from smelter.sources.tables import (
     apply_insert_only, apply_scd1, apply_scd2, ensure_silver_tables, is_dimension, path_exists, read_gold, read_silver,
     write_gold,
@@ -35,7 +35,7 @@ class ValidationFailed(ValueError):
     pass
 
 
-def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_records: int = MAX_BAD_RECORDS) -> dict[str, dict[str, int]]:
+def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_records: int | None = None) -> dict[str, dict[str, int]]:
     """Parse a raw batch into ``landed/`` and report bad lines, null keys and repeated keys per entity.
 
     Only too many bad lines stop the batch; the rest is for warning. Dead letters stay in ``landed/``.

@@ -13,8 +13,6 @@ from smelter.functions.casts import run_date
 from smelter.operators.badrows import parse_lines, split_bad_records
 from smelter.schemas import ENTITIES, bronze_schema
 
-MAX_BAD_RECORDS = 100_000  # fixed value: a batch with more bad lines than this is refused
-
 
 class TooManyBadRecords(ValueError):
     pass
@@ -85,11 +83,11 @@ def landed_path(root: str, entity: str, dt: str) -> str:
 
 
 def land_batch(spark: SparkSession, raw: str, root: str, entity: str, dt: str, extra: str | None = None,
-               limit: int = MAX_BAD_RECORDS) -> int:
+               limit: int | None = None) -> int:
     """Parse a raw batch once and keep it as parquet: good rows under ``bad=false/``, refused lines with the
     reason under ``bad=true/``. All later steps read those columns instead of the JSON text.
 
-    Returns the number of bad lines, blank ones aside; an error if there are more than ``limit``.
+    Returns the number of bad lines, blank ones aside; an error if a ``limit`` is given and there are more.
     """
     parsed = parse_lines(bronze_lines(spark, raw, entity, dt), _with_extra(bronze_schema(entity), extra))
     bad = F.col("_error").isNotNull()
@@ -97,7 +95,7 @@ def land_batch(spark: SparkSession, raw: str, root: str, entity: str, dt: str, e
         "_parsed.*", "_source_file", F.when(bad, F.col("value")).alias("_line"), "_error", bad.alias("bad")).drop("_corrupt").write.mode(
             "overwrite").partitionBy("bad").parquet(landed_path(root, entity, dt))
     refused = read_landed(spark, root, entity, dt, bad=True).where(F.trim("_line") != "").count()
-    if refused > limit:
+    if limit is not None and refused > limit:
         raise TooManyBadRecords(f"{entity}: {refused} bad records, at most {limit} allowed")
     return refused
 
@@ -114,11 +112,11 @@ def _with_extra(schema: T.StructType, extra: str | None) -> T.StructType:
     return T.StructType(schema.fields + T.StructType.fromDDL(extra).fields) if extra else schema
 
 
-def check_bad_records(spark: SparkSession, root: str, entity: str, dt: str | None = None, limit: int = MAX_BAD_RECORDS) -> int:
-    """Number of bad lines, blank ones aside; an error if there are more than ``limit``."""
+def check_bad_records(spark: SparkSession, root: str, entity: str, dt: str | None = None, limit: int | None = None) -> int:
+    """Number of bad lines, blank ones aside; an error if a ``limit`` is given and there are more."""
     parsed = parse_lines(bronze_lines(spark, root, entity, dt), bronze_schema(entity))
     bad = parsed.where(F.col("_error").isNotNull() & (F.trim("value") != "")).count()
-    if bad > limit:
+    if limit is not None and bad > limit:
         raise TooManyBadRecords(f"{entity}: {bad} bad records, at most {limit} allowed")
     return bad
 
