@@ -6,6 +6,9 @@ share. Runs of strings with one minimizer form a segment. Minimizers that one do
 segments one, in its smallest document, is sorted and stands for all. A shard is the segments dealt to it, one after
 another; its suffixes and their common prefixes come from ``external_suffixes``, whose queues go to disk where a shard is
 larger than the memory budget. Suffixes that share width bytes are one string; its smallest document keeps it.
+Where one minimizer has more than ``crowd`` different segments, as at the edge of a passage that many documents hold with
+different text beside it, no task gets them all: their strings are told apart by 128-bit hashes, as segments are, and the
+smallest document of each is taken map-side.
 
 Every byte covered by a string that also starts in a document with a smaller doc_id is removed. Strings are judged on the
 input; none crosses documents. Counts and minima are taken map-side first, so that a passage which a third of all
@@ -32,6 +35,7 @@ from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
 SHARD_BYTES, QUEUE_BYTES = 8 << 20, 64 << 20
+CROWD = 1000
 _BYTE = np.random.default_rng(5).integers(1, 2**63, 256).astype(np.uint64)
 
 
@@ -91,8 +95,9 @@ def _emit(out: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) if c and isinstance(c[0], np.ndarray) else pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
 
-def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
-    """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``."""
+def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Segments of shared minimizers by place; the owner of each different one; what is chosen of each document; the bodies
+    to be sorted, of at most crowd segments a minimizer; and the strings of the other minimizers' segments."""
     rows = keyed(docs)
 
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +136,39 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
                         column.append(v)
             yield _emit(out, ["m", "s1", "s2", "doc", "body"], [pa.int64()] * 4 + [pa.binary()])
 
+    def strings(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of the segments chosen of crowded minimizers, by hash and place inside the segment."""
+        for frame in uncollected(batches(frames, 64)):
+            for text, doc, chosen in zip(*(frame[c].to_pylist() for c in ("text", "doc", "chosen"))):
+                body = text.encode("utf-8", "replace")
+                for x in chosen:
+                    found = [xxhash.xxh128_intdigest(body[a:a + width]) for a in range(x["at"], x["at"] + x["n"])]
+                    yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
+                                 [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
+
+    shared = (rows.mapInArrow(held, "m long, doc long, th int").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+              .where("low < high").select("m"))
+    shared = spread(shared)
+    found = rows.mapInArrow(held, "m long, doc long, th int").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
+    places = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
+              .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th int, at int, n int"))
+    owned = places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"))
+    crowded = spread(owned.groupBy(F.col("o.m").alias("m")).agg(F.count("*").alias("segments")).where(F.col("segments") > crowd).select("m", F.lit(True).alias("crowded")))
+    chosen = (owned.select("o.doc", "o.th", F.col("o.m").alias("m"), F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
+              .join(crowded, "m", "left").groupBy("doc", "th", F.coalesce("crowded", F.lit(False)).alias("crowded")).agg(F.collect_list("x").alias("chosen")))
+    # Repeated rows bring a segment twice, which changes no minimum.
+    sorted_in = (rows.join(chosen.where("not crowded"), ["doc", "th"]).select("text", "doc", "chosen")
+                 .mapInArrow(bodies, "m long, s1 long, s2 long, doc long, body binary"))
+    single = (rows.join(chosen.where("crowded"), ["doc", "th"]).select("text", "doc", "chosen")
+              .mapInArrow(strings, "s1 long, s2 long, doc long, k int, w1 long, w2 long"))
+    return places, owned, chosen, sorted_in, single
+
+
+def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, queue_bytes: int = QUEUE_BYTES,
+                     crowd: int = CROWD) -> DataFrame:
+    """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``."""
+    places, owned, chosen, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd)
+
     def sort_shard(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, owners, s1, s2 = [], [], [], []
         for frame in frames:
@@ -148,20 +186,13 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
                     [pa.array(s1[which]), pa.array(s2[which]), pa.array([a.tolist() for a, _ in runs], pa.list_(pa.int32())),
                      pa.array([b.tolist() for _, b in runs], pa.list_(pa.int32()))], names=["s1", "s2", "froms", "tos"])
 
-    shared = (rows.mapInArrow(held, "m long, doc long, th int").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-              .where("low < high").select("m"))
-    shared = spread(shared)
-    found = rows.mapInArrow(held, "m long, doc long, th int").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
-    places = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
-              .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th int, at int, n int"))
-    owned = places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"))
-    chosen = (owned.select("o.doc", "o.th", F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
-              .groupBy("doc", "th").agg(F.collect_list("x").alias("chosen")))
-    # Repeated rows bring a segment twice, which changes no minimum.
-    sorted_in = (rows.join(chosen, ["doc", "th"]).select("text", "doc", "chosen")
-                 .mapInArrow(bodies, "m long, s1 long, s2 long, doc long, body binary"))
-    size = chosen.select(F.explode("chosen.n").alias("n")).agg(F.sum(F.col("n") + width).alias("size")).first()["size"] or 0
+    size = chosen.where("not crowded").select(F.explode("chosen.n").alias("n")).agg(F.sum(F.col("n") + width).alias("size")).first()["size"] or 0
     again = (sorted_in.repartition(max(1, -(-int(size) // shard_bytes)), "m").mapInArrow(sort_shard, "s1 long, s2 long, froms array<int>, tos array<int>"))
+    firsts = spread(single.groupBy("w1", "w2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("w1", "w2", "low"))
+    # A repeated row brings a string twice: a set.
+    singly = (single.join(firsts, ["w1", "w2"]).where("doc > low").groupBy("s1", "s2").agg(F.collect_set("k").alias("froms"))
+              .select("s1", "s2", "froms", F.transform("froms", lambda k: k + 1).alias("tos")))
+    again = again.unionByName(singly)
     # Whole segments go outside their first document; inside it, the strings that another segment's smaller document has.
     late = places.join(spread(owned.select("s1", "s2", F.col("o.doc").alias("owner"))), ["s1", "s2"])
     whole = late.where("doc > owner").select("doc", "th", F.col("at").alias("low"), (F.col("at") + F.col("n")).alias("high"))
@@ -185,9 +216,9 @@ def _kept(text: str, lows: list[int] | None, highs: list[int] | None, width: int
 
 
 def remove_duplicated(docs: DataFrame, *, digest: bool = False, width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-                      queue_bytes: int = QUEUE_BYTES) -> DataFrame:
+                      queue_bytes: int = QUEUE_BYTES, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes; with digest kept_sha256) for every row of docs."""
-    runs = duplicated_bytes(docs, width=width, gram=gram, shard_bytes=shard_bytes, queue_bytes=queue_bytes)
+    runs = duplicated_bytes(docs, width=width, gram=gram, shard_bytes=shard_bytes, queue_bytes=queue_bytes, crowd=crowd)
     joined = keyed(docs).join(runs, ["doc", "th"], "left").select(doc_id(), "text", "lows", "highs")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
