@@ -6,8 +6,9 @@ within the budget leaves at least one piece untouched, so exact hits of the piec
 every candidate place, and Myers' bit-parallel distance around each decides. Items are taken in blocks of bounded size, each
 of which passes over all documents, so what a task holds does not grow with the benchmark.
 
-Nulls: a null text holds nothing; null item texts, and items shorter than min_chars (which any text might hold by chance),
-are not searched. Repeated rows: each row of docs is answered, repeated items count once. Empty tables: no leaks. Very long
+Items shorter than min_chars, which a part of a longer word might equal by chance, are found exactly and at word borders.
+
+Nulls: a null text holds nothing; null item texts, items without a word and items with a null item_id are not searched. Repeated rows: each row of docs is answered, repeated items count once. Empty tables: no leaks. Very long
 texts: whole, linear in their length. Other columns of docs pass through ``keep_clean`` untouched.
 """
 
@@ -66,10 +67,11 @@ def best_match(pattern: str, masks: dict[str, int], text: str) -> tuple[int, int
 class Matcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], error_share: float):
+    def __init__(self, items: list[tuple[int, str]], error_share: float, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.items = [(i, text, int(len(text) * error_share)) for i, text in items]
+        self.items = [(i, text, 0 if len(text) < min_chars else int(len(text) * error_share)) for i, text in items]
+        self.min_chars = min_chars
         self.masks: list[dict[str, int] | None] = [None] * len(items)
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, budget) in enumerate(self.items):
@@ -102,6 +104,10 @@ class Matcher:
                     continue
                 _, item, budget = self.items[n]
                 start = last + 1 - size - offset
+                if len(item) < self.min_chars:
+                    if (not start or body[start - 1] == " ") and body[last + 1:last + 2] in ("", " "):
+                        best[n] = (0, last + 1)
+                    continue
                 if start in tried.setdefault(n, []):
                     continue
                 tried[n].append(start)
@@ -118,13 +124,13 @@ class Matcher:
 _built: dict[int, Matcher] = {}
 
 
-def item_blocks(items: DataFrame, *, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, *, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """(item_id, plain text) in blocks of at most block_chars characters, or one item; a block at a time is on the driver."""
     block, size = [], 0
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         text = plain(row.text)
-        if len(text) < min_chars:
+        if not text:
             continue
         if block and size + len(text) > block_chars:
             yield block
@@ -135,11 +141,11 @@ def item_blocks(items: DataFrame, *, min_chars: int = MIN_CHARS, block_chars: in
         yield block
 
 
-def _matcher(shared, error_share: float):
+def _matcher(shared, error_share: float, min_chars: int):
     def get() -> Matcher:
         if shared.id not in _built:
             _built.clear()
-            _built[shared.id] = Matcher(shared.value, error_share)
+            _built[shared.id] = Matcher(shared.value, error_share, min_chars)
         return _built[shared.id]
     return get
 
@@ -171,8 +177,8 @@ def leaks(docs: DataFrame, items: DataFrame, *, error_share: float = ERROR_SHARE
     kinds = "doc_id long, item_id long, n_edits long, stop long"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     out = docs.sparkSession.createDataFrame([], kinds)
-    for number, block in enumerate(item_blocks(items, min_chars=min_chars, block_chars=block_chars)):
-        get = _matcher(Block(docs.sparkSession, number, block), error_share)
+    for number, block in enumerate(item_blocks(items, block_chars=block_chars)):
+        get = _matcher(Block(docs.sparkSession, number, block), error_share, min_chars)
 
         def run(frames: Iterator[pa.RecordBatch], get=get) -> Iterator[pa.RecordBatch]:
             matcher = get()
@@ -188,8 +194,8 @@ def leaks(docs: DataFrame, items: DataFrame, *, error_share: float = ERROR_SHARE
 def keep_clean(docs: DataFrame, items: DataFrame, *, error_share: float = ERROR_SHARE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs, all columns, that hold no item."""
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
-    for number, block in enumerate(item_blocks(items, min_chars=min_chars, block_chars=block_chars)):
-        get = _matcher(Block(docs.sparkSession, number, block), error_share)
+    for number, block in enumerate(item_blocks(items, block_chars=block_chars)):
+        get = _matcher(Block(docs.sparkSession, number, block), error_share, min_chars)
 
         rows = rows.where(_cleaner(get)("body"))
     return rows.select("row.*")
