@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm import (
+    conversation_repair,
+    conversation_trie,
     decontamination,
     language_ecoc,
     line_dedup,
@@ -16,6 +18,7 @@ from smelter.llm import (
     suffix_dedup,
     topk_segments,
     toxicity,
+    warc,
 )
 from smelter.llm.common import table
 
@@ -63,7 +66,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records_back(table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_nbsvm, op2_topk_segments, op3_sentencepiece, op4_decontamination, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op9_suffix_dedup, op10_line_dedup)}
+    op1_quality_nbsvm, op2_topk_segments, op3_sentencepiece, op4_decontamination, op5_substring_dedup, op6_toxicity, op7_simhash_dedup, op8_language_ecoc, op9_suffix_dedup, op10_line_dedup,
+    op11_warc, op12_conversation_repair, op13_conversation_trie)}
 ORACLE = {"op2_topk_segments": topk_segments.SEARCH_SQL, "op5_substring_dedup": substring_dedup.DIGEST_SQL, "op9_suffix_dedup": suffix_dedup.DIGEST_SQL,
-          "op10_line_dedup": line_dedup.DIGEST_SQL}
+          "op10_line_dedup": line_dedup.DIGEST_SQL, "op11_warc": warc.PAGES_SQL, "op13_conversation_trie": conversation_trie.TRIE_SQL}
