@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from smelter.functions.casts import instant
 from smelter.functions.hashing import fingerprint
-from smelter.operators.joins import fits_broadcast
 from smelter.schemas import DEFAULT_SOURCE, OPEN_END
 
 Instant = datetime | str
@@ -41,24 +40,15 @@ def as_of(df: DataFrame, at: Instant) -> DataFrame:
 
 # ---- pairing a table with a batch --------------------------------------------------------------
 
-def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str], small_batch: bool | None = None) -> DataFrame:
+def pair_rows(table: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer match of table and batch as two struct columns ``_t`` and ``_s`` (null where absent).
 
-    A full outer join cannot broadcast. So if the batch is well within the broadcast limit and the table is
-    not, the table is left-joined to the batch, which Catalyst then broadcasts, and the batch rows that
-    found no partner are added: the table does not shuffle. Otherwise one full outer join shuffles each
-    side once.
+    One plan whatever the sizes: each side is read and shuffled once. The table is only what the batch can touch
+    (buckets or months, see :mod:`smelter.sources.tables`), so a small batch does not move a large table.
     """
     t = table.select(F.struct(*table.columns).alias("_t"), *keys)
     s = batch.select(F.struct(*batch.columns).alias("_s"), *keys)
-    if small_batch is None:
-        small_batch = fits_broadcast(batch, room=8) and not fits_broadcast(table)
-    if not small_batch:
-        return t.join(s, keys, "full_outer").select("_t", "_s")
-    kept = t.join(s, keys, "left").select("_t", "_s")  # Catalyst broadcasts the batch by its own size check
-    found = table.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    fresh = s.join(found, keys, "left_anti").select(F.lit(None).cast(t.schema["_t"].dataType).alias("_t"), "_s")
-    return kept.unionByName(fresh)
+    return t.join(s, keys, "full_outer").select("_t", "_s")
 
 
 def _typed(sql: str, have, want) -> str:
@@ -92,8 +82,7 @@ def _inserted(table: DataFrame, batch: DataFrame, **extra: str) -> dict[str, str
 
 # ---- SCD-2 -------------------------------------------------------------------------------------
 
-def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing_time: Instant,
-                          small_batch: bool | None = None) -> DataFrame:
+def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing_time: Instant) -> DataFrame:
     """New versions and expired versions that follow from a batch, plus the untouched current rows.
 
     ``now`` holds only current rows. One match classifies every key:
@@ -105,7 +94,7 @@ def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing
     actions = F.expr("""CASE WHEN _t IS NULL THEN array('open')
                              WHEN _s IS NULL OR _t.hash_diff = _s.hash_diff THEN array('keep')
                              ELSE array('close', 'open') END""")
-    pairs = pair_rows(now, stage, [key], small_batch).select(
+    pairs = pair_rows(now, stage, [key]).select(
         "_t", "_s", instant(processing_time).alias("_at"), F.explode(actions).alias("_do"))
     opened = _inserted(now, stage, is_current="true", valid_from="_at", valid_to=f"TIMESTAMP '{OPEN_END}'")
     closed = {"is_current": "_do = 'keep'", "valid_to": "IF(_do = 'close', _at, _t.valid_to)",
@@ -114,12 +103,18 @@ def scd2_apply_to_current(now: DataFrame, stage: DataFrame, key: str, processing
         f"IF(_do = 'open', {opened[c]}, {closed.get(c, f'_t.`{c}`')}) AS `{c}`" for c in now.columns])
 
 
-def scd2_merge(target: DataFrame, stage: DataFrame, key: str, processing_time: Instant,
-               small_batch: bool | None = None) -> DataFrame:
+def scd2_first_versions(table: DataFrame, stage: DataFrame, processing_time: Instant) -> DataFrame:
+    """The rows of a batch as first versions: what the match gives where the table has no current rows."""
+    packed = stage.select(F.struct(*stage.columns).alias("_s"), instant(processing_time).alias("_at"))
+    opened = _inserted(table, stage, is_current="true", valid_from="_at", valid_to=f"TIMESTAMP '{OPEN_END}'")
+    return packed.selectExpr(*[f"{opened[c]} AS `{c}`" for c in table.columns])
+
+
+def scd2_merge(target: DataFrame, stage: DataFrame, key: str, processing_time: Instant) -> DataFrame:
     """The whole table after a batch. History rows bypass the join: only current rows can change."""
     history = target.where(~F.col("is_current"))
     return history.unionByName(
-        scd2_apply_to_current(current(target), stage, key, processing_time, small_batch))
+        scd2_apply_to_current(current(target), stage, key, processing_time))
 
 
 def scd2_insert_set(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
@@ -131,21 +126,25 @@ def scd2_insert_set(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 # ---- SCD-1 and insert-only ---------------------------------------------------------------------
 
 def scd1_merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-               processing_time: Instant, small_batch: bool | None = None) -> DataFrame:
+               processing_time: Instant) -> DataFrame:
     """Update ``update_cols`` of matched rows, insert unmatched rows, leave all else alone."""
     fresh = _inserted(target, source)
-    pairs = pair_rows(target, source, keys, small_batch).select("_t", "_s", instant(processing_time).alias("_at"))
+    pairs = pair_rows(target, source, keys).select("_t", "_s", instant(processing_time).alias("_at"))
     taken = set(update_cols) | {"_processed_at"}
     return pairs.selectExpr(*[
         f"IF(_t IS NULL{' OR _s IS NOT NULL' if c in taken else ''}, {fresh[c]}, _t.`{c}`) AS `{c}`"
         for c in target.columns])
 
 
+def as_new_rows(table: DataFrame, batch: DataFrame, processing_time: Instant) -> DataFrame:
+    """Batch rows shaped as freshly inserted rows of the table."""
+    packed = batch.select(F.struct(*batch.columns).alias("_s"), instant(processing_time).alias("_at"))
+    return packed.selectExpr(*[f"{sql} AS `{c}`" for c, sql in _inserted(table, batch).items()])
+
+
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str], processing_time: Instant) -> DataFrame:
     """Batch rows whose key the table lacks, shaped as table rows. A null key part never matches."""
-    fresh = source.join(target.select(*keys), keys, "left_anti")
-    packed = fresh.select(F.struct(*source.columns).alias("_s"), instant(processing_time).alias("_at"))
-    return packed.selectExpr(*[f"{sql} AS `{c}`" for c, sql in _inserted(target, source).items()])
+    return as_new_rows(target, source.join(target.select(*keys), keys, "left_anti"), processing_time)
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, keys: list[str], processing_time: Instant) -> DataFrame:

@@ -10,10 +10,9 @@ from smelter.functions import text as tx
 from smelter.operators.dedup import dedup_latest, explode_list
 from smelter.operators.merge import as_of, current, scd2_insert_set, with_hash_diff
 from smelter.plans import silver
-from smelter.registry.standins import ntz, table, text
+from smelter.registry.standins import lake, ntz, table, text
 from smelter.schemas import COMPLIMENTS, OPEN_END
-from smelter.session import land
-from smelter.sources.tables import empty_table
+from smelter.sources import tables
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
@@ -139,10 +138,12 @@ def raw_users(spark: SparkSession, sf: str, period: int) -> DataFrame:
 
 
 def business_versions(spark: SparkSession, sf: str) -> DataFrame:
-    dim = empty_table(spark, "business")
+    """The stored dimension after three batches, each of which swaps in the buckets it touches."""
+    root = lake(spark)
     for period, at in enumerate((T1, T2, T3)):
-        dim = land(silver.merge_businesses(dim, raw_businesses(spark, sf, period), at))
-    return dim.drop("hash_diff")
+        stage, _ = silver.stage_businesses(raw_businesses(spark, sf, period))
+        tables.apply_scd2(spark, root, "business", stage, at, batch=f"b{period}")
+    return tables.read_silver(spark, root, "business").drop("hash_diff")
 
 
 def printable_end(df: DataFrame) -> DataFrame:
@@ -155,10 +156,10 @@ def scd2_business(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_user(spark: SparkSession, sf: str) -> DataFrame:
-    dim = empty_table(spark, "user")
+    root = lake(spark)
     for period, at in enumerate((T1, T2, T3)):
-        dim = land(silver.merge_users(dim, raw_users(spark, sf, period), at))
-    return printable_end(dim.drop("hash_diff"))
+        tables.apply_scd2(spark, root, "user", silver.stage_users(raw_users(spark, sf, period))[0], at, batch=f"b{period}")
+    return printable_end(tables.read_silver(spark, root, "user").drop("hash_diff"))
 
 
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,9 +172,10 @@ def scd2_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_set(spark: SparkSession, sf: str) -> DataFrame:
-    dim = land(silver.merge_businesses(empty_table(spark, "business"), raw_businesses(spark, sf, 0), T1))
+    root = lake(spark)
+    tables.apply_scd2(spark, root, "business", silver.stage_businesses(raw_businesses(spark, sf, 0))[0], T1, batch="b0")
     stage, _ = silver.stage_businesses(raw_businesses(spark, sf, 1, through=2))
-    return scd2_insert_set(dim, stage, "business_id").select("business_id", "city", "stars")
+    return scd2_insert_set(tables.read_silver(spark, root, "business"), stage, "business_id").select("business_id", "city", "stars")
 
 
 def hash_change(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,8 +206,11 @@ def raw_reviews(spark: SparkSession, sf: str, batch: int) -> DataFrame:
 
 
 def merge_scd1(spark: SparkSession, sf: str) -> DataFrame:
-    out = land(silver.merge_reviews(empty_table(spark, "review"), raw_reviews(spark, sf, 0), T1))
-    return ntz(silver.merge_reviews(out, raw_reviews(spark, sf, 1), T2))
+    """Reviews merged twice into a stored monthly table; a batch reads and rewrites the months it touches."""
+    root = lake(spark)
+    for batch, at in enumerate((T1, T2)):
+        tables.apply_scd1(spark, root, "review", silver.stage_reviews(raw_reviews(spark, sf, batch))[0], silver.REVIEW_UPDATES, at)
+    return ntz(tables.read_silver(spark, root, "review"))
 
 
 def raw_tips(spark: SparkSession, sf: str, batch: int) -> DataFrame:
@@ -218,14 +223,18 @@ def raw_tips(spark: SparkSession, sf: str, batch: int) -> DataFrame:
 
 
 def merge_scd1_multi(spark: SparkSession, sf: str) -> DataFrame:
-    out = land(silver.merge_tips(empty_table(spark, "tip"), raw_tips(spark, sf, 0), T1))
-    return ntz(silver.merge_tips(out, raw_tips(spark, sf, 1), T2))
+    root = lake(spark)
+    for batch, at in enumerate((T1, T2)):
+        tables.apply_scd1(spark, root, "tip", silver.stage_tips(raw_tips(spark, sf, batch))[0], silver.TIP_UPDATES, at)
+    return ntz(tables.read_silver(spark, root, "tip"))
 
 
 def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
-    raw = raw_checkins(spark, sf)
-    out = land(silver.merge_checkins(empty_table(spark, "checkin"), raw.where("ts < '2024-01-20'").drop("ts"), T1))
-    return ntz(silver.merge_checkins(out, raw.where("ts >= '2024-01-10'").drop("ts"), T2))
+    """Two batches that overlap by ten days; of the second, only months that may hold one of its keys are read."""
+    root, raw = lake(spark), raw_checkins(spark, sf)
+    for days, at in (("ts < '2024-01-20'", T1), ("ts >= '2024-01-10'", T2)):
+        tables.apply_insert_only(spark, root, "checkin", silver.stage_checkins(raw.where(days).drop("ts"))[0], at)
+    return ntz(tables.read_silver(spark, root, "checkin"))
 
 
 QUERIES = {

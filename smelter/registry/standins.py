@@ -7,13 +7,15 @@ cleaned table. Batches are consecutive date ranges that together cover the table
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.operators.joins import join_dimension
 from smelter.schemas import COMPLIMENTS
-from smelter.session import tune
+from smelter.session import ensure_checkpoint_dir, tune
+from smelter.sources.tables import ensure_silver_tables
 
 AS_OF = "2024-06-30 20:00:00"
 LOADED = "2024-07-01 00:00:00"
@@ -29,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def lake(spark: SparkSession, buckets: int = 8) -> str:
+    """A new place with empty cleaned tables, in the folder that the cluster's machines share."""
+    root = os.path.join(ensure_checkpoint_dir(spark), f"lake-{uuid.uuid4().hex}")
+    ensure_silver_tables(spark, root, buckets=buckets)
+    return root
+
+
 def lookup(c: Column, values: dict[str, str], otherwise: str | None = None) -> Column:
     pairs = [F.lit(x) for kv in values.items() for x in kv]
     return F.coalesce(F.create_map(*pairs)[c], F.lit(otherwise))

@@ -91,6 +91,7 @@ class Layout:
     month_of: str | None = None
     sort_by: tuple[str, ...] = ()
     tracked: tuple[str, ...] = field(default=())
+    append_only: bool = False
 
 
 LAYOUT = {
@@ -105,7 +106,7 @@ LAYOUT = {
         sort_by=("user_id",),
         tracked=("review_count", "yelping_since", "useful", "funny", "cool", "elite", "friends", "fans", "average_stars"),
     ),
-    "checkin": Layout(keys=("business_id", "date"), sort_by=("business_id",)),
+    "checkin": Layout(keys=("business_id", "date"), month_of="date", sort_by=("business_id",), append_only=True),
     "tip": Layout(keys=("user_id", "business_id", "date"), month_of="date", sort_by=("business_id",)),
 }
 

@@ -81,15 +81,3 @@ def test_features_need_rating_text_and_both_current_dimensions(spark):
         assert (r.label, r.business_category_group, r.user_is_elite, r.review_text_length, r.review_word_count, r.user_tenure_days) == (4, "Restaurant", 1, 7, 2, 1)
         assert (r.review_day_of_week, r.review_month, r.review_year) == (1, 1, 2024)  # Sunday is 1
         assert len(r) == 23
-
-
-def test_small_batch_does_not_shuffle_a_large_table(spark):
-    from smelter.operators.merge import pair_rows
-    large = spark.range(20_000_000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
-    batch = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    text = pair_rows(large, batch, ["k"])._jdf.queryExecution().executedPlan().toString()
-    # Both joins that read the table are broadcast; only the keys found (at most the batch) move for the anti join.
-    assert "LeftOuter, BuildRight" in text and "LeftSemi, BuildRight" in text and "FullOuter" not in text
-    assert text.count("SortMergeJoin") == text.count("LeftAnti") <= 1
-    text = pair_rows(batch, batch, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" in text

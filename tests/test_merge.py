@@ -1,9 +1,8 @@
-"""Merge semantics, on both join strategies."""
+"""Merge semantics."""
 
 import datetime as dt
 import itertools
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -33,11 +32,11 @@ def businesses(spark, *rows):
     return spark.createDataFrame(full, schema)
 
 
-def load(spark, batches, small=None):
+def load(spark, batches):
     table = empty_table(spark, "business")
     for i, batch in enumerate(batches):
         stage, _ = silver.stage_businesses(businesses(spark, *batch))
-        table = merge.scd2_merge(table, stage, "business_id", T[i], small)
+        table = merge.scd2_merge(table, stage, "business_id", T[i])
     return table
 
 
@@ -49,38 +48,37 @@ def versions(table):
 A, B = ("k", "A", 1, 1.0, 0.0), ("k", "B", 1, 1.0, 0.0)
 
 
-@pytest.mark.parametrize("small", [True, False])
 class TestVersions:
-    def test_first_load(self, spark, small):
-        row = load(spark, [[A]], small).first()
+    def test_first_load(self, spark):
+        row = load(spark, [[A]]).first()
         assert (row.is_current, row.valid_from, row.valid_to) == (True, at(0), OPEN)
         assert (row._ingested_at, row._processed_at, row._schema_version, row._source_file) == (at(0), at(0), 1, "bronze_external_table")
 
-    def test_same_batch_twice_changes_nothing(self, spark, small):
-        once, twice = load(spark, [[A]], small), load(spark, [[A], [A]], small)
+    def test_same_batch_twice_changes_nothing(self, spark):
+        once, twice = load(spark, [[A]]), load(spark, [[A], [A]])
         assert [tuple(r) for r in once.collect()] == [tuple(r) for r in twice.collect()]
 
-    def test_a_b_a_gives_three_abutting_versions(self, spark, small):
-        assert versions(load(spark, [[A], [B], [A]], small)) == [
+    def test_a_b_a_gives_three_abutting_versions(self, spark):
+        assert versions(load(spark, [[A], [B], [A]])) == [
             ("k", "A", False, at(0), at(1)), ("k", "B", False, at(1), at(2)), ("k", "A", True, at(2), OPEN)]
 
-    def test_closing_touches_only_three_columns(self, spark, small):
-        old = load(spark, [[A], [B]], small).where("not is_current").first()
+    def test_closing_touches_only_three_columns(self, spark):
+        old = load(spark, [[A], [B]]).where("not is_current").first()
         assert (old._ingested_at, old._processed_at, old.valid_from, old.name) == (at(0), at(1), at(0), "A")
 
-    def test_absent_key_stays_current(self, spark, small):
-        assert versions(load(spark, [[A], [("z", "Z", 1, 1.0, 0.0)]], small))[0] == ("k", "A", True, at(0), OPEN)
+    def test_absent_key_stays_current(self, spark):
+        assert versions(load(spark, [[A], [("z", "Z", 1, 1.0, 0.0)]]))[0] == ("k", "A", True, at(0), OPEN)
 
-    def test_untracked_column_waits_for_a_tracked_change(self, spark, small):
-        table = load(spark, [[A], [("k", "A", 1, 1.0, 9.0)]], small)
+    def test_untracked_column_waits_for_a_tracked_change(self, spark):
+        table = load(spark, [[A], [("k", "A", 1, 1.0, 9.0)]])
         assert [(r.latitude, r.is_current) for r in table.collect()] == [(0.0, True)]
 
-    def test_padded_key_is_the_same_key(self, spark, small):
-        assert versions(load(spark, [[A], [(" k ", "B", 1, 1.0, 0.0)]], small)) == [
+    def test_padded_key_is_the_same_key(self, spark):
+        assert versions(load(spark, [[A], [(" k ", "B", 1, 1.0, 0.0)]])) == [
             ("k", "A", False, at(0), at(1)), ("k", "B", True, at(1), OPEN)]
 
-    def test_null_becoming_value_is_a_change(self, spark, small):
-        assert len(versions(load(spark, [[("k", None, 1, 1.0, 0.0)], [A]], small))) == 2
+    def test_null_becoming_value_is_a_change(self, spark):
+        assert len(versions(load(spark, [[("k", None, 1, 1.0, 0.0)], [A]]))) == 2
 
 
 def test_null_keys_are_quarantined(spark):
@@ -89,10 +87,10 @@ def test_null_keys_are_quarantined(spark):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.dictionaries(st.sampled_from("abcde"), st.integers(0, 2), max_size=5), min_size=1, max_size=3), st.booleans())
-def test_versions_hold_together(spark, batches, small):
+@given(st.lists(st.dictionaries(st.sampled_from("abcde"), st.integers(0, 2), max_size=5), min_size=1, max_size=3))
+def test_versions_hold_together(spark, batches):
     loaded = [[(k, str(v), 1, 1.0, 0.0) for k, v in b.items()] for b in batches]
-    rows = versions(load(spark, loaded, small))
+    rows = versions(load(spark, loaded))
     seen = {k for b in batches for k in b}
     assert {r[0] for r in rows} == seen
     for key, group in itertools.groupby(rows, key=lambda r: r[0]):
@@ -121,12 +119,11 @@ def reviews(spark, *rows):
     return spark.createDataFrame([(k, "u", "b", stars, 1, 2, 3, text, date) for k, stars, text, date in rows], ddl)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_matched_review_keeps_its_first_date_and_measures(spark, small):
+def test_matched_review_keeps_its_first_date_and_measures(spark):
     first, _ = silver.stage_reviews(reviews(spark, ("r", 4.0, "old!", "2024-01-01T10:00:00"), ("s", 1.0, "x", "bad")))
     second, _ = silver.stage_reviews(reviews(spark, ("r", 4.7, "new text", "2024-02-02T10:00:00"), ("t", None, None, None)))
-    table = merge.scd1_merge(empty_table(spark, "review"), first, ["review_id"], silver.REVIEW_UPDATES, T[0], small)
-    table = merge.scd1_merge(table, second, ["review_id"], silver.REVIEW_UPDATES, T[1], small)
+    table = merge.scd1_merge(empty_table(spark, "review"), first, ["review_id"], silver.REVIEW_UPDATES, T[0])
+    table = merge.scd1_merge(table, second, ["review_id"], silver.REVIEW_UPDATES, T[1])
     rows = {r.review_id: r for r in table.collect()}
     r = rows["r"]
     assert (r.stars, r.text, r.word_count) == (5, "new text", 2)
@@ -184,12 +181,11 @@ def test_explode_keeps_unreadable_items_as_null(spark):
     assert [r.n for r in explode_list(df, "l", "n", sep="|", cast="int").collect()] == [1, None, 3]
 
 
-def test_pair_rows_strategies_agree(spark):
+def test_pair_rows_keeps_both_sides(spark):
     table = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "k int, v string")
     batch = spark.createDataFrame([(i, f"s{i}") for i in range(40, 90)], "k int, v string")
-    a, b = (merge.pair_rows(table, batch, ["k"], small) for small in (True, False))
-    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 90
-    assert a.where(F.col("_t").isNull()).count() == 40
+    pairs = merge.pair_rows(table, batch, ["k"])
+    assert pairs.count() == 90 and pairs.where(F.col("_t").isNull()).count() == 40 and pairs.where(F.col("_s").isNull()).count() == 40
 
 
 def test_latest_is_by_instant_not_by_text(spark):

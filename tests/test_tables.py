@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import pipeline, silver
-from smelter.sources import bronze, tables
+from smelter.sources import bronze, keyindex, tables
 from tests import raw_batches
 from tests.test_merge import A, B, T, businesses, reviews
 
@@ -89,10 +89,13 @@ def test_repeat_at_another_time_after_a_crash_leaves_no_double(spark, root, monk
     stage, _ = silver.stage_businesses(businesses(spark, B))
     real = tables._overwrite_parts
 
-    def only_history(df, path, parts, sort_by, rebalance=True):
-        if not rebalance:
+    calls = []
+
+    def only_history(*args, **kw):
+        calls.append(1)
+        if len(calls) == 2:
             raise RuntimeError("driver lost")
-        real(df, path, parts, sort_by)
+        real(*args, **kw)
 
     monkeypatch.setattr(tables, "_overwrite_parts", only_history)
     with pytest.raises(RuntimeError):
@@ -102,6 +105,38 @@ def test_repeat_at_another_time_after_a_crash_leaves_no_double(spark, root, monk
     assert [(n, c, t.day) for _, n, c, _, t in state(spark, root)] == [("A", False, 3), ("B", True, 31)]
 
 
+def test_one_row_rewrites_one_bucket(spark, root):
+    many = [(f"k{i}", "N", 1, 1.0, 0.0) for i in range(400)]
+    apply_businesses(spark, root, many, 0)
+    path = os.path.join(tables.silver_path(root, "business"), "is_current=true", "batch=current")
+    before = snapshot(path)
+    assert len(before) > 50  # nearly all of the 64 buckets
+    stage, _ = silver.stage_businesses(businesses(spark, ("k7", "other", 1, 1.0, 0.0)))
+    touched = tables.apply_scd2(spark, root, "business", stage, T[1], batch="b1")
+    changed = set(before.items()) ^ set(snapshot(path).items())
+    assert len(touched) == 1 and {os.path.basename(os.path.dirname(f)) for f, _ in changed} == {f"bucket={touched[0]}"}
+    assert {(r.name, r.is_current) for r in tables.read_silver(spark, root, "business").where("business_id = 'k7'").collect()} == {("N", False), ("other", True)}
+    assert tables.read_silver(spark, root, "business").count() == 401
+    plan = tables.read_silver(spark, root, "business", buckets=touched)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    files = tables.read_silver(spark, root, "business", buckets=touched).select(F.input_file_name()).distinct().collect()
+    assert files and all(f"bucket={touched[0]}/" in r[0] for r in files)
+
+
+def test_empty_batch_writes_nothing(spark, root):
+    stage, _ = silver.stage_businesses(businesses(spark, A))
+    assert tables.apply_scd2(spark, root, "business", stage.where("false"), T[0], batch="b0") == []
+    assert not snapshot(tables.silver_path(root, "business"))
+
+
+def test_bucket_count_is_fixed_with_the_table(spark, tmp_path):
+    tables.ensure_silver_tables(spark, str(tmp_path), buckets=3)
+    tables.ensure_silver_tables(spark, str(tmp_path), buckets=9)
+    assert tables.table_properties(spark, str(tmp_path), "user") == {"buckets": 3}
+    tables.reset_table(spark, str(tmp_path), "user")
+    assert tables.table_properties(spark, str(tmp_path), "user") == {"buckets": 3}
+
+
 def load_reviews(spark, root, i, *rows):
     stage, _ = silver.stage_reviews(reviews(spark, *rows))
     return tables.apply_scd1(spark, root, "review", stage, silver.REVIEW_UPDATES, T[i])
@@ -141,6 +176,59 @@ def test_checkins_append_once(spark, root):
     assert tables.read_silver(spark, root, "checkin").count() == 2
 
 
+def checkins(spark, *rows):
+    return silver.stage_checkins(spark.createDataFrame(list(rows), "business_id string, date string"))[0]
+
+
+def test_only_months_that_may_hold_a_key_are_read(spark, root):
+    days = ", ".join(f"2024-{m:02d}-03 10:00:00" for m in range(1, 7))
+    tables.apply_insert_only(spark, root, "checkin", checkins(spark, *[(f"b{i}", days) for i in range(20)]), T[0])
+    path = tables.silver_path(root, "checkin")
+    before = snapshot(path)
+    # A new key in January, one that is known in March and a month the table lacks.
+    stage = checkins(spark, ("new", "2024-01-03 10:00:00"), ("b4", "2024-03-03 10:00:00"), ("b4", "2024-09-01"))
+    dated = stage.withColumn("month", F.to_date(F.trunc("date", "MM")))
+    possible = tables.possible_keys(spark, root, "checkin", keyindex.probes(dated, ["business_id", "date"], keyindex.BLOCKS))
+    held, months = tables.held_keys(spark, root, "checkin", possible)
+    assert months == [dt.date(2024, 3, 1)]
+    assert [r.business_id for r in held.collect()] == ["b4"]
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    scans = {x.split("PartitionFilters: ")[1].split("PushedFilters")[0] for x in plan.splitlines() if "ReadSchema: struct<business_id:string,date:timestamp>" in x}
+    assert len(scans) == 1 and "2024-03-01" in str(scans) and "2024-01-01" not in str(scans) and "2024-09-01" not in str(scans)
+    assert tables.apply_insert_only(spark, root, "checkin", stage, T[1]) == [dt.date(2024, 3, 1)]
+    after = snapshot(path)
+    assert before.items() <= after.items() and len(after) == len(before) + 2
+    assert tables.read_silver(spark, root, "checkin").count() == 122
+    tables.compact_index(spark, root, "checkin")
+    assert tables.apply_insert_only(spark, root, "checkin", stage, T[2])
+    assert tables.read_silver(spark, root, "checkin").count() == 122
+
+
+def test_insert_only_after_a_crash_between_index_and_rows(spark, root, monkeypatch):
+    stage, real = checkins(spark, ("a", "2024-01-01, 2024-02-01")), tables._overwrite_parts
+
+    def dies(*args, **kw):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "_overwrite_parts", dies)
+    with pytest.raises(RuntimeError):
+        tables.apply_insert_only(spark, root, "checkin", stage, T[0])
+    monkeypatch.setattr(tables, "_overwrite_parts", real)
+    for i in range(2):
+        tables.apply_insert_only(spark, root, "checkin", stage, T[i])
+    assert tables.read_silver(spark, root, "checkin").count() == 2
+
+
+def test_key_index_never_misses_and_seldom_errs(spark):
+    keyed = keyindex.probes(spark.range(20000).select(F.col("id").alias("k"), F.lit("2024-01-01").cast("date").alias("month")), ["k"], 512)
+    known, others = keyed.where("k % 2 = 0"), keyed.where("k % 2 = 1")
+    parts = keyindex.filters(known.where("k < 10000")).unionByName(keyindex.filters(known.where("k >= 10000")))
+    for index in (parts, keyindex.merged(parts)):
+        assert keyindex.possible(known, index, ["k"]).count() == 10000
+        assert keyindex.possible(others, index, ["k"]).count() < 200
+    assert keyindex.merged(parts).count() <= 512 < parts.count()
+
+
 def test_gold_and_file_overwrite(spark, root, tmp_path):
     tables.write_gold(spark.range(3), root, "g")
     tables.write_gold(spark.range(2), root, "g")
