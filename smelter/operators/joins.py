@@ -1,58 +1,39 @@
-"""Joins whose size and skew are checked rather than hoped for."""
+"""Joins whose skew is measured rather than hoped for."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.session import estimated_bytes
-
 HEAVY_SHARE = 1 / 200
+SKETCH_ENTRIES = 4096
 LEAST_SALTS = 32
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own limit for broadcasting a side, in bytes (-1 when switched off)."""
-    jvm_conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(jvm_conf.autoBroadcastJoinThreshold())
-
-
-def fits_broadcast(df: DataFrame, room: int = 1) -> bool:
-    """True if the plan's estimated size, times ``room``, is within the session's broadcast limit.
-
-    The estimate starts from file sizes. Columnar files unpack to several times their size, hence ``room``.
-    """
-    return estimated_bytes(df) * room <= broadcast_limit(df)
-
-
-def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows: at most ``1/share`` of them, whatever the data.
+def heavy_hitters(df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, entries: int = SKETCH_ENTRIES) -> dict[str, list]:
+    """For each key column the values that hold at least ``share`` of the rows: at most ``1/share`` of them, whatever the data.
 
-    The count per key combines map-side, so a hot key costs one row per map task.
+    One pass for all keys. Each task keeps a frequent-items sketch of at most ``entries`` counters per key, and the
+    sketches merge, so neither a hot key nor many different keys cost memory. A count can be too high by about
+    3.5/``entries`` of the rows, so no heavy key is missed, and one slightly below ``share`` may be named as well.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    return counts.where((F.col("_n") >= total * share) & (F.col("_n") > 1)).select(key)
+    most = int(1 / share)
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.expr(f"approx_top_k(`{k}`, {most}, {int(entries)})").alias(k) for k in keys]).first()
+    return {k: [e["item"] for e in row[k] if e["item"] is not None and e["count"] > 1 and e["count"] >= row["_rows"] * share] for k in keys}
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: str | list[str], how: str = "inner",
-                   share: float = HEAVY_SHARE, salts: int | None = None, salt: bool | None = None,
-                   count_on: DataFrame | None = None) -> DataFrame:
-    """Join a fact table to a dimension with one row per key.
+                   hot: list | None = None, salts: int | None = None) -> DataFrame:
+    """Join a fact table to a dimension with one row per key, with the ``hot`` keys (see :func:`heavy_hitters`) spread.
 
-    A dimension within the broadcast limit is left to Catalyst, which broadcasts it: no shuffle, so no
-    skew. For a larger one the heavy keys are looked up first (one column-pruned count of ``count_on``,
-    by default the fact). If there are any, the join runs on ``(key, salt)``: fact rows of a heavy key
-    are spread over ``salts`` values (by default as many as there are shuffle partitions) by a hash of
-    ``spread_by``, and the dimension rows of the heavy keys (at most ``1/share`` of them) are repeated
-    once per salt. All other rows keep salt 0 and are not repeated.
+    The join runs on ``(key, salt)``: fact rows of a hot key are dealt over ``salts`` values (by default as many as there
+    are shuffle partitions) by a hash of ``spread_by``, and the dimension rows of the hot keys are repeated once per salt.
+    All other rows keep salt 0 and are not repeated. Without hot keys it is a plain join. Either way Catalyst
+    broadcasts the dimension if its own size check says so.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_dimension supports inner and left joins")
-    if salt is None:
-        salt = not fits_broadcast(dim)
-    # At most 1/share keys by construction, so they fit a constant list.
-    hot = [r[key] for r in heavy_keys(fact if count_on is None else count_on, key, share).collect()] if salt else []
     if not hot:
         return fact.join(dim, key, how)
     salts = salts or max(LEAST_SALTS, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -32,6 +32,22 @@ def approx_top(col: str, k: int, tracked: int = 10000) -> Column:
     return F.transform(sketch, lambda e: F.struct(e["item"].alias("value"), e["count"].alias("count")))
 
 
+def top_sketch(col: str, tracked: int = 10000) -> Column:
+    """Aggregate: a frequent-items sketch of ``col`` that can be stored and merged with others later."""
+    return F.expr(f"approx_top_k_accumulate(`{col}`, {int(tracked)})")
+
+
+def merged_top(sketches: DataFrame, group_cols: list[str], col: str, k: int = 5, tracked: int = 10000, out: str = "top_values") -> DataFrame:
+    """The ``k`` most frequent values per group out of stored sketches of its parts (days, say).
+
+    The same as one sketch over all rows while a group has no more than ``tracked`` values; beyond that a count is off by at
+    most 3.5/``tracked`` of the group's rows.
+    """
+    merged = sketches.groupBy(*group_cols).agg(F.expr(f"approx_top_k_combine(`{col}`, {int(tracked)})").alias("_s"))
+    top = F.transform(F.expr(f"approx_top_k_estimate(_s, {int(k)})"), lambda e: F.struct(e["item"].alias("value"), e["count"].alias("count")))
+    return merged.select(*group_cols, top.alias(out))
+
+
 def top_values(df: DataFrame, group_cols: list[str], col: str, k: int = 5, exact: bool = True,
                out: str = "top_values") -> DataFrame:
     """The ``k`` most frequent values of ``col`` per group, as one array per group."""

@@ -131,12 +131,12 @@ def user_engagement(users: DataFrame, as_of: Instant, processing_time: Instant |
 
 
 def star_features(reviews: DataFrame, businesses: DataFrame, users: DataFrame, as_of: Instant,
-                  processing_time: Instant | None = None, salt: bool | None = None) -> DataFrame:
+                  processing_time: Instant | None = None, hot: dict[str, list] | None = None) -> DataFrame:
     """One training row per review that has a rating and text, with its current business and user.
 
     Only the columns used are carried through the joins; the text itself is reduced to its measures
-    first. Each dimension has one row per key; a hot business or user is salted (see
-    :func:`smelter.operators.joins.join_dimension`).
+    first. Each dimension has one row per key. ``hot`` names the businesses and users that hold a large share of the
+    reviews, as :func:`smelter.operators.joins.heavy_hitters` finds them in one pass; their rows are salted.
     """
     c = F.col
     facts = reviews.where(c("stars").isNotNull() & (F.length("text") > 0)).select(
@@ -168,9 +168,9 @@ def star_features(reviews: DataFrame, businesses: DataFrame, users: DataFrame, a
         non_empty_flag(c("elite")).alias("user_is_elite"),
         F.datediff(local_today(as_of), c("yelping_since")).cast("bigint").alias("user_tenure_days"),
     )
-    joined = join_dimension(facts, business, "business_id", spread_by="review_id", salt=salt)
-    # Hot users are counted on the reviews, not on the join above, which would run twice.
-    joined = join_dimension(joined, user, "user_id", spread_by="review_id", salt=salt, count_on=facts)
+    hot = hot or {}
+    joined = join_dimension(facts, business, "business_id", spread_by="review_id", hot=hot.get("business_id"))
+    joined = join_dimension(joined, user, "user_id", spread_by="review_id", hot=hot.get("user_id"))
     return joined.select(
         "review_id", "label",
         "business_avg_stars", "business_review_count", "business_is_open", "business_category_group",

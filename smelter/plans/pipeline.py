@@ -17,6 +17,7 @@ from smelter.operators.quality import (
     BRONZE_KEYS, bronze_key_stats, check_fact_keys, check_null_keys, check_single_active, required_columns, run_checks,
     silver_checks,
 )
+from smelter.operators.joins import heavy_hitters
 from smelter.operators.merge import current
 from smelter.plans import gold, ml, silver
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES
@@ -121,7 +122,8 @@ def run_gold(spark: SparkSession, root: str, as_of: Instant, processing_time: In
     write_gold(gold.business_performance(businesses, reviews, tips, at), root, "business_performance")
     write_gold(gold.city_analytics(businesses, reviews, at, min_businesses), root, "city_analytics")
     write_gold(gold.user_engagement(users, as_of, at), root, "user_engagement")
-    write_gold(gold.star_features(reviews, businesses, users, as_of, at), root, "ml_features_star_prediction")
+    hot = heavy_hitters(reviews, ["business_id", "user_id"])
+    write_gold(gold.star_features(reviews, businesses, users, as_of, at, hot=hot), root, "ml_features_star_prediction")
 
 
 def run_ml(spark: SparkSession, root: str, as_of: Instant, seed: int = 1) -> dict[str, dict]:

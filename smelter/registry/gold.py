@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.functions.labels import category_group, user_tier
-from smelter.operators.topk import top_values, value_counts_ranked
+from smelter.operators.joins import heavy_hitters
+from smelter.operators.topk import merged_top, top_sketch, value_counts_ranked
 from smelter.plans import gold
 from smelter.registry.standins import (
     AS_OF, CATEGORY_OF_TYPE, LOADED, customer_businesses, line_reviews, lookup, ntz, order_reviews, order_users, rounded,
@@ -41,8 +42,10 @@ def top_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_categories_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """The sketch keeps every type of a brand (six at most), so its counts are exact here."""
-    top = top_values(table(spark, sf, "part"), ["p_brand"], "p_type", k=10)
+    """Sketches per brand and size, as daily ones would be stored, merged to one per brand. They keep every type of a
+    brand (six at most), so the counts are exact here."""
+    parts = table(spark, sf, "part").groupBy("p_brand", "p_size").agg(top_sketch("p_type").alias("sketch"))
+    top = merged_top(parts, ["p_brand"], "sketch", k=10)
     return top.select("p_brand", F.explode("top_values").alias("e")).select("p_brand", "e.value", "e.count")
 
 
@@ -62,11 +65,13 @@ def category_groups(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("parts"))
 
 
-def feature_table(spark: SparkSession, sf: str, salt: bool | None = None) -> DataFrame:
-    """Line reviews x part (business) x customer (user)."""
+def feature_table(spark: SparkSession, sf: str, measured: bool = False, crowd: bool = False) -> DataFrame:
+    """Line reviews x part (business) x customer (user). ``measured`` looks up hot keys and salts them; with ``crowd``
+    the third and sixth line of each order (about a third of the rows) are reviews of part 1."""
     reviews = line_reviews(spark, sf).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("review_id"),
-        text("l_partkey").alias("business_id"), text("o_custkey").alias("user_id"),
+        (F.when(F.col("l_linenumber") % 3 == 0, "1").otherwise(text("l_partkey")) if crowd else text("l_partkey")).alias("business_id"),
+        text("o_custkey").alias("user_id"),
         F.when(F.col("o_orderstatus") != "P", stars()).alias("stars"),
         F.col("l_quantity").cast("bigint").alias("useful"), F.col("l_linenumber").cast("bigint").alias("funny"),
         F.round(F.col("l_tax") * 100, 0).cast("bigint").alias("cool"),
@@ -87,7 +92,8 @@ def feature_table(spark: SparkSession, sf: str, salt: bool | None = None) -> Dat
         .otherwise(F.lit("2019,2020")).alias("elite"),
         F.date_add(F.lit("2010-01-01").cast("date"), F.col("c_nationkey") * 100).alias("yelping_since"),
         F.lit(True).alias("is_current"))
-    return gold.star_features(reviews, businesses, users, AS_OF, LOADED, salt=salt)
+    hot = heavy_hitters(reviews, ["business_id", "user_id"]) if measured else None
+    return gold.star_features(reviews, businesses, users, AS_OF, LOADED, hot=hot)
 
 
 def star_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,8 +101,13 @@ def star_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_features_salted(spark: SparkSession, sf: str) -> DataFrame:
-    """The same table through the salted join that is meant for dimensions too large to broadcast."""
-    return ntz(rounded(feature_table(spark, sf, salt=True), "business_avg_stars", "user_avg_stars"))
+    """The same table with hot keys looked up first, in one pass over both keys; the given data have none."""
+    return ntz(rounded(feature_table(spark, sf, measured=True), "business_avg_stars", "user_avg_stars"))
+
+
+def star_features_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Features where one business holds about a third of the reviews: its rows are dealt over the salts."""
+    return ntz(rounded(feature_table(spark, sf, measured=True, crowd=True), "business_avg_stars", "user_avg_stars"))
 
 
 QUERIES = {
@@ -108,7 +119,7 @@ QUERIES = {
     "user_tier": user_tiers,
     "category_group": category_groups,
     "star_features": star_features,
-    "star_features_salted": star_features_salted,
+    "star_features_salted": star_features_salted, "star_features_hot": star_features_hot,
 }
 
 _LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -206,4 +217,5 @@ ORACLE = {
     "category_group": f"SELECT p_type, {_GROUP_OF_TYPE} AS category_group, count(*) AS parts FROM part GROUP BY ALL",
     "star_features": _STAR_FEATURES,
     "star_features_salted": _STAR_FEATURES,
+    "star_features_hot": _STAR_FEATURES.replace("p_partkey = l_partkey", "p_partkey = CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_partkey END"),
 }

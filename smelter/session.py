@@ -43,11 +43,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for a plan. It errs high: unknown selectivity counts as 1."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a scratch folder only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from smelter.operators.topk import merged_top, top_sketch, top_values
 from smelter.plans import gold
 from smelter.schemas import COMPLIMENTS
 from smelter.sources.tables import empty_table
@@ -73,11 +74,19 @@ def test_user_engagement_edges(spark):
 def test_features_need_rating_text_and_both_current_dimensions(spark):
     facts = rows(spark, "review", review("1", "a", 4), review("2", "a", None), review("3", "a", 4, text=""), review("4", "a", 4, text=None),
                  review("5", "b", 4), review("6", "a", 4, user_id="gone"))
-    for salt in (False, True):
+    for hot in (None, {"business_id": ["a"], "user_id": ["u", "gone"]}):
         out = gold.star_features(facts, rows(spark, "business", business("a", categories="Food, Restaurants"), business("a", False)),
-                                 rows(spark, "user", user("u", elite="2019")), AT, salt=salt).collect()
+                                 rows(spark, "user", user("u", elite="2019")), AT, hot=hot).collect()
         assert [r.review_id for r in out] == ["1"]
         r = out[0]
         assert (r.label, r.business_category_group, r.user_is_elite, r.review_text_length, r.review_word_count, r.user_tenure_days) == (4, "Restaurant", 1, 7, 2, 1)
         assert (r.review_day_of_week, r.review_month, r.review_year) == (1, 1, 2024)  # Sunday is 1
         assert len(r) == 23
+
+
+def test_merged_sketches_equal_one_pass(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") % 4).alias("day"), F.pmod(F.xxhash64("id"), F.lit(11)).cast("string").alias("v"))
+    merged = merged_top(df.groupBy("g", "day").agg(top_sketch("v").alias("s")), ["g"], "s", k=20)
+    once = top_values(df, ["g"], "v", k=20, exact=False)
+    as_dict = lambda rows: {r.g: {(e["value"], e["count"]) for e in r.top_values} for r in rows.collect()}
+    assert as_dict(merged) == as_dict(once) == as_dict(top_values(df, ["g"], "v", k=20))

@@ -29,27 +29,32 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(spark, how):
     fact, dim = skewed(spark)
-    salted = joins.join_dimension(fact, dim, "k", spread_by="id", how=how, salt=True)
+    salted = joins.join_dimension(fact, dim, "k", spread_by="id", how=how, hot=[-1])
     plain = fact.join(dim, "k", how)
     assert sorted(map(tuple, salted.select("id", "k", "v").collect()), key=str) == sorted(map(tuple, plain.select("id", "k", "v").collect()), key=str)
 
 
-def test_salt_spreads_only_the_hot_key(spark):
+def test_one_pass_finds_the_hot_values_of_every_key(spark):
     fact, _ = skewed(spark)
-    hot = [r.k for r in joins.heavy_keys(fact, "k").collect()]
-    assert hot == [-1]
-    assert joins.heavy_keys(fact, "k", share=0.5).count() == 0
+    fact = fact.withColumn("t", F.when(F.col("id") % 10 == 1, "ten").when(F.col("id") % 10 == 2, None).otherwise(F.col("id").cast("string")))
+    assert joins.heavy_hitters(fact, ["k", "t"]) == {"k": [-1], "t": ["ten"]}
+    assert joins.heavy_hitters(fact, ["k"], share=0.5) == {"k": []} == joins.heavy_hitters(fact.where("false"), ["k"])
 
 
-def test_salt_is_chosen_by_size(spark):
+def test_sketch_with_few_entries_misses_no_heavy_key(spark):
+    fact = spark.range(200_000).select(F.when(F.col("id") % 50 == 0, F.col("id") % 150).otherwise(F.col("id") * 1000).alias("k")).repartition(7)
+    assert {0, 50, 100} <= set(joins.heavy_hitters(fact, ["k"], entries=2048)["k"])
+
+
+def test_only_hot_keys_are_salted(spark):
     fact, dim = skewed(spark)
-    assert "_salt" not in plan(joins.join_dimension(fact, dim, "k", spread_by="id"))
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        assert "_salt" in plan(joins.join_dimension(fact, dim, "k", spread_by="id"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "_salt" not in plan(joins.join_dimension(fact, dim, "k", spread_by="id", hot=[]))
+    assert "_salt" in plan(joins.join_dimension(fact, dim, "k", spread_by="id", hot=[-1]))
+
+
+@needs_data
+def test_a_business_with_a_third_of_the_reviews_is_salted(spark):
+    assert re.search(r"_salt#\d+", plan(entry.queries()["star_features_hot"](spark, SF_DIR)))
 
 
 def test_dedup_cuts_before_the_shuffle(spark):
