@@ -12,17 +12,18 @@ from math import dist
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.functions.casts import local_today
 from smelter.functions.text import non_empty_flag
 from smelter.operators.merge import current
+from smelter.operators.ranking import calibration_error, roc_auc
+from smelter.plans import boosting
 from smelter.plans.gold import friend_count, total_compliments
 from smelter.session import ensure_checkpoint_dir
 
@@ -44,10 +45,25 @@ CLUSTERS, CLUSTER_ITERATIONS = 6, 50
 
 # ---- frames ------------------------------------------------------------------------------------
 
-def hash_split(df: DataFrame, key: str, frac: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Training and evaluation rows by a hash of the key: the same rows on every run and cluster."""
-    in_training = F.pmod(F.xxhash64(key), F.lit(1000)) < int(frac * 1000)
-    return df.where(in_training), df.where(~in_training)
+TRAINING_SHARE = 0.8
+
+
+def in_training(key: str, frac: float = TRAINING_SHARE) -> Column:
+    """Is the row one a model may learn from? By the leading four digits of the key's MD5: the same rows on every run,
+    cluster and engine. A null key is for evaluation."""
+    leading = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 4), 16, 10).cast("int")
+    return F.coalesce(leading < int(frac * 65536), F.lit(False))
+
+
+def hash_split(df: DataFrame, key: str, frac: float = TRAINING_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Training and evaluation rows; see :func:`in_training`."""
+    chosen = in_training(key, frac)
+    return df.where(chosen), df.where(~chosen)
+
+
+def unseen(df: DataFrame, key: str) -> DataFrame:
+    """The rows no model of this module has learned from: what metrics are measured on."""
+    return hash_split(df, key)[1]
 
 
 def star_frame(features: DataFrame) -> DataFrame:
@@ -116,18 +132,21 @@ def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ---- training ----------------------------------------------------------------------------------
 
-def train_stars(features: DataFrame, kind: str = "gbt", seed: int = 1, key: str = "review_id") -> PipelineModel:
+def train_stars(features: DataFrame, kind: str = "gbt", seed: int = 1, key: str = "review_id", rounds: int = MAX_ITERATIONS,
+                depth: int = 5) -> PipelineModel | boosting.Boosted:
     """Rating model: boosted trees that stop early on held-out rows, or a regularised linear model.
 
-    Spark's boosted trees have no L2 term, so that setting applies to the linear model only.
+    ``gbt`` are Spark's trees, which have no L2 term; ``boosted`` are trees with one (:mod:`smelter.plans.boosting`).
     """
     frame = numbers_as_double(star_frame(features), list(dict.fromkeys(STAR_NUMERIC + LINEAR_SCALED)))
     if kind == "gbt":
         ensure_checkpoint_dir(frame.sparkSession)
-        held_out = F.pmod(F.xxhash64(key), F.lit(10)) >= 8
         stages = feature_stages(STAR_NUMERIC, STAR_CATEGORICAL) + [GBTRegressor(
             labelCol="label", maxIter=MAX_ITERATIONS, validationIndicatorCol="_held_out", validationTol=MIN_PROGRESS, seed=seed)]
-        return Pipeline(stages=stages).fit(frame.withColumn("_held_out", held_out))
+        return Pipeline(stages=stages).fit(frame.withColumn("_held_out", ~in_training(key)))
+    if kind == "boosted":
+        return boosting.train(frame, STAR_NUMERIC, "label", rounds=rounds, depth=depth, l2=L2, held_out=~in_training(key),
+                              least_progress=MIN_PROGRESS, categorical=tuple(STAR_CATEGORICAL))
     if kind == "linear":
         stages = feature_stages(LINEAR_PLAIN, LINEAR_CATEGORICAL, scaled=LINEAR_SCALED, one_hot=True) + [LinearRegression(
             labelCol="label", regParam=L2, maxIter=MAX_ITERATIONS, tol=MIN_PROGRESS)]
@@ -145,16 +164,21 @@ def with_class_weights(frame: DataFrame, label: str) -> DataFrame:
     return frame.withColumn("_weight", weight)
 
 
-def train_elite(frame: DataFrame, kind: str = "gbt", seed: int = 1, key: str = "user_id") -> PipelineModel:
-    """Elite-user model on an :func:`elite_frame`: boosted trees or logistic regression, classes balanced."""
-    inputs = ELITE_NUMERIC if kind == "gbt" else ELITE_NUMERIC + ["friend_count"]
+def train_elite(frame: DataFrame, kind: str = "gbt", seed: int = 1, key: str = "user_id", rounds: int = MAX_ITERATIONS,
+                depth: int = 5) -> PipelineModel | boosting.Boosted:
+    """Elite-user model on an :func:`elite_frame`: boosted trees (``gbt``, or ``boosted`` with an L2 term) or logistic
+    regression, classes balanced."""
+    inputs = ELITE_NUMERIC + ["friend_count"] if kind == "logistic" else ELITE_NUMERIC
     weighted = with_class_weights(numbers_as_double(frame, inputs), "is_elite")
     if kind == "gbt":
         ensure_checkpoint_dir(frame.sparkSession)
         stages = feature_stages(inputs, []) + [GBTClassifier(
             labelCol="is_elite", weightCol="_weight", maxIter=MAX_ITERATIONS, validationIndicatorCol="_held_out",
             validationTol=MIN_PROGRESS, seed=seed)]
-        return Pipeline(stages=stages).fit(weighted.withColumn("_held_out", F.pmod(F.xxhash64(key), F.lit(10)) >= 8))
+        return Pipeline(stages=stages).fit(weighted.withColumn("_held_out", ~in_training(key)))
+    if kind == "boosted":
+        return boosting.train(weighted, inputs, "is_elite", loss="logistic", rounds=rounds, depth=depth, l2=L2, weight="_weight",
+                              held_out=~in_training(key), least_progress=MIN_PROGRESS)
     if kind == "logistic":
         stages = feature_stages([], [], scaled=inputs) + [LogisticRegression(
             labelCol="is_elite", weightCol="_weight", maxIter=MAX_ITERATIONS)]
@@ -168,9 +192,12 @@ def train_clusters(frame: DataFrame, k: int = CLUSTERS, seed: int = 1) -> Pipeli
     return Pipeline(stages=stages).fit(numbers_as_double(frame, CLUSTER_NUMERIC))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(spark: SparkSession, model: PipelineModel | boosting.Boosted, path: str) -> None:
     """Store a model under a name, replacing an older one."""
-    model.write().overwrite().save(path)
+    if isinstance(model, boosting.Boosted):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
 
 
 # ---- prediction --------------------------------------------------------------------------------
@@ -186,7 +213,12 @@ def predict_stars(model: PipelineModel, features: DataFrame, key: str = "review_
 def predict_elite(model: PipelineModel, frame: DataFrame) -> DataFrame:
     rows = model.transform(numbers_as_double(frame, ELITE_NUMERIC + ["friend_count"]))
     return rows.select("user_id", "name", F.col("prediction").cast("bigint").alias("predicted_is_elite"),
-                       vector_to_array("probability")[1].alias("probability_of_elite"))
+                       _likelihood(rows).alias("probability_of_elite"))
+
+
+def _likelihood(scored: DataFrame) -> Column:
+    """The probability of class 1; Spark's models give a vector, the trees with an L2 term an array."""
+    return F.col("probability")[1] if dict(scored.dtypes)["probability"].startswith("array") else vector_to_array("probability")[1]
 
 
 def assign_clusters(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -254,7 +286,7 @@ def clustering_metrics(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
-    """One row of metrics; ``task`` is 'regression', 'classification' or 'clustering'."""
+    """One row of metrics; ``task`` is 'regression', 'classification' or 'clustering'. Give it :func:`unseen` rows."""
     if task == "clustering":
         return clustering_metrics(model, df)
     if task == "regression":
@@ -262,9 +294,10 @@ def evaluate(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
         return regression_metrics(model.transform(rows))
     if task == "classification":
         scored = model.transform(numbers_as_double(df, ELITE_NUMERIC + ["friend_count"]))
-        auc = BinaryClassificationEvaluator(labelCol="is_elite", metricName="areaUnderROC").evaluate(scored)
-        metrics = classification_metrics(scored.withColumn("_p", vector_to_array("probability")[1]), "is_elite", "prediction", "_p")
-        return metrics.withColumn("roc_auc", F.lit(float(auc)))
+        scored = scored.withColumn("_p", _likelihood(scored))
+        metrics = classification_metrics(scored, "is_elite", "prediction", "_p")
+        return metrics.withColumns({"roc_auc": F.lit(roc_auc(scored, "is_elite", "_p")).cast("double"),
+                                    "calibration_error": F.lit(calibration_error(scored, "is_elite", "_p")).cast("double")})
     raise ValueError(f"unknown task {task!r}")
 
 
@@ -274,8 +307,22 @@ def feature_names(scored: DataFrame, column: str = "features") -> list[str]:
     return [a["name"] for a in sorted((a for group in attrs.values() for a in group), key=lambda a: a["idx"])]
 
 
+def input_of(model: PipelineModel, slot: str) -> str:
+    """The input column that a slot of the feature vector comes from."""
+    if slot.startswith("scaled_"):
+        scaled = next(s for s in model.stages if isinstance(s, VectorAssembler) and s.getOutputCol() == "_to_scale")
+        slot = scaled.getInputCols()[int(slot.split("_")[1])]
+    for s in model.stages:
+        if isinstance(s, StringIndexerModel):
+            for column in s.getInputCols():
+                if slot == f"{column}_index" or slot.startswith(f"{column}_hot_"):
+                    return column
+    return slot.removesuffix("_filled")
+
+
 def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Weight of each feature: tree importance, or size of a linear coefficient times the feature's deviation."""
+    """Weight of each input column: tree importance, or size of a linear coefficient times the feature's deviation, summed
+    over the slots a column fills."""
     last = model.stages[-1]
     columns = list(dict.fromkeys(STAR_NUMERIC + LINEAR_SCALED + ELITE_NUMERIC + ["friend_count"]))
     scored = model.transform(numbers_as_double(df, [c for c in columns if c in df.columns]))
@@ -285,6 +332,10 @@ def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
     else:
         deviations = scored.select(Summarizer.std(F.col("features")).alias("s")).first()["s"].toArray()
         weights = [abs(float(c)) * float(s) for c, s in zip(last.coefficients.toArray(), deviations)]
-    return df.sparkSession.createDataFrame(list(zip(names, map(float, weights))), "feature string, attribution double")
+    totals: dict[str, float] = {}
+    for name, weight in zip(names, weights):
+        column = input_of(model, name)
+        totals[column] = totals.get(column, 0.0) + float(weight)
+    return df.sparkSession.createDataFrame(list(totals.items()), "feature string, attribution double")
 
 

@@ -126,18 +126,25 @@ def run_gold(spark: SparkSession, root: str, as_of: Instant, processing_time: In
     write_gold(gold.star_features(reviews, businesses, users, as_of, at, hot=hot), root, "ml_features_star_prediction")
 
 
-def run_ml(spark: SparkSession, root: str, as_of: Instant, seed: int = 1) -> dict[str, dict]:
-    """Train, store and evaluate the three models, and store star predictions. Returns the metrics."""
+def run_ml(spark: SparkSession, root: str, as_of: Instant, seed: int = 1, kind: str = "gbt") -> dict[str, dict]:
+    """Train, store and evaluate the three models, and store star predictions and ``model_metrics``. Returns the metrics.
+
+    The two supervised models are measured on the rows they have not learned from. ``kind="boosted"`` trains trees with
+    an L2 term instead of Spark's own.
+    """
     features = read_gold(spark, root, "ml_features_star_prediction")
     elite = ml.elite_frame(read_silver(spark, root, "user"), as_of)
     segments = ml.cluster_frame(read_silver(spark, root, "business"))
-    models = {"star_rating_model": (ml.train_stars(features, seed=seed), features, "regression"),
-              "elite_user_model": (ml.train_elite(elite, seed=seed), elite, "classification"),
+    models = {"star_rating_model": (ml.train_stars(features, kind, seed), ml.unseen(features, "review_id"), "regression"),
+              "elite_user_model": (ml.train_elite(elite, kind, seed), ml.unseen(elite, "user_id"), "classification"),
               "business_clusters": (ml.train_clusters(segments, seed=seed), segments, "clustering")}
     metrics = {}
     for name, (model, frame, task) in models.items():
-        ml.save_model(model, os.path.join(root, "models", name))
+        ml.save_model(spark, model, os.path.join(root, "models", name))
         metrics[name] = ml.evaluate(model, frame, task).first().asDict()
+    rows = [(name, task, metric, None if value is None else float(value)) for name, (_, _, task) in models.items() for metric, value in metrics[name].items()]
+    stored = spark.createDataFrame(rows, "model string, task string, metric string, value double")
+    write_gold(stored.withColumn("_evaluated_at", instant(as_of)), root, "model_metrics")
     write_gold(ml.predict_stars(models["star_rating_model"][0], features), root, "star_predictions")
     return metrics
 

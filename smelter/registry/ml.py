@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.plans import ml
+from smelter.operators.ranking import calibration, calibration_error, roc_auc
+from smelter.plans import boosting, ml
 from smelter.registry.gold import feature_table
 from smelter.registry.standins import AS_OF, customer_businesses, order_users, rounded, stars, table
 
@@ -29,8 +30,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_hash(spark: SparkSession, sf: str) -> DataFrame:
     training, held_out = ml.hash_split(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
-    return training.withColumn("part", F.lit("train")).unionByName(held_out.withColumn("part", F.lit("eval"))).select(
-        "o_orderkey", "o_custkey")
+    return training.withColumn("part", F.lit("train")).unionByName(held_out.withColumn("part", F.lit("eval")))
 
 
 def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +55,7 @@ def star_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 def star_linear(spark: SparkSession, sf: str) -> DataFrame:
     features = feature_table(spark, sf)
-    return ml.evaluate(ml.train_stars(features, kind="linear"), features, "regression")
+    return ml.evaluate(ml.train_stars(features, kind="linear"), ml.unseen(features, "review_id"), "regression")
 
 
 def topn_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +70,41 @@ def elite_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 def elite_logistic(spark: SparkSession, sf: str) -> DataFrame:
     frame = ml.elite_frame(order_users(spark, sf), AS_OF)
-    return ml.evaluate(ml.train_elite(frame, kind="logistic"), frame, "classification")
+    return ml.evaluate(ml.train_elite(frame, kind="logistic"), ml.unseen(frame, "user_id"), "classification")
+
+
+def ranking_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """How well the balance, in steps so that many customers tie, ranks a market segment above the others; only customers
+    of the evaluation part count."""
+    score = F.floor(F.col("c_acctbal") / 250) / 45 + 0.1
+    scored = ml.unseen(table(spark, sf, "customer"), "c_custkey").select(
+        F.when(F.col("c_mktsegment") < "C", 1).otherwise(0).alias("label"), score.alias("p"))
+    out = spark.createDataFrame([(roc_auc(scored, "label", "p"), calibration_error(scored, "label", "p"))], "roc_auc double, calibration_error double")
+    return rounded(out, *out.columns)
+
+
+def calibration_bins(spark: SparkSession, sf: str) -> DataFrame:
+    scored = table(spark, sf, "orders").select((F.col("o_orderstatus") == "F").cast("int").alias("label"), (F.col("o_totalprice") % 1000 / 1000).alias("p"))
+    return rounded(calibration(scored, "label", "p"), "mean_probability", "positive_share")
+
+
+STUMP_ROUNDS, STUMP_L2, STUMP_RATE = 3, 50.0, 0.5
+LINE_SPLITS = {"l_quantity": [10.0, 20.0, 30.0, 40.0], "l_discount": [0.025, 0.055, 0.085], "l_tax": [0.015, 0.045]}
+CUSTOMER_SPLITS = {"c_acctbal": [0.0, 2500.0, 5000.0, 7500.0], "c_nationkey": [4.5, 9.5, 14.5, 19.5]}
+
+
+def boosted_stumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Line prices by boosted trees of depth one with an L2 term, for every line."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / 1000).alias("y"), *LINE_SPLITS)
+    model = boosting.train(lines, list(LINE_SPLITS), "y", rounds=STUMP_ROUNDS, depth=1, l2=STUMP_L2, rate=STUMP_RATE, thresholds=LINE_SPLITS)
+    return rounded(model.transform(lines).select("l_orderkey", "l_linenumber", "l_partkey", "prediction"), "prediction", digits=5)
+
+
+def boosted_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Is a customer of an early market segment? The same trees with logistic loss."""
+    people = table(spark, sf, "customer").withColumn("y", (F.col("c_mktsegment") < "F").cast("int"))
+    model = boosting.train(people, list(CUSTOMER_SPLITS), "y", loss="logistic", rounds=2, depth=1, l2=1.0, rate=1.0, thresholds=CUSTOMER_SPLITS)
+    return rounded(model.transform(people).select("c_custkey", F.col("probability")[1].alias("p")), "p")
 
 
 def elite_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,9 +138,28 @@ QUERIES = {
     "standardize": standardize, "one_hot": one_hot, "split_hash": split_hash, "regression_metrics": regression_metrics,
     "classification_metrics": classification_metrics, "elite_features": elite_features, "segment_features": segment_features, "star_gbt": star_gbt,
     "star_linear": star_linear, "topn_predictions": topn_predictions, "elite_gbt": elite_gbt,
-    "elite_logistic": elite_logistic, "clusters": clusters, "cluster_quality": cluster_quality, "explain": explain,
+    "elite_logistic": elite_logistic, "ranking_metrics": ranking_metrics, "calibration": calibration_bins,
+    "boosted_stumps": boosted_stumps, "boosted_classes": boosted_classes, "clusters": clusters, "cluster_quality": cluster_quality, "explain": explain,
 }
 
+
+
+def _stumps_sql(source: str, keys: str, splits: dict[str, list[float]], rounds: int, l2: float, rate: float, logistic: bool, out: str) -> str:
+    """Boosting by trees of depth one, one step after the other: all thresholds are tried, the best by the gain is taken."""
+    base = "ln(avg(y) / (1 - avg(y)))" if logistic else "avg(y)"
+    names = {"g": "y - 1 / (1 + exp(-m))", "h": "(1 / (1 + exp(-m))) * (1 - 1 / (1 + exp(-m)))"} if logistic else {"g": "y - m", "h": "1.0"}
+    tried = ", ".join(f"('{c}', {i}, CAST({t} AS DOUBLE))" for i, c in enumerate(splits) for t in splits[c])
+    ctes = [f"src AS ({source})", f"cut(f, i, t) AS (VALUES {tried})", f"r0 AS (SELECT *, (SELECT {base} FROM src) AS m FROM src)"]
+    for n in range(rounds):
+        value = "CASE f " + " ".join(f"WHEN '{c}' THEN {c}" for c in splits) + " END"
+        ctes += [f"""e{n} AS (SELECT f, i, t, {value} <= t AS at_most, {names['g']} AS g, {names['h']} AS h FROM r{n}, cut)""",
+                 f"""s{n} AS (SELECT f, i, t, sum(g) FILTER (at_most) AS gl, sum(h) FILTER (at_most) AS hl, sum(g) FILTER (NOT at_most) AS gr,
+                     sum(h) FILTER (NOT at_most) AS hr FROM e{n} GROUP BY 1, 2, 3)""",
+                 f"""b{n} AS (SELECT * FROM s{n} ORDER BY gl * gl / (hl + {l2}) + gr * gr / (hr + {l2}) DESC, i, t LIMIT 1)""",
+                 f"""r{n + 1} AS (SELECT r{n}.* REPLACE (m + {rate} * CASE WHEN {value} <= t THEN gl / (hl + {l2}) ELSE gr / (hr + {l2}) END AS m) FROM r{n}, b{n})"""]
+    return f"WITH {', '.join(ctes)} SELECT {keys}, {out} FROM r{rounds}"
+
+
 ORACLE = {
     "standardize": """
         WITH s AS (SELECT avg(l_quantity) AS qm, stddev_samp(l_quantity) AS qs, avg(l_extendedprice) AS pm,
@@ -114,7 +167,25 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, round((l_quantity - qm) / qs, 6) AS l_quantity,
             round((l_extendedprice - pm) / ps, 6) AS l_extendedprice FROM lineitem, s""",
     "one_hot": "SELECT p_type, count(*) AS parts, CAST(count(*) AS DOUBLE) AS ones FROM part GROUP BY 1",
-    "split_hash": "SELECT o_orderkey, o_custkey FROM orders",
+    "split_hash": """
+        SELECT o_orderkey, o_custkey, CASE WHEN CAST('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 4) AS INTEGER) < 52428
+            THEN 'train' ELSE 'eval' END AS part FROM orders""",
+    "ranking_metrics": """
+        WITH s AS (SELECT CAST(c_mktsegment < 'C' AS INTEGER) AS y, floor(c_acctbal / 250) / 45 + 0.1 AS p FROM customer
+                   WHERE CAST('0x' || left(md5(CAST(c_custkey AS VARCHAR)), 4) AS INTEGER) >= 52428),
+        pairs AS (SELECT avg(CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END) AS auc FROM s a, s b WHERE a.y = 1 AND b.y = 0),
+        bins AS (SELECT count(*) AS n, abs(avg(p) - avg(y)) AS gap FROM s GROUP BY least(greatest(floor(p * 10), 0), 9))
+        SELECT round(auc, 6) AS roc_auc, (SELECT round(sum(n * gap) / sum(n), 6) FROM bins) AS calibration_error FROM pairs""",
+    "calibration": """
+        WITH s AS (SELECT CAST(o_orderstatus = 'F' AS INTEGER) AS y, o_totalprice % 1000 / 1000 AS p FROM orders)
+        SELECT CAST(least(greatest(floor(p * 10), 0), 9) AS BIGINT) AS bin, count(*) AS rows, round(avg(p), 6) AS mean_probability,
+            round(avg(y), 6) AS positive_share FROM s GROUP BY 1""",
+    "boosted_stumps": _stumps_sql(
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem",
+        "l_orderkey, l_linenumber, l_partkey", LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, "round(m, 5) AS prediction"),
+    "boosted_classes": _stumps_sql(
+        "SELECT c_custkey, CAST(c_mktsegment < 'F' AS INTEGER) AS y, c_acctbal, CAST(c_nationkey AS DOUBLE) AS c_nationkey FROM customer",
+        "c_custkey", CUSTOMER_SPLITS, 2, 1.0, 1.0, True, "round(1 / (1 + exp(-m)), 6) AS p"),
     "regression_metrics": """
         WITH s AS (SELECT CAST(left(o_orderpriority, 1) AS DOUBLE) AS y, o_totalprice / 100000 AS p FROM orders)
         SELECT round(avg(abs(y - p)), 6) AS mean_absolute_error, round(avg((y - p) * (y - p)), 6) AS mean_squared_error,

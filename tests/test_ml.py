@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from smelter.plans import ml
+from smelter.operators import ranking
+from smelter.plans import ml, pipeline
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_star_models_learn_repeat_and_explain(spark, features, kind, tmp_path):
     metrics = ml.evaluate(model, features, "regression").first()
     assert metrics.r2_score > 0.8 and metrics.mean_absolute_error < 0.6
     top = ml.explain(model, features).orderBy(F.desc("attribution")).first()
-    assert "business_avg_stars" in top.feature or top.feature.startswith("scaled_0")
+    assert "business_avg_stars" in top.feature
     first = ml.predict_stars(model, features)
     assert first.count() == features.count() and first.columns == ["review_id", "actual_stars", "predicted_stars", "prediction_error"]
     assert sorted(ml.predict_stars(ml.train_stars(features, kind), features).collect()) == sorted(first.collect())
@@ -38,7 +39,7 @@ def test_star_models_learn_repeat_and_explain(spark, features, kind, tmp_path):
         ml.score_row(spark, model, {"weekday": "Monday"})
     path = str(tmp_path / "m")
     for _ in range(2):
-        ml.save_model(model, path)
+        ml.save_model(spark, model, path)
     assert ml.PipelineModel.load(path).transform(ml.numbers_as_double(features, ml.STAR_NUMERIC + ml.LINEAR_SCALED)).count() == 600
 
 
@@ -55,7 +56,7 @@ def test_elite_models(spark, kind):
     assert metrics.recall > 0.9 and metrics.roc_auc > 0.95
     out = ml.predict_elite(model, frame)
     assert out.where("(probability_of_elite > 0.5) = (predicted_is_elite = 1)").count() == 400
-    assert ml.explain(model, frame).orderBy(F.desc("attribution")).first().feature.startswith(("review_count", "scaled_0"))
+    assert ml.explain(model, frame).orderBy(F.desc("attribution")).first().feature == "review_count"
 
 
 def test_class_weights_balance(spark):
@@ -92,3 +93,54 @@ def test_hash_split_is_a_stable_partition(spark):
 def test_standardize_constant_column(spark):
     out = ml.standardize(spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double"), ["a", "b"]).collect()
     assert [r.b for r in out] == [0.0] * 3 and out[2].a is None and math.isclose(out[0].a, -math.sqrt(0.5))
+
+
+def test_auc_with_ties_equals_all_pairs(spark):
+    df = spark.range(300).select((F.pmod(F.xxhash64("id"), F.lit(23)) / 23).alias("p"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)).alias("k")).withColumn(
+        "y", (F.col("k") == 0).cast("int"))
+    rows = df.collect()
+    pairs = [(a.p, b.p) for a in rows for b in rows if a.y == 1 and b.y == 0]
+    want = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
+    assert math.isclose(ranking.roc_auc(df.repartition(6), "y", "p"), want, rel_tol=1e-12)
+    assert ranking.roc_auc(df.withColumn("p", F.lit(0.5)), "y", "p") == 0.5
+    assert ranking.roc_auc(df.where("y = 1"), "y", "p") is None and ranking.roc_auc(df.where("false"), "y", "p") is None
+    assert ranking.calibration_error(df.where("false"), "y", "p") is None
+    some = df.unionByName(spark.createDataFrame([(None, 0, 1), (0.3, 0, None)], df.schema.simpleString()[7:-1].replace(":", " ")))
+    assert math.isclose(ranking.roc_auc(some, "y", "p"), want, rel_tol=1e-12)
+    text = ranking.rank_sums(df, "y", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text
+
+
+def test_models_are_measured_on_rows_they_have_not_seen(spark, features, monkeypatch, tmp_path):
+    n = F.col("id")
+    users = spark.range(300).select(n.cast("string").alias("user_id"), F.lit("n").alias("name"), (F.pmod(F.xxhash64(n), F.lit(9)) / 3).alias("v"))
+    frame = users.select("user_id", "name", (F.col("v") < 1).cast("double").alias("is_elite"),
+                         *[(F.col("v") * i).alias(c) for i, c in enumerate(ml.ELITE_NUMERIC + ["friend_count"])])
+    places = spark.range(90).select(n.cast("string").alias("business_id"), F.lit("n").alias("name"), *[(n * i % 17).cast("double").alias(c) for i, c in enumerate(ml.CLUSTER_NUMERIC, 1)])
+    monkeypatch.setattr(pipeline, "read_gold", lambda *a: features)
+    monkeypatch.setattr(pipeline, "read_silver", lambda s, root, entity: {"user": frame, "business": places}[entity])
+    monkeypatch.setattr(ml, "elite_frame", lambda df, as_of: df)
+    monkeypatch.setattr(ml, "cluster_frame", lambda df: df)
+    boosted = ml.boosting.train
+    monkeypatch.setattr(ml.boosting, "train", lambda *a, **k: boosted(*a, **{**k, "rounds": 2, "depth": 2}))
+    seen, real = {}, ml.evaluate
+
+    def spy(model, df, task):
+        seen[task] = df
+        return real(model, df, task)
+
+    monkeypatch.setattr(ml, "evaluate", spy)
+    metrics = pipeline.run_ml(spark, str(tmp_path), "2024-01-01 00:00:00", kind="boosted")
+    for task, key, whole in (("regression", "review_id", features), ("classification", "user_id", frame)):
+        keys = {r[0] for r in seen[task].select(key).collect()}
+        assert keys == {r[0] for r in whole.where(~ml.in_training(key)).select(key).collect()} and 0 < len(keys) < whole.count() / 3
+    stored = {(r.model, r.metric): r.value for r in spark.read.parquet(f"{tmp_path}/gold/model_metrics").collect()}
+    assert stored[("elite_user_model", "roc_auc")] == metrics["elite_user_model"]["roc_auc"] > 0.9
+    assert ("star_rating_model", "r2_score") in stored and ("business_clusters", "davies_bouldin_index") in stored
+    loaded = ml.boosting.Boosted.load(spark, f"{tmp_path}/models/elite_user_model")
+    assert ml.predict_elite(loaded, frame).where("(probability_of_elite > 0.5) = (predicted_is_elite = 1)").count() == 300
+
+
+def test_explanation_names_input_columns(spark, features):
+    out = {r.feature for r in ml.explain(ml.train_stars(features, "linear"), features).collect()}
+    assert out == set(ml.LINEAR_SCALED + ml.LINEAR_PLAIN + ml.LINEAR_CATEGORICAL)
