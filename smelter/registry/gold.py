@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from smelter.registry.standins import (
     stars, supplier_businesses, table, text,
 )
 from smelter.schemas import COMPLIMENTS
+from smelter.session import ensure_checkpoint_dir
+from smelter.sources.tables import read_gold, write_gold
 
 
 def business_performance(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,6 +32,14 @@ def business_performance(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(rounded(out, "avg_review_stars"))
 
 
+def gold_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored table of customers' measures after it was replaced by a newer one as a whole."""
+    root = os.path.join(ensure_checkpoint_dir(spark), f"lake-{uuid.uuid4().hex}")
+    for at in (AS_OF, LOADED):
+        write_gold(user_engagement(spark, sf).withColumn("_refreshed_at", F.lit(at).cast("timestamp_ntz")), root, "user_engagement")
+    return read_gold(spark, root, "user_engagement")
+
+
 def city_analytics(spark: SparkSession, sf: str) -> DataFrame:
     out = gold.city_analytics(customer_businesses(spark, sf), order_reviews(spark, sf), LOADED,
                               min_businesses=60, top_k=3, exact=True)
@@ -115,7 +128,7 @@ QUERIES = {
     "city_analytics": city_analytics,
     "top_categories": top_categories,
     "top_categories_approx": top_categories_approx,
-    "user_engagement": user_engagement,
+    "user_engagement": user_engagement, "gold_replaced": gold_replaced,
     "user_tier": user_tiers,
     "category_group": category_groups,
     "star_features": star_features,
@@ -219,3 +232,4 @@ ORACLE = {
     "star_features_salted": _STAR_FEATURES,
     "star_features_hot": _STAR_FEATURES.replace("p_partkey = l_partkey", "p_partkey = CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_partkey END"),
 }
+ORACLE["gold_replaced"] = ORACLE["user_engagement"]

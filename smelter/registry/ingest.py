@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +15,7 @@ from smelter.operators.evolution import evolve_union, infer_fields
 from smelter.operators.flatten import flatten
 from smelter.operators.runlog import failed_runs, parse_log
 from smelter.registry.standins import LOADED, ntz, table, text
+from smelter.session import ensure_checkpoint_dir
 from smelter.streaming import weather
 
 
@@ -117,6 +121,20 @@ def weather_enrich(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(weather.enrich_weather(good, processing_time=LOADED))
 
 
+def weather_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages as a stream that lands in a sink, read a second time from the start by another checkpoint, then compacted."""
+    root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    source, sink = os.path.join(root, "in"), os.path.join(root, "out")
+    for part in (0, 1):
+        half = messages(spark, sf).where(F.pmod(F.xxhash64("value"), F.lit(2)) == part)
+        half.write.mode("append").text(source)
+        for checkpoint in ("first", "second")[:1 + part]:
+            feed = weather.weather_stream(spark, source)
+            weather.start_weather(feed, sink, os.path.join(root, checkpoint), trigger=None, processing_time=LOADED).awaitTermination()
+    weather.compact_weather(spark, sink)
+    return ntz(weather.read_weather(spark, sink).drop("run", "batch_id"))
+
+
 def weather_dlq(spark: SparkSession, sf: str) -> DataFrame:
     return weather.parse_weather(messages(spark, sf))[1]
 
@@ -135,7 +153,7 @@ QUERIES = {
     "coerce_types": coerce_types,
     "dlq_split": dlq_split, "flatten_json": flatten_json, "infer_types": infer_types, "infer_types_strict": infer_types_strict,
     "evolve_union": evolved, "parse_log": parse_log_lines, "failed_runs": failed, "weather_flatten": weather_flatten,
-    "weather_enrich": weather_enrich, "weather_dlq": weather_dlq,
+    "weather_enrich": weather_enrich, "weather_stream": weather_stream, "weather_dlq": weather_dlq,
 }
 
 _MESSAGE = """'{"city": "' || event_type || '", "temp_c": ' || CASE event_type WHEN 'click' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
@@ -202,5 +220,11 @@ ORACLE = {
             CAST(NULL AS VARCHAR) AS source, {_TEMP} * 9 / 5 + 32 AS temp_f, value > 20 AS is_windy,
             TIMESTAMP '{LOADED}' AS _processed_at
         FROM events WHERE event_type <> 'error'""",
+    "weather_stream": f"""
+        SELECT event_type AS city, {_TEMP} AS temp_c, CAST(NULL AS VARCHAR) AS condition, CAST(40 AS INTEGER) AS humidity,
+            value AS wind_speed, event_id AS api_timestamp, CAST(NULL AS VARCHAR) AS ingest_timestamp,
+            CAST(NULL AS VARCHAR) AS source, {_TEMP} * 9 / 5 + 32 AS temp_f, value > 20 AS is_windy,
+            TIMESTAMP '{LOADED}' AS _processed_at, CAST(epoch_ms(event_id * 1000) AS DATE) AS day
+        FROM events WHERE event_type <> 'error'""",
     "weather_dlq": f"SELECT {_MESSAGE} AS line, 'JSON parse error' AS error FROM events WHERE event_type = 'error'",
 }

@@ -10,6 +10,7 @@ table when repeated. One writer per table at a time is assumed.
   The bucket is a hash of the key. A batch reads and rewrites the current buckets its keys fall into and
   adds one history part; other buckets and older history are never touched or read.
 * Facts with a date lie in ``month=<yyyy-MM-01>/``. A batch rewrites only the months it touches.
+* Aggregate tables are replaced as a whole, by version (:mod:`smelter.sources.versions`).
 * Check-ins are append-only months, with a skip index of their keys (:mod:`smelter.sources.keyindex`): a
   batch reads only the months that may hold one of its keys.
 """
@@ -27,7 +28,7 @@ from pyspark.storagelevel import StorageLevel
 from smelter.functions.casts import month_of
 from smelter.operators.merge import as_new_rows, scd1_merge, scd2_apply_to_current, scd2_first_versions
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES, get_schema
-from smelter.sources import keyindex
+from smelter.sources import keyindex, versions
 
 Instant = datetime | str
 BUCKETS = 64
@@ -297,20 +298,19 @@ def compact_index(spark: SparkSession, root: str, entity: str) -> None:
 
 
 def write_gold(df: DataFrame, root: str, name: str) -> str:
-    """Replace an aggregate or prediction table as a whole."""
-    path = gold_path(root, name)
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Replace an aggregate or prediction table as a whole: readers see the old version or the new one, never a part."""
+    versions.replace(df, gold_path(root, name))
+    return gold_path(root, name)
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(gold_path(root, name))
+    return versions.current(spark, gold_path(root, name))
 
 
 def overwrite_from_files(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Replace a table with what parquet files hold; the source must not lie inside the target."""
-    spark.read.parquet(source).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    """Replace a table with what parquet files hold, without a gap for its readers."""
+    versions.replace(spark.read.parquet(source), target)
+    return versions.current(spark, target)
 
 
 def reset_table(spark: SparkSession, root: str, entity: str) -> T.StructType:

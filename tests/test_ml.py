@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from smelter.operators import ranking
 from smelter.plans import ml, pipeline
+from smelter.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -134,7 +135,7 @@ def test_models_are_measured_on_rows_they_have_not_seen(spark, features, monkeyp
     for task, key, whole in (("regression", "review_id", features), ("classification", "user_id", frame)):
         keys = {r[0] for r in seen[task].select(key).collect()}
         assert keys == {r[0] for r in whole.where(~ml.in_training(key)).select(key).collect()} and 0 < len(keys) < whole.count() / 3
-    stored = {(r.model, r.metric): r.value for r in spark.read.parquet(f"{tmp_path}/gold/model_metrics").collect()}
+    stored = {(r.model, r.metric): r.value for r in tables.read_gold(spark, str(tmp_path), "model_metrics").collect()}
     assert stored[("elite_user_model", "roc_auc")] == metrics["elite_user_model"]["roc_auc"] > 0.9
     assert ("star_rating_model", "r2_score") in stored and ("business_clusters", "davies_bouldin_index") in stored
     loaded = ml.boosting.Boosted.load(spark, f"{tmp_path}/models/elite_user_model")

@@ -79,14 +79,69 @@ def test_error_fails_the_query(spark, feed, monkeypatch):
         run()
 
 
-def test_redelivered_events_can_be_dropped(spark, tmp_path):
-    source = tmp_path / "in"
-    drop(source, "a", message(), message(), message(api_timestamp=1700000001))
-    good, _ = weather.parse_weather(weather.weather_stream(spark, str(source)))
-    query = weather.once_per_event(good).writeStream.format("memory").queryName("once").option(
-        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert spark.table("once").count() == 2
+def test_new_checkpoint_on_an_old_sink_loses_and_doubles_nothing(spark, feed, tmp_path):
+    source, sink, _, run = feed
+    drop(source, "a", message(), "{broken")
+    drop(source, "b", message(city="Boise"), message(city="Boise", api_timestamp=1700090000))
+    run()
+    drop(source, "c", message(city="Tucson"), "[1]")
+    stream = weather.weather_stream(spark, str(source), max_files=1)
+    weather.start_weather(stream, sink, str(tmp_path / "other"), trigger=None, processing_time=AT).awaitTermination()
+    rows = weather.read_weather(spark, sink)
+    assert sorted(r.city for r in rows.collect()) == ["Boise", "Boise", "Tampa", "Tucson"]
+    assert rows.select("run").distinct().count() == 2
+    assert {r.day for r in rows.where("city = 'Boise'").collect()} == {dt.date(2023, 11, 14), dt.date(2023, 11, 15)}
+    assert sorted(r.line for r in spark.read.parquet(os.path.join(sink, "dead_letters")).collect()) == ["[1]", "{broken"]
+
+
+def test_late_events_are_dead_letters(spark, tmp_path):
+    source, sink = tmp_path / "in", str(tmp_path / "out")
+    now = 1700000000
+    drop(source, "a", message(api_timestamp=now), message(city="Boise", api_timestamp=now - 9000))  # nothing seen before: not late
+    os.utime(source / "a", (1, 1))
+    drop(source, "b", message(city="Tucson", api_timestamp=now - 3601), message(city="Reno", api_timestamp=now - 3600))
+    stream = weather.weather_stream(spark, str(source), max_files=1)
+    weather.start_weather(stream, sink, str(tmp_path / "c"), trigger=None, processing_time=AT, late_after=3600).awaitTermination()
+    assert sorted(r.city for r in weather.read_weather(spark, sink).collect()) == ["Boise", "Reno", "Tampa"]
+    (dead,) = spark.read.parquet(os.path.join(sink, "dead_letters")).collect()
+    assert dead.error == weather.LATE and json.loads(dead.line)["city"] == "Tucson"
+
+
+def test_redelivered_events_are_kept_once(spark, tmp_path):
+    source, sink = tmp_path / "in", str(tmp_path / "out")
+    drop(source, "a", message(), message(source="other"), message(api_timestamp=1700000001))
+    os.utime(source / "a", (1, 1))
+    drop(source, "b", message(temp_c=3.0), message(city="Boise"))
+    stream = weather.weather_stream(spark, str(source), max_files=1)
+    weather.start_weather(stream, sink, str(tmp_path / "c"), trigger=None, processing_time=AT, once=True).awaitTermination()
+    assert sorted((r.city, r.api_timestamp) for r in weather.read_weather(spark, sink).collect()) == [
+        ("Boise", 1700000000), ("Tampa", 1700000000), ("Tampa", 1700000001)]
+
+
+def test_compaction_keeps_every_event_once(spark, feed, monkeypatch):
+    source, sink, _, run = feed
+    for i, name in enumerate("abcd"):
+        drop(source, name, message(city=f"city {i}", api_timestamp=1700000000 + i * 50000))
+        os.utime(source / name, (i + 1, i + 1))
+    run()
+    want = sorted(map(tuple, weather.read_weather(spark, sink).collect()))
+    real = weather.versions.publish
+    monkeypatch.setattr(weather.versions, "publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):  # dies before the pointer
+        weather.compact_weather(spark, sink)
+    assert sorted(map(tuple, weather.read_weather(spark, sink).collect())) == want
+    monkeypatch.setattr(weather.versions, "publish", real)
+    monkeypatch.setattr(weather.versions, "discard", lambda *a: None)  # dies before the folders are gone
+    assert weather.compact_weather(spark, sink) == 3
+    assert sorted(map(tuple, weather.read_weather(spark, sink).collect())) == want
+    monkeypatch.undo()
+    assert weather.compact_weather(spark, sink) == 0
+    (folder,) = os.listdir(os.path.join(sink, "events"))
+    assert sum(n.startswith("batch_id=") for n in os.listdir(os.path.join(sink, "events", folder))) == 1
+    drop(source, "e", message(city="city 4"))
+    run()
+    assert weather.compact_weather(spark, sink) == 1
+    assert sorted(r.city for r in weather.read_weather(spark, sink).collect()) == [f"city {i}" for i in range(5)]
 
 
 def test_payload_and_messages(spark):

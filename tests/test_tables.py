@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import pipeline, silver
-from smelter.sources import bronze, keyindex, tables
+from smelter.sources import bronze, keyindex, tables, versions
 from tests import raw_batches
 from tests.test_merge import A, B, T, businesses, reviews
 
@@ -233,10 +233,33 @@ def test_gold_and_file_overwrite(spark, root, tmp_path):
     tables.write_gold(spark.range(3), root, "g")
     tables.write_gold(spark.range(2), root, "g")
     assert tables.read_gold(spark, root, "g").count() == 2
-    copy = tables.overwrite_from_files(spark, tables.gold_path(root, "g"), str(tmp_path / "copy"))
+    copy = tables.overwrite_from_files(spark, versions.current_path(spark, tables.gold_path(root, "g")), str(tmp_path / "copy"))
     assert copy.count() == 2
 
 
+def test_readers_see_whole_versions_only(spark, root):
+    tables.write_gold(spark.range(1000).repartition(4), root, "g")
+    reader = tables.read_gold(spark, root, "g")  # begun before the rewrite
+    tables.write_gold(spark.range(7), root, "g")
+    assert reader.count() == 1000 and tables.read_gold(spark, root, "g").count() == 7
+    path = tables.gold_path(root, "g")
+    spark.range(3).write.parquet(versions.data_path(path, "killed"))  # a writer that died before its pointer
+    os.makedirs(os.path.join(path, "pointers"), exist_ok=True)
+    open(os.path.join(path, "pointers", "_half"), "w").write('{"vers')
+    assert tables.read_gold(spark, root, "g").count() == 7
+    failing = spark.range(10).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception):
+        tables.write_gold(failing, root, "g")
+    assert tables.read_gold(spark, root, "g").count() == 7
+    with pytest.raises(versions.Conflict):
+        versions.publish(spark, path, {"version": "x"}, after=0)
+    tables.write_gold(spark.range(8), root, "g")
+    versions.vacuum(spark, path, keep=1)
+    assert len(os.listdir(os.path.join(path, "data"))) == 1 and tables.read_gold(spark, root, "g").count() == 8
+    with pytest.raises(FileNotFoundError):
+        tables.read_gold(spark, root, "none")
+
+
 def test_reset(spark, root):
     apply_businesses(spark, root, [A], 0)
     schema = tables.reset_table(spark, root, "business")
