@@ -16,10 +16,11 @@ ANONYMOUS = "Anonymous"
 def mask_text(c: Column) -> Column:
     """Replace every e-mail address, then every phone number.
 
-    The e-mail pattern retries at each character of each word, so texts without an ``@`` skip it.
+    The e-mail pattern retries at each character of each word, so texts without an ``@`` skip it; texts without four
+    digits in a row, which a phone number ends with, skip the other.
     """
     no_email = F.when(c.contains("@"), F.regexp_replace(c, EMAIL_PATTERN, EMAIL_MASK)).otherwise(c)
-    return F.regexp_replace(no_email, PHONE_PATTERN, PHONE_MASK)
+    return F.when(c.rlike("[0-9]{4}"), F.regexp_replace(no_email, PHONE_PATTERN, PHONE_MASK)).otherwise(no_email)
 
 
 def mask_name(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +29,12 @@ class SchemaChanges:
         return all((old, new) in SAFE_WIDENINGS for _, old, new in self.type_changes)
 
 
-def infer_fields(lines: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:
-    """Rows ``(field, type)`` for the top-level fields of JSON lines.
-
-    Types are boolean, bigint, double, json (nested object) or string (text, lists and nulls). Each
-    (field, type) pair is counted once per task before the shuffle, so all lines are read.
+def field_kinds(lines: DataFrame, col: str = "value", count_nulls: bool = True) -> DataFrame:
+    """Rows ``(field, kinds)`` for the top-level fields of JSON lines: the sorted set of boolean, bigint, double, json (nested
+    object) and string (text and lists) that a field was seen as.
 
-    Where types differ, whole and fractional numbers widen to double and everything else to string.
-    ``strict`` ignores string as soon as another type is seen, and turns any other mix into string.
+    The set is a state that merges: see :func:`merged_kinds`. Each (field, kind) pair is counted once per task before the
+    shuffle, so all lines are read. Without ``count_nulls`` a null says nothing about its field's kind.
     """
     spark = lines.sparkSession
     document = lines.select(F.try_parse_json(col).alias("_doc"))
@@ -44,16 +42,32 @@ def infer_fields(lines: DataFrame, col: str = "value", strict: bool = False) ->
     shape = F.schema_of_variant("value")
     kind = (F.when(shape == "BOOLEAN", "boolean").when(shape == "BIGINT", "bigint")
             .when(shape.startswith("DECIMAL") | shape.isin("DOUBLE", "FLOAT"), "double")
-            .when(shape.startswith("OBJECT"), "json").otherwise("string"))
+            .when(shape.startswith("OBJECT"), "json"))
+    kind = kind.otherwise("string") if count_nulls else kind.when(shape != "VOID", "string")
     seen = exploded.select(F.col("key").alias("field"), kind.alias("_kind")).distinct()
-    kinds = F.sort_array(F.collect_set("_kind"))  # at most five values
-    others = F.array_remove(F.col("_kinds"), "string")
+    return seen.groupBy("field").agg(F.sort_array(F.collect_set("_kind")).alias("kinds"))  # at most five values
+
+
+def merged_kinds(states: DataFrame) -> DataFrame:
+    """One state per field out of the states of several batches."""
+    each = states.select("field", F.explode_outer("kinds").alias("_kind"))
+    return each.groupBy("field").agg(F.sort_array(F.collect_set("_kind")).alias("kinds"))
+
+
+def resolved_type(kinds: Column, strict: bool = False) -> Column:
+    """The type that holds every kind: whole and fractional numbers widen to double, any other mix to string.
+
+    ``strict`` ignores string as soon as another kind is seen, and turns any other mix into string. No kind gives string.
+    """
     if strict:
-        resolved = F.when(F.size(others) == 1, others[0]).otherwise("string")
-    else:
-        resolved = F.when(F.size("_kinds") == 1, F.col("_kinds")[0]).when(
-            F.col("_kinds") == F.array(F.lit("bigint"), F.lit("double")), "double").otherwise("string")
-    return seen.groupBy("field").agg(kinds.alias("_kinds")).select("field", resolved.alias("type"))
+        others = F.array_remove(kinds, "string")
+        return F.when(F.size(others) == 1, others[0]).otherwise("string")
+    return F.when(F.size(kinds) == 1, kinds[0]).when(kinds == F.array(F.lit("bigint"), F.lit("double")), "double").otherwise("string")
+
+
+def infer_fields(lines: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:
+    """Rows ``(field, type)`` for the top-level fields of JSON lines; see :func:`field_kinds` and :func:`resolved_type`."""
+    return field_kinds(lines, col).select("field", resolved_type(F.col("kinds"), strict).alias("type"))
 
 
 def inferred_schema(inferred: DataFrame) -> dict[str, str]:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.functions.text import EMAIL_PATTERN, PHONE_PATTERN
 
 # The information types, how sure a pattern alone can be, and its pattern. Patterns use
 # only syntax that Java and RE2 share. Names, street addresses and birth dates cannot be told reliably
 # by a pattern; treat those counts as hints.
 INFO_TYPES = {
     "PERSON_NAME": ("possible", r"(?:^|[^\p{L}])[A-Z][a-z]+ [A-Z][a-z]+"),
-    "EMAIL_ADDRESS": ("likely", r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"),
-    "PHONE_NUMBER": ("likely", r"\(?\d{3}\)?[\s.-]?\d{3}[\s.-]?\d{4}"),
+    "EMAIL_ADDRESS": ("likely", EMAIL_PATTERN),
+    "PHONE_NUMBER": ("likely", PHONE_PATTERN),
     "STREET_ADDRESS": ("possible", r"\b\d{1,5} [A-Z][a-z]+ (?:St|Street|Ave|Avenue|Rd|Road|Blvd|Lane|Ln|Drive|Dr)\b"),
     "CREDIT_CARD_NUMBER": ("likely", r"\b\d(?:[ -]?\d){12,18}\b"),
     "US_SOCIAL_SECURITY_NUMBER": ("likely", r"\b\d{3}-\d{2}-\d{4}\b"),
@@ -20,8 +21,12 @@ INFO_TYPES = {
     "IP_ADDRESS": ("likely", r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b"),
     "URL": ("likely", r"https?://[^\s<>]+"),
 }
-# Text without this literal cannot match, and skips the pattern.
-NEEDS = {"EMAIL_ADDRESS": "@", "US_SOCIAL_SECURITY_NUMBER": "-", "DATE_OF_BIRTH": "-", "IP_ADDRESS": ".", "URL": "://"}
+# What a text must hold for the pattern to match at all: a literal, or a pattern that fails fast (it begins with one
+# character class). Most texts fail, and skip the information type. A gate that types share is tried once per text.
+DIGIT, TWO_CAPITALS = "[0-9]", "[A-Z][a-z]+ [A-Z]"
+LITERALS = {"EMAIL_ADDRESS": "@", "URL": "://"}
+GATES = {"PERSON_NAME": TWO_CAPITALS, **dict.fromkeys(
+    ("PHONE_NUMBER", "STREET_ADDRESS", "CREDIT_CARD_NUMBER", "US_SOCIAL_SECURITY_NUMBER", "DATE_OF_BIRTH", "IP_ADDRESS"), DIGIT)}
 TOKEN_TAG = "PII_TOKEN"
 
 
@@ -36,17 +41,19 @@ def luhn_valid(number: Column) -> Column:
     return F.aggregate(F.transform(digits, weigh), F.lit(0), lambda acc, x: acc + x) % 10 == 0
 
 
-def count_findings(c: Column, info_type: str) -> Column:
-    """How often the information type occurs in a text (0 for null)."""
+def passes(c: Column, info_type: str) -> Column:
+    """Could the text hold the information type? Cheap, and never wrong about a no."""
+    return c.contains(LITERALS[info_type]) if info_type in LITERALS else c.rlike(GATES[info_type])
+
+
+def count_findings(c: Column, info_type: str, gate: Column | None = None) -> Column:
+    """How often the information type occurs in a text (0 for null). ``gate`` is :func:`passes`, if it is known already."""
     pattern = INFO_TYPES[info_type][1]
     if info_type == "CREDIT_CARD_NUMBER":
         hits = F.size(F.filter(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), luhn_valid))
-        hits = F.when(c.isNotNull(), hits)
     else:
         hits = F.regexp_count(c, F.lit(pattern))
-    if info_type in NEEDS:
-        hits = F.when(c.contains(NEEDS[info_type]), hits)
-    return F.coalesce(hits, F.lit(0)).cast("bigint")
+    return F.coalesce(F.when(passes(c, info_type) if gate is None else gate, hits), F.lit(0)).cast("bigint")
 
 
 def inspect_pii(df: DataFrame, cols: list[str], info_types: list[str] | None = None, min_likelihood: str = "likely") -> DataFrame:
@@ -56,7 +63,10 @@ def inspect_pii(df: DataFrame, cols: list[str], info_types: list[str] | None = N
     """
     chosen = [t for t in (info_types or INFO_TYPES) if min_likelihood == "possible" or INFO_TYPES[t][0] == "likely"]
     pairs = [(c, t) for c in cols for t in chosen]
-    counted = df.select(*cols).select(*[count_findings(F.col(c), t).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
+    shared = [(c, g) for c in cols for g in sorted({GATES[t] for t in chosen if t in GATES})]
+    gated = df.select(*cols, *[F.col(c).rlike(g).alias(f"_g{i}") for i, (c, g) in enumerate(shared)])
+    gates = {(c, t): F.col(f"_g{shared.index((c, GATES[t]))}") if t in GATES else None for c, t in pairs}
+    counted = gated.select(*[count_findings(F.col(c), t, gates[c, t]).alias(f"_{i}") for i, (c, t) in enumerate(pairs)])
     sums = counted.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col(f"_{i}") > 0).alias(f"_r{i}") for i in range(len(pairs))],

@@ -19,23 +19,28 @@ from smelter.operators.quality import (
 )
 from smelter.operators.joins import heavy_hitters
 from smelter.operators.merge import current
+from smelter.operators.pii import inspect_pii
 from smelter.plans import gold, ml, silver
-from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES
+from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES, pii_columns
 from smelter.session import tune
-from smelter.sources.bronze import available_entities, batch_path, land_batch, landed_path, read_landed
+from smelter.sources import growth
+from smelter.sources.bronze import available_entities, batch_path, bronze_lines, land_batch, landed_path, read_landed
 from smelter.sources.tables import (
     apply_insert_only, apply_scd1, apply_scd2, ensure_silver_tables, is_dimension, path_exists, read_gold, read_silver,
     write_gold,
 )
 
 Instant = datetime | str
-_EXTRA = {"business": "data_quality_tag string", "user": "user_loyalty_tier string"}  # grown columns the raw files may hold
 
 
 class ValidationFailed(ValueError):
     pass
 
 
+def pii_findings_path(root: str, entity: str, dt: str) -> str:
+    return os.path.join(root, "pii_findings", f"entity={entity}", f"dt={dt}")
+
+
 def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_records: int | None = None) -> dict[str, dict[str, int]]:
     """Parse a raw batch into ``landed/`` and report bad lines, null keys and repeated keys per entity.
 
@@ -45,7 +50,8 @@ def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_record
     for entity in available_entities(tune(spark), raw):
         if not path_exists(spark, batch_path(raw, entity, dt)):
             continue
-        bad = land_batch(spark, raw, root, entity, dt, extra=_EXTRA.get(entity), limit=max_bad_records)
+        growth.learn(spark, root, entity, bronze_lines(spark, raw, entity, dt), f"{dt} 00:00:00", dt)
+        bad = land_batch(spark, raw, root, entity, dt, extra=growth.raw_extra(spark, root, entity), limit=max_bad_records)
         keys, null_cols = BRONZE_KEYS[entity]
         stats = bronze_key_stats(read_landed(spark, root, entity, dt), list(keys), list(null_cols)).first()
         report[entity] = {"bad_records": bad, "null_rows": stats["total_nulls"], "duplicate_keys": stats["total_duplicates"]}
@@ -53,17 +59,22 @@ def run_bronze(spark: SparkSession, raw: str, root: str, dt: str, max_bad_record
 
 
 def run_silver(spark: SparkSession, root: str, dt: str, processing_time: Instant, mask_pii: bool = False,
-               entities: tuple[str, ...] = ENTITIES) -> None:
+               entities: tuple[str, ...] = ENTITIES) -> dict[str, list]:
     """Merge a landed batch into the cleaned tables; rows without a usable key go to ``quarantine/``.
 
     ``mask_pii`` also masks the registered columns that are otherwise loaded in the clear: business
-    names and addresses, and friends lists.
+    names and addresses, and friends lists. Counts of personal data in the raw rows go to ``pii_findings/``. Returns the
+    months or buckets of each table that the batch has written to.
     """
+    written = {}
     ensure_silver_tables(tune(spark), root)
     for entity in entities:
         if not path_exists(spark, landed_path(root, entity, dt)):
             continue
-        rows = read_landed(spark, root, entity, dt, extra=_EXTRA.get(entity))
+        rows = read_landed(spark, root, entity, dt, extra=growth.raw_extra(spark, root, entity))
+        marked = pii_columns(entity)
+        if marked:  # the raw rows, all of them, before anything is masked
+            inspect_pii(rows, marked, min_likelihood="possible").write.mode("overwrite").parquet(pii_findings_path(root, entity, dt))
         if entity == "business":
             stage, bad = silver.stage_businesses(rows, mask_pii=mask_pii)
         elif entity == "user":
@@ -72,25 +83,30 @@ def run_silver(spark: SparkSession, root: str, dt: str, processing_time: Instant
             stage, bad = getattr(silver, f"stage_{SILVER_TABLES[entity]}")(rows)
         bad.write.mode("overwrite").parquet(os.path.join(root, "quarantine", f"entity={entity}", f"dt={dt}"))
         if is_dimension(entity):
-            apply_scd2(spark, root, entity, stage, processing_time, batch=dt)
+            written[entity] = apply_scd2(spark, root, entity, stage, processing_time, batch=dt)
         elif entity == "checkin":
-            apply_insert_only(spark, root, entity, stage, processing_time)
+            written[entity] = apply_insert_only(spark, root, entity, stage, processing_time)
         else:
             updates = silver.REVIEW_UPDATES if entity == "review" else silver.TIP_UPDATES
-            apply_scd1(spark, root, entity, stage, updates, processing_time)
+            written[entity] = apply_scd1(spark, root, entity, stage, updates, processing_time)
+    return written
 
 
-def validate_silver(spark: SparkSession, root: str, processing_time: Instant, entities: tuple[str, ...] = ENTITIES) -> dict[str, dict]:
+def validate_silver(spark: SparkSession, root: str, processing_time: Instant, entities: tuple[str, ...] = ENTITIES,
+                    written: dict[str, list] | None = None) -> dict[str, dict]:
     """Check the rows of one batch (those processed at ``processing_time``); raise on a failure.
 
     The batch is told by its own timestamp, not by a calendar date, so a late run is checked as well;
     the report says how many rows were seen. A key the batch touched has a row of the batch among the
-    current ones, so the history of a dimension is not read for the uniqueness check.
+    current ones, so the history of a dimension is not read for the uniqueness check. With ``written``, as
+    :func:`run_silver` returns it, only the months and buckets the batch has written to are read.
     """
     in_batch = F.col("_processed_at") == instant(processing_time)
     report, problems = {}, []
     for entity in entities:
-        table, keys = read_silver(spark, root, entity), list(LAYOUT[entity].keys)
+        parts = None if written is None else written.get(entity, [])
+        where = {"buckets" if is_dimension(entity) else "months": parts}
+        table, keys = read_silver(spark, root, entity, **where), list(LAYOUT[entity].keys)
         if is_dimension(entity):
             found = check_null_keys(table, keys, in_batch).first().asDict()
             found["duplicate_keys"] = check_single_active(current(table), keys[0], in_batch).count()
@@ -152,7 +168,7 @@ def run_ml(spark: SparkSession, root: str, as_of: Instant, seed: int = 1, kind:
 def run_batch(spark: SparkSession, raw: str, root: str, dt: str, processing_time: Instant) -> dict:
     """One batch through all layers but the models. The aggregates are rebuilt only if validation passes."""
     report = {"bronze": run_bronze(spark, raw, root, dt)}
-    run_silver(spark, root, dt, processing_time)
-    report["silver"] = validate_silver(spark, root, processing_time)
+    written = run_silver(spark, root, dt, processing_time)
+    report["silver"] = validate_silver(spark, root, processing_time, written=written)
     run_gold(spark, root, processing_time)
     return report

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.casts import round_int, safe_date, safe_int, safe_timestamp
@@ -16,7 +16,7 @@ from smelter.functions.text import char_length, count_char, mask_name, mask_text
 from smelter.operators.dedup import dedup_latest, explode_list, split_null_keys
 from smelter.operators.flatten import json_text
 from smelter.operators.merge import insert_only_merge, scd1_merge, scd2_merge, with_hash_diff
-from smelter.schemas import COMPLIMENTS, LAYOUT
+from smelter.schemas import COMPLIMENTS, LAYOUT, bronze_schema
 
 Instant = datetime | str
 Staged = tuple[DataFrame, DataFrame]
@@ -30,6 +30,16 @@ def _lineage(df: DataFrame) -> list[str]:
     return [c for c in ("_source_file",) if c in df.columns]
 
 
+# Grown columns that the cleaned schema has taken in.
+ADOPTED = ("data_quality_tag", "user_loyalty_tier")
+
+
+def _grown(df: DataFrame, entity: str) -> list[Column]:
+    """Columns that schema growth has added to the raw rows, as text."""
+    known = {f.name for f in bronze_schema(entity).fields} | {"dt", *ADOPTED}
+    return [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in known and not c.startswith("_") and c != "hash_diff"]
+
+
 def _trim_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Trim key columns; a blank key counts as missing."""
     return df.withColumns({k: F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in keys})
@@ -51,7 +61,7 @@ def stage_businesses(raw: DataFrame, mask_pii: bool = False) -> Staged:
         json_text(F.col("attributes"), latest.schema["attributes"].dataType).alias("attributes_json"),
         json_text(F.col("hours"), latest.schema["hours"].dataType).alias("hours_json"),
         *(["data_quality_tag"] if "data_quality_tag" in types else []),
-        *_lineage(latest),
+        *_grown(latest, "business"), *_lineage(latest),
     )
     hashed = with_hash_diff(clean, list(LAYOUT["business"].tracked))
     if mask_pii:
@@ -79,7 +89,7 @@ def stage_users(raw: DataFrame, mask_pii: bool = False, load_compliments: bool =
         (F.regexp_replace(friends, r"[^,\s]", "*") if mask_pii else friends).alias("friends"),
         safe_int(F.col("fans")).alias("fans"),
         F.col("average_stars").try_cast("double").alias("average_stars"),
-        *compliments, *extra, "hash_diff", *_lineage(hashed),
+        *compliments, *extra, *_grown(hashed, "user"), "hash_diff", *_lineage(hashed),
     )
     return staged, bad
 
@@ -99,7 +109,7 @@ def stage_reviews(raw: DataFrame) -> Staged:
         char_length(text).alias("char_length"),
         count_char(text, "!").alias("exclamation_count"),
         safe_date(F.col("date")).alias("date"),
-        *_lineage(latest),
+        *_grown(latest, "review"), *_lineage(latest),
     )
     return staged, bad
 
@@ -111,7 +121,7 @@ def stage_tips(raw: DataFrame) -> Staged:
     latest = dedup_latest(keyed, ["user_id", "business_id", "_day"], [safe_timestamp(F.col("date")), "date"])
     staged = latest.select(
         "user_id", "business_id", mask_text(F.col("text")).alias("text"), F.col("_day").alias("date"),
-        safe_int(F.col("compliment_count")).alias("compliment_count"), *_lineage(latest),
+        safe_int(F.col("compliment_count")).alias("compliment_count"), *_grown(latest, "tip"), *_lineage(latest),
     )
     return staged, bad.drop("_day")
 

@@ -28,7 +28,7 @@ from pyspark.storagelevel import StorageLevel
 from smelter.functions.casts import month_of
 from smelter.operators.merge import as_new_rows, scd1_merge, scd2_apply_to_current, scd2_first_versions
 from smelter.schemas import ENTITIES, LAYOUT, SILVER_TABLES, get_schema
-from smelter.sources import keyindex, versions
+from smelter.sources import growth, keyindex, versions
 
 Instant = datetime | str
 BUCKETS = 64
@@ -58,9 +58,9 @@ def is_dimension(entity: str) -> bool:
     return bool(LAYOUT[entity].tracked)
 
 
-def _stored_schema(entity: str) -> T.StructType:
+def _stored_schema(entity: str, grown: dict[str, str]) -> T.StructType:
     """Columns in the files, then the partition columns with explicit types (nothing is inferred)."""
-    schema = get_schema(entity)
+    schema = T.StructType(get_schema(entity).fields + growth.stored_fields(grown))
     if is_dimension(entity):
         fields = [f for f in schema.fields if f.name != "is_current"]
         return T.StructType(fields + [T.StructField("is_current", T.BooleanType()), T.StructField("batch", T.StringType()),
@@ -110,8 +110,9 @@ def table_properties(spark: SparkSession, root: str, entity: str) -> dict[str, i
     return {name: int(value) for name, value in pairs}
 
 
-def _read_stored(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    return spark.read.schema(_stored_schema(entity)).parquet(silver_path(root, entity))
+def _read_stored(spark: SparkSession, root: str, entity: str, grown: dict[str, str] | None = None) -> DataFrame:
+    grown = growth.grown_columns(spark, root, entity) if grown is None else grown
+    return spark.read.schema(_stored_schema(entity, grown)).parquet(silver_path(root, entity))
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -125,14 +126,17 @@ def in_months(months: list) -> Column:
     return found | F.col("month").isNull() if None in months else found
 
 
-def read_silver(spark: SparkSession, root: str, entity: str, months: list | None = None, buckets: list[int] | None = None) -> DataFrame:
-    """A cleaned table in its declared column order.
+def read_silver(spark: SparkSession, root: str, entity: str, months: list | None = None, buckets: list[int] | None = None,
+                typed: bool = True) -> DataFrame:
+    """A cleaned table in its declared column order, then the columns that schema growth has added, as their type of today
+    (``typed=False``: as the text they are stored as).
 
     ``is_current`` is a partition, so a filter on it skips the history. ``months`` (first days, dates or
     ``yyyy-MM-dd``) skips the other months; a filter on the date itself cannot, as it does not name the
     partition. ``buckets`` of a dimension reads the current rows of those buckets only.
     """
-    df = _read_stored(spark, root, entity)
+    grown = growth.grown_columns(spark, root, entity)
+    df = _read_stored(spark, root, entity, grown)
     if months is not None:
         if not LAYOUT[entity].month_of:
             raise ValueError(f"{entity} is not partitioned by month")
@@ -141,7 +145,8 @@ def read_silver(spark: SparkSession, root: str, entity: str, months: list | None
         if not is_dimension(entity):
             raise ValueError(f"{entity} is not partitioned by bucket")
         df = df.where(F.col("is_current") & F.col("bucket").isin(buckets))
-    return df.select(*[f.name for f in get_schema(entity).fields])
+    return df.select(*[f.name for f in get_schema(entity).fields],
+                     *[F.col(n).try_cast(t).alias(n) if typed and t != "string" else F.col(n) for n, t in grown.items()])
 
 
 def _overwrite_parts(df: DataFrame, path: str, parts: tuple[str, ...], sort_by: tuple[str, ...], mode: str = "overwrite") -> None:
@@ -184,10 +189,10 @@ def apply_scd2(spark: SparkSession, root: str, entity: str, stage: DataFrame, pr
         if not touched:
             return []
         if not path_exists(spark, os.path.join(path, "is_current=true")) and not path_exists(spark, _history(path, batch)):
-            first = scd2_first_versions(empty_table(spark, entity), stage, processing_time)
+            first = scd2_first_versions(read_silver(spark, root, entity, typed=False), stage, processing_time)
             _overwrite_parts(first.withColumns({"batch": F.lit("current"), "bucket": bucket}), path, _PART["dimension"], layout.sort_by)
             return touched
-        merged = scd2_apply_to_current(read_silver(spark, root, entity, buckets=touched), stage, key, processing_time)
+        merged = scd2_apply_to_current(read_silver(spark, root, entity, buckets=touched, typed=False), stage, key, processing_time)
         merged = merged.persist(StorageLevel.MEMORY_AND_DISK)  # read by two writes; its sources stay until the second commits
         closed = merged.where(~F.col("is_current"))
         if path_exists(spark, _history(path, batch)):
@@ -229,9 +234,10 @@ def apply_scd1(spark: SparkSession, root: str, entity: str, stage: DataFrame, up
             return []
         there = set(stored_months(spark, silver_path(root, entity)))
         if there.isdisjoint(months):
-            merged = as_new_rows(empty_table(spark, entity), stage, processing_time)
+            merged = as_new_rows(read_silver(spark, root, entity, typed=False), stage, processing_time)
         else:
-            merged = scd1_merge(read_silver(spark, root, entity, months=months), stage, list(layout.keys), update_cols, processing_time)
+            update_cols = [*update_cols, *growth.grown_columns(spark, root, entity)]
+            merged = scd1_merge(read_silver(spark, root, entity, months=months, typed=False), stage, list(layout.keys), update_cols, processing_time)
         dated = merged.withColumn("month", month_of(F.col(layout.month_of)))
         _overwrite_parts(dated, silver_path(root, entity), _PART["month"], layout.sort_by)
         return months
@@ -239,13 +245,10 @@ def apply_scd1(spark: SparkSession, root: str, entity: str, stage: DataFrame, up
         stage.unpersist()
 
 
-def possible_keys(spark: SparkSession, root: str, entity: str, keyed: DataFrame) -> DataFrame | None:
-    """Keys (with month) of a probed batch that the table may hold, by its key index; None where it has none of the months.
-
-    Months of a batch are collected: there are twelve a year, whatever the rows.
-    """
+def possible_keys(spark: SparkSession, root: str, entity: str, keyed: DataFrame, coming: list) -> DataFrame | None:
+    """Keys (with month) of a probed batch that the table may hold, by its key index; None where it has none of the
+    batch's months ``coming``."""
     layout = LAYOUT[entity]
-    coming = {r["month"] for r in keyed.select("month").distinct().collect()}
     shared = [m for m in stored_months(spark, index_path(root, entity)) if m in coming]
     if not shared:
         return None
@@ -263,7 +266,7 @@ def held_keys(spark: SparkSession, root: str, entity: str, possible: DataFrame)
 
 
 def apply_insert_only(spark: SparkSession, root: str, entity: str, stage: DataFrame, processing_time: Instant) -> list:
-    """Append the staged rows whose key the table lacks; returns the months that were read. Repeating it appends nothing.
+    """Append the staged rows whose key the table lacks; returns the batch's months. Repeating it appends nothing.
 
     The index goes first: a run that dies before the rows are there leaves keys in it that no row has, which costs a
     read, where rows without their keys in it would be added again.
@@ -271,9 +274,10 @@ def apply_insert_only(spark: SparkSession, root: str, entity: str, stage: DataFr
     layout = LAYOUT[entity]
     keys, blocks = list(layout.keys), table_properties(spark, root, entity)["index_blocks"]
     stage = stage.withColumn("month", month_of(F.col(layout.month_of))).persist(StorageLevel.MEMORY_AND_DISK)
-    kept, read, fresh = [stage], [], stage
+    kept, fresh = [stage], stage
     try:
-        possible = possible_keys(spark, root, entity, keyindex.probes(stage, keys, blocks))
+        coming = [r["month"] for r in stage.select("month").distinct().collect()]  # twelve a year, whatever the rows
+        possible = possible_keys(spark, root, entity, keyindex.probes(stage, keys, blocks), coming)
         if possible is not None:
             possible = possible.persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(possible)
@@ -284,7 +288,7 @@ def apply_insert_only(spark: SparkSession, root: str, entity: str, stage: DataFr
         filters.hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(index_path(root, entity))
         shaped = as_new_rows(empty_table(spark, entity), fresh, processing_time).withColumn("month", month_of(F.col(layout.month_of)))
         _overwrite_parts(shaped, silver_path(root, entity), _PART["month"], layout.sort_by, mode="append")
-        return read
+        return coming
     finally:
         for df in kept:
             df.unpersist()

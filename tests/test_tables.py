@@ -1,13 +1,14 @@
 """Tables on storage: what a batch rewrites, and that repeating a batch is harmless."""
 
 import datetime as dt
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from smelter.plans import pipeline, silver
-from smelter.sources import bronze, keyindex, tables, versions
+from smelter.sources import bronze, growth, keyindex, tables, versions
 from tests import raw_batches
 from tests.test_merge import A, B, T, businesses, reviews
 
@@ -188,14 +189,15 @@ def test_only_months_that_may_hold_a_key_are_read(spark, root):
     # A new key in January, one that is known in March and a month the table lacks.
     stage = checkins(spark, ("new", "2024-01-03 10:00:00"), ("b4", "2024-03-03 10:00:00"), ("b4", "2024-09-01"))
     dated = stage.withColumn("month", F.to_date(F.trunc("date", "MM")))
-    possible = tables.possible_keys(spark, root, "checkin", keyindex.probes(dated, ["business_id", "date"], keyindex.BLOCKS))
+    coming = [dt.date(2024, m, 1) for m in (1, 3, 9)]
+    possible = tables.possible_keys(spark, root, "checkin", keyindex.probes(dated, ["business_id", "date"], keyindex.BLOCKS), coming)
     held, months = tables.held_keys(spark, root, "checkin", possible)
     assert months == [dt.date(2024, 3, 1)]
     assert [r.business_id for r in held.collect()] == ["b4"]
     plan = held._jdf.queryExecution().executedPlan().toString()
     scans = {x.split("PartitionFilters: ")[1].split("PushedFilters")[0] for x in plan.splitlines() if "ReadSchema: struct<business_id:string,date:timestamp>" in x}
     assert len(scans) == 1 and "2024-03-01" in str(scans) and "2024-01-01" not in str(scans) and "2024-09-01" not in str(scans)
-    assert tables.apply_insert_only(spark, root, "checkin", stage, T[1]) == [dt.date(2024, 3, 1)]
+    assert sorted(tables.apply_insert_only(spark, root, "checkin", stage, T[1])) == coming
     after = snapshot(path)
     assert before.items() <= after.items() and len(after) == len(before) + 2
     assert tables.read_silver(spark, root, "checkin").count() == 122
@@ -286,6 +288,45 @@ def test_two_batches_through_all_layers(spark, tmp_path):
     assert "[EMAIL]" in text and "[PHONE]" in text
 
 
+def test_unknown_fields_are_kept_and_their_types_grow(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    review = {"review_id": "r1", "user_id": "u", "business_id": "b", "stars": 4.0, "text": "Ann Lee, 555-123-4567", "date": "2024-01-05"}
+    batches = {"2026-03-31": [{**review, "photos": 3, "source": {"app": "web"}}, {**review, "review_id": "r2", "photos": None, "Stars": 9}],
+               "2026-04-01": [{**review, "photos": 2.5}, {**review, "review_id": "r3", "bad name": 1, "seen": True}]}
+    shop = {"business_id": "b", "name": "Shop", "city": "Here", "stars": 3.0, "review_count": 1, "is_open": 1}
+    shops = {"2026-03-31": [shop], "2026-04-01": [{**shop, "wifi": True, "review_count": 2}]}
+    for day in batches:
+        for entity, rows in (("review", batches[day]), ("business", shops[day])):
+            folder = tmp_path / "raw" / f"entity={entity}" / f"dt={day}"
+            folder.mkdir(parents=True)
+            (folder / "x.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    for day in batches:
+        pipeline.run_bronze(spark, raw, root, day)
+        written = pipeline.run_silver(spark, root, day, f"{day} 05:00:00")
+        assert written["review"] == [dt.date(2024, 1, 1)] and len(written["business"]) == 1
+        found = pipeline.validate_silver(spark, root, f"{day} 05:00:00", ("review", "business"), written)
+        assert found["review"]["rows_checked"] == 2 and found["business"]["duplicate_keys"] == 0
+    table = tables.read_silver(spark, root, "review")
+    assert dict(table.dtypes)["photos"] == "double" and dict(table.dtypes)["seen"] == "boolean"
+    assert "Stars" not in table.columns and "bad name" not in table.columns
+    rows = {r.review_id: r for r in table.collect()}
+    assert (rows["r1"].photos, rows["r2"].photos, rows["r3"].seen) == (2.5, None, True)
+    assert rows["r1"].source is None  # the newer row of the key lacks it
+    assert sorted((r.is_current, r.wifi) for r in tables.read_silver(spark, root, "business").collect()) == [(False, None), (True, True)]
+    log = spark.read.parquet(growth.change_log_path(root)).where("table = 'reviews'").orderBy("batch").collect()
+    assert [sorted(r.new_columns) for r in log] == [["Stars bigint", "photos bigint", "source json"], ["bad name bigint", "seen boolean"]]
+    assert [r.type_changes for r in log] == [[], ["photos: bigint -> double"]] and len({r.version for r in log}) == 2
+    pii = spark.read.parquet(pipeline.pii_findings_path(root, "review", "2026-04-01"))
+    assert {r.info_type: r.rows_found for r in pii.where("column = 'text'").collect()}["PHONE_NUMBER"] == 2
+
+
+def test_keys_that_are_data_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(growth, "MOST_FIELDS", 3)
+    lines = spark.createDataFrame([(json.dumps({f"k{i}": 1}),) for i in range(5)], "value string")
+    with pytest.raises(growth.TooManyFields):
+        growth.learn(spark, str(tmp_path), "tip", lines, "2024-01-01 00:00:00", "b")
+
+
 def test_batch_with_bad_lines_and_rows_without_key(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     folder = tmp_path / "raw" / "entity=tip" / "dt=2026-03-31"
