@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.casts import hours_between, instant
@@ -15,18 +16,27 @@ from smelter.operators.merge import current
 Tables = dict[str, dict[str, DataFrame]]
 
 
-def audit_volume(tables: Tables, with_created: bool = False) -> DataFrame:
-    """Row count per layer and table. Names with ``$`` are internal and left out.
+def _created(df: DataFrame) -> list[Column]:
+    """The time of the oldest file; null where the rows are not read from files."""
+    try:
+        df.select("_metadata.file_modification_time")
+    except AnalysisException:
+        return [F.lit(None).cast("timestamp").alias("created_at")]
+    return [F.min("_metadata.file_modification_time").alias("created_at")]
 
-    Counting needs no column, so parquet answers from its footers. ``with_created`` adds the time of
-    the oldest file (file sources only).
+
+def audit_volume(tables: Tables, with_created: bool = True) -> DataFrame:
+    """Row count and creation time per layer and table. Names with ``$`` are internal and left out.
+
+    The creation time is that of the oldest file. Without ``with_created`` counting needs no column, so parquet answers
+    from its footers.
     """
     parts = []
     for layer, entities in tables.items():
         for name, df in entities.items():
             if "$" in name:
                 continue
-            created = [F.min("_metadata.file_modification_time").alias("created_at")] if with_created else []
+            created = _created(df) if with_created else []
             parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), *created).select(
                 F.lit("1. VOLUME").alias("category"), F.lit(layer).alias("layer"), F.lit(name).alias("entity"),
                 "row_count", *(["created_at"] if with_created else [])))

@@ -11,10 +11,15 @@ A null feature goes left at every split. Ties go to the first feature, then the
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
+from math import factorial, log
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from smelter.session import ensure_checkpoint_dir
@@ -26,7 +31,8 @@ SAME = 1e-9  # gains this near to each other count as equal
 
 @dataclass
 class Boosted:
-    """A trained model: ``base`` plus the trees. A tree is a leaf ``{"value"}`` or ``{"feature", "at_most", "left", "right"}``."""
+    """A trained model: ``base`` plus the trees. A tree is a leaf ``{"value"}`` or ``{"feature", "at_most", "left", "right"}``;
+    ``cover`` is the sum of the hessian (for squared loss: the rows) that training saw there."""
 
     inputs: list[str]
     loss: str
@@ -130,13 +136,14 @@ def _grow(rows: DataFrame, inputs: list[str], splits: dict[str, list[float]], lo
         for node in open_nodes:
             parts = by_node.get(node.pop("node"), [])
             whole = [(g_, h_) for f, _, g_, h_ in parts if f == 0]
+            node["cover"] = sum(x for _, x in whole)
             node["value"] = rate * sum(x for x, _ in whole) / (sum(x for _, x in whole) + l2) if whole else 0.0
             if (best := _best_split(parts, inputs, splits, l2)) is None:
                 continue
             _, name, at_most, left, right = best
             node.pop("value")
             node |= {"feature": name, "at_most": at_most, **{
-                side: {"value": rate * sums[0] / (sums[1] + l2)} for side, sums in (("left", left), ("right", right))}}
+                side: {"value": rate * sums[0] / (sums[1] + l2), "cover": sums[1]} for side, sums in (("left", left), ("right", right))}}
             following += [node["left"], node["right"]]
         if level + 1 < depth:
             for i, node in enumerate(following):
@@ -149,9 +156,10 @@ def _grow(rows: DataFrame, inputs: list[str], splits: dict[str, list[float]], lo
 
 def _clean(tree: dict) -> dict:
     """The tree without what only growing needs."""
+    cover = {"cover": float(tree.get("cover", 0.0))}
     if "left" in tree:
-        return {"feature": tree["feature"], "at_most": tree["at_most"], "left": _clean(tree["left"]), "right": _clean(tree["right"])}
-    return {"value": float(tree["value"])}
+        return {"feature": tree["feature"], "at_most": tree["at_most"], "left": _clean(tree["left"]), "right": _clean(tree["right"])} | cover
+    return {"value": float(tree["value"])} | cover
 
 
 def _loss(loss: str) -> Column:
@@ -217,6 +225,83 @@ def _binned_value(tree: dict, places: dict[str, int], splits: dict[str, list[flo
                   _binned_value(tree["left"], places, splits)).otherwise(_binned_value(tree["right"], places, splits))
 
 
+# ---- explanation -------------------------------------------------------------------------------
+
+def leaf_games(tree: dict) -> list[tuple[float, dict[str, float], list[tuple[str, float, bool]]]]:
+    """Per leaf: its value, per feature on its path the share of rows that go its way, and the path's tests."""
+    def walk(node: dict, shares: dict[str, float], tests: list) -> list:
+        if "value" in node:
+            return [(node["value"], shares, tests)]
+        out = []
+        for side in ("left", "right"):
+            share = node[side]["cover"] / node["cover"] if node["cover"] else 0.5
+            f = node["feature"]
+            out += walk(node[side], shares | {f: shares.get(f, 1.0) * share}, [*tests, (f, node["at_most"], side == "left")])
+        return out
+
+    return walk(tree, {}, [])
+
+
+def tree_values(tree: dict, columns: dict[str, np.ndarray], rows: int) -> tuple[float, dict[str, np.ndarray]]:
+    """The tree's mean by cover, and each feature's Shapley value for each row.
+
+    A leaf pays its value if every feature on its path agrees: a feature that is known says 0 or 1, one that is not says the
+    share of training rows that go the leaf's way. So a leaf is a product of at most ``depth`` players, and a player's
+    value is its own step times the others' products, weighted over how many of them are known.
+    """
+    mean, out = 0.0, {}
+    for value, shares, tests in leaf_games(tree):
+        mean += value * float(np.prod(list(shares.values())))
+        agrees = {f: np.ones(rows, dtype=bool) for f in shares}
+        for f, at_most, left in tests:
+            goes_left = np.isnan(columns[f]) | (columns[f] <= at_most)
+            agrees[f] &= goes_left if left else ~goes_left
+        n = len(shares)
+        for f, share in shares.items():
+            # known[k]: sum over the sets of k other features that are known of the others' products
+            known = [np.ones(rows)] + [np.zeros(rows) for _ in range(n - 1)]
+            for other, s in shares.items():
+                if other != f:
+                    for k in range(n - 1, 0, -1):
+                        known[k] = known[k] * s + known[k - 1] * agrees[other]
+                    known[0] = known[0] * s
+            weights = [factorial(k) * factorial(n - 1 - k) / factorial(n) for k in range(n)]
+            step = value * (agrees[f] - share) * sum(w * x for w, x in zip(weights, known))
+            out[f] = out.get(f, 0.0) + step
+    return mean, out
+
+
+def contributions(model: Boosted, df: DataFrame, key: str) -> DataFrame:
+    """``key``, ``_mean`` and for each input column its Shapley value: they add up to the row's margin. The indicators of a
+    categorical column count as one. Computed in Arrow batches, row by row independent of the others."""
+    columns = list(dict.fromkeys([c for c in model.inputs if c not in _category_columns(model.categories)] + list(model.categories)))
+    owner = {c: c for c in columns} | {f"{c}={v}": c for c, values in model.categories.items() for v in values}
+    trees, base, inputs = model.trees, model.base, model.inputs
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            values = {c: np.array(frame[c].to_numpy(zero_copy_only=False), dtype=np.float64) for c in inputs}
+            total, parts = base, {c: np.zeros(frame.num_rows) for c in columns}
+            for tree in trees:
+                mean, found = tree_values(tree, values, frame.num_rows)
+                total += mean
+                for f, x in found.items():
+                    parts[owner[f]] += x
+            yield pa.RecordBatch.from_arrays([frame[key], pa.array(np.full(frame.num_rows, total)), *[pa.array(parts[c]) for c in columns]], names=[key, "_mean", *columns])
+
+    wide = with_categories(df, model.categories).select(F.col(key).alias("_k"), *[F.col(f"`{c}`").cast("double").alias(c) for c in inputs])
+    schema = T.StructType([T.StructField("_k", df.schema[key].dataType), T.StructField("_mean", T.DoubleType()), *[T.StructField(c, T.DoubleType()) for c in columns]])
+    key_name, key = key, "_k"
+    return wide.mapInArrow(run, schema).withColumnRenamed("_k", key_name)
+
+
+def explain(model: Boosted, df: DataFrame, key: str) -> DataFrame:
+    """Mean absolute Shapley value of each input column over the rows of df."""
+    parts = contributions(model, df, key)
+    columns = [c for c in parts.columns if c not in (key, "_mean")]
+    means = parts.agg(*[F.avg(F.abs(F.col(f"`{c}`"))).alias(c) for c in columns])
+    return means.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("attribution")) for c in columns])).alias("e")).select("e.*")
+
+
 def _log_odds(p: float) -> float:
-    from math import log
     return log(p / (1 - p))

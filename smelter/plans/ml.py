@@ -320,9 +320,11 @@ def input_of(model: PipelineModel, slot: str) -> str:
     return slot.removesuffix("_filled")
 
 
-def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Weight of each input column: tree importance, or size of a linear coefficient times the feature's deviation, summed
-    over the slots a column fills."""
+def explain(model: PipelineModel | boosting.Boosted, df: DataFrame, key: str = "review_id") -> DataFrame:
+    """Weight of each input column: mean absolute Shapley value for trees with an L2 term, else tree importance, or size of
+    a linear coefficient times the feature's deviation, summed over the slots a column fills."""
+    if isinstance(model, boosting.Boosted):
+        return boosting.explain(model, df, key)
     last = model.stages[-1]
     columns = list(dict.fromkeys(STAR_NUMERIC + LINEAR_SCALED + ELITE_NUMERIC + ["friend_count"]))
     scored = model.transform(numbers_as_double(df, [c for c in columns if c in df.columns]))

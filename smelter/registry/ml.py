@@ -100,6 +100,13 @@ def boosted_stumps(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(model.transform(lines).select("l_orderkey", "l_linenumber", "l_partkey", "prediction"), "prediction", digits=5)
 
 
+def boosted_explain(spark: SparkSession, sf: str) -> DataFrame:
+    """What each column moves the predicted price of a line by, on average."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_extendedprice") / 1000).alias("y"), *LINE_SPLITS)
+    model = boosting.train(lines, list(LINE_SPLITS), "y", rounds=STUMP_ROUNDS, depth=1, l2=STUMP_L2, rate=STUMP_RATE, thresholds=LINE_SPLITS)
+    return rounded(boosting.explain(model, lines, "l_orderkey"), "attribution", digits=5)
+
+
 def boosted_classes(spark: SparkSession, sf: str) -> DataFrame:
     """Is a customer of an early market segment? The same trees with logistic loss."""
     people = table(spark, sf, "customer").withColumn("y", (F.col("c_mktsegment") < "F").cast("int"))
@@ -139,7 +146,7 @@ QUERIES = {
     "classification_metrics": classification_metrics, "elite_features": elite_features, "segment_features": segment_features, "star_gbt": star_gbt,
     "star_linear": star_linear, "topn_predictions": topn_predictions, "elite_gbt": elite_gbt,
     "elite_logistic": elite_logistic, "ranking_metrics": ranking_metrics, "calibration": calibration_bins,
-    "boosted_stumps": boosted_stumps, "boosted_classes": boosted_classes, "clusters": clusters, "cluster_quality": cluster_quality, "explain": explain,
+    "boosted_stumps": boosted_stumps, "boosted_explain": boosted_explain, "boosted_classes": boosted_classes, "clusters": clusters, "cluster_quality": cluster_quality, "explain": explain,
 }
 
 
@@ -157,6 +164,11 @@ def _stumps_sql(source: str, keys: str, splits: dict[str, list[float]], rounds:
                      sum(h) FILTER (NOT at_most) AS hr FROM e{n} GROUP BY 1, 2, 3)""",
                  f"""b{n} AS (SELECT * FROM s{n} ORDER BY gl * gl / (hl + {l2}) + gr * gr / (hr + {l2}) DESC, i, t LIMIT 1)""",
                  f"""r{n + 1} AS (SELECT r{n}.* REPLACE (m + {rate} * CASE WHEN {value} <= t THEN gl / (hl + {l2}) ELSE gr / (hr + {l2}) END AS m) FROM r{n}, b{n})"""]
+    if not out:  # per column: the mean size of its leaves' distances from their trees' means
+        part = "CASE WHEN f = '{c}' THEN {rate} * (CASE WHEN {c} <= t THEN gl / (hl + {l2}) ELSE gr / (hr + {l2}) END - (hl * gl / (hl + {l2}) + hr * gr / (hr + {l2})) / (hl + hr)) ELSE 0 END"
+        sums = {c: " + ".join(f"(SELECT {part.format(c=c, rate=rate, l2=l2)} FROM b{n})" for n in range(rounds)) for c in splits}
+        return f"WITH {', '.join(ctes)} " + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, round(avg(abs({total})), 5) AS attribution FROM src" for c, total in sums.items())
     return f"WITH {', '.join(ctes)} SELECT {keys}, {out} FROM r{rounds}"
 
 
@@ -183,6 +195,8 @@ ORACLE = {
     "boosted_stumps": _stumps_sql(
         "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem",
         "l_orderkey, l_linenumber, l_partkey", LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, "round(m, 5) AS prediction"),
+    "boosted_explain": _stumps_sql("SELECT l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem", "",
+                                   LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, ""),
     "boosted_classes": _stumps_sql(
         "SELECT c_custkey, CAST(c_mktsegment < 'F' AS INTEGER) AS y, c_acctbal, CAST(c_nationkey AS DOUBLE) AS c_nationkey FROM customer",
         "c_custkey", CUSTOMER_SPLITS, 2, 1.0, 1.0, True, "round(1 / (1 + exp(-m)), 6) AS p"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.functions.casts import run_date
-from smelter.operators.badrows import parse_lines, split_bad_records
+from smelter.operators.badrows import number_lines, parse_lines, split_bad_records, tag_position
 from smelter.schemas import ENTITIES, bronze_schema
 
 
@@ -45,13 +45,15 @@ def batch_path(root: str, entity: str, dt: str) -> str:
     return os.path.join(entity_path(root, entity), f"dt={dt}")
 
 
-def bronze_lines(spark: SparkSession, root: str, entity: str, dt: str | None = None) -> DataFrame:
-    """Raw text lines with their partition (as text) and file.
+def bronze_lines(spark: SparkSession, root: str, entity: str, dt: str | None = None, positions: bool = False) -> DataFrame:
+    """Raw text lines with their partition (as text) and file; ``positions`` adds split and place in the task.
 
     With ``dt`` only that partition's folder is listed and read, however many batches there are.
     """
     path = entity_path(root, entity) if dt is None else batch_path(root, entity, dt)
     lines = spark.read.schema("value string, dt string").option("basePath", entity_path(root, entity)).text(path)
+    if positions:
+        return tag_position(lines).withColumnRenamed("_file", "_source_file")
     return lines.select("value", "dt", F.col("_metadata.file_path").alias("_source_file"))
 
 
@@ -85,27 +87,36 @@ def landed_path(root: str, entity: str, dt: str) -> str:
 def land_batch(spark: SparkSession, raw: str, root: str, entity: str, dt: str, extra: str | None = None,
                limit: int | None = None) -> int:
     """Parse a raw batch once and keep it as parquet: good rows under ``bad=false/``, refused lines with the
-    reason under ``bad=true/``. All later steps read those columns instead of the JSON text.
+    reason under ``bad=true/``. All later steps read those columns instead of the JSON text. Each row keeps its file's
+    split and its place in the task, from which line numbers follow without another scan of the text.
 
     Returns the number of bad lines, blank ones aside; an error if a ``limit`` is given and there are more.
     """
-    parsed = parse_lines(bronze_lines(spark, raw, entity, dt), _with_extra(bronze_schema(entity), extra))
+    parsed = parse_lines(bronze_lines(spark, raw, entity, dt, positions=True), _with_extra(bronze_schema(entity), extra))
     bad = F.col("_error").isNotNull()
     parsed.select(
-        "_parsed.*", "_source_file", F.when(bad, F.col("value")).alias("_line"), "_error", bad.alias("bad")).drop("_corrupt").write.mode(
+        "_parsed.*", "_source_file", "_start", "_pos", F.when(bad, F.col("value")).alias("_line"), "_error", bad.alias("bad")).drop("_corrupt").write.mode(
             "overwrite").partitionBy("bad").parquet(landed_path(root, entity, dt))
-    refused = read_landed(spark, root, entity, dt, bad=True).where(F.trim("_line") != "").count()
+    refused = _stored_lines(spark, root, entity, dt).where(F.col("bad") & (F.trim("_line") != "")).count()
     if limit is not None and refused > limit:
         raise TooManyBadRecords(f"{entity}: {refused} bad records, at most {limit} allowed")
     return refused
 
 
 def read_landed(spark: SparkSession, root: str, entity: str, dt: str, bad: bool = False, extra: str | None = None) -> DataFrame:
-    """Good rows of a landed batch, or its dead letters as ``(_line, _error, _source_file)``."""
+    """Good rows of a landed batch, or its dead letters as ``(_line, _error, _source_file, line_number)``."""
+    rows = _stored_lines(spark, root, entity, dt, extra)
+    if not bad:
+        return rows.where(~F.col("bad")).drop("_start", "_pos", "_line", "_error", "bad")
+    placed = rows.withColumn("_file", F.col("_source_file"))
+    wanted = placed.where("bad").select("_file", "_start", "_pos", "_line", "_error")
+    return number_lines(placed.select("_file", "_start", "_pos"), wanted).select("_line", "_error", F.col("source_file").alias("_source_file"), "line_number")
+
+
+def _stored_lines(spark: SparkSession, root: str, entity: str, dt: str, extra: str | None = None) -> DataFrame:
     schema = _with_extra(bronze_schema(entity), extra)
-    stored = T.StructType(schema.fields + T.StructType.fromDDL("_source_file string, _line string, _error string, bad boolean").fields)
-    rows = spark.read.schema(stored).parquet(landed_path(root, entity, dt)).where(F.col("bad") == bad)
-    return rows.select("_line", "_error", "_source_file") if bad else rows.drop("_line", "_error", "bad")
+    own = T.StructType.fromDDL("_source_file string, _start bigint, _pos bigint, _line string, _error string, bad boolean")
+    return spark.read.schema(T.StructType(schema.fields + own.fields)).parquet(landed_path(root, entity, dt))
 
 
 def _with_extra(schema: T.StructType, extra: str | None) -> T.StructType:

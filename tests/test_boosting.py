@@ -68,10 +68,52 @@ def test_logistic_and_early_end(spark):
     assert constant.transform(df).where("prediction = 1").count() == df.count()
 
 
+def by_subsets(model, row, f):
+    """The Shapley value of a feature by all subsets of the others."""
+    import itertools
+    others = [c for c in model.inputs if c != f]
+
+    def worth(node, known):
+        if "value" in node:
+            return node["value"]
+        c, x = node["feature"], row[node["feature"]]
+        if c in known:
+            return worth(node["left"] if x is None or x <= node["at_most"] else node["right"], known)
+        return sum(node[s]["cover"] / node["cover"] * worth(node[s], known) for s in ("left", "right"))
+
+    total = 0.0
+    for k in range(len(others) + 1):
+        for known in itertools.combinations(others, k):
+            weight = math.factorial(k) * math.factorial(len(others) - k) / math.factorial(len(others) + 1)
+            total += weight * sum(worth(t, {*known, f}) - worth(t, set(known)) for t in model.trees)
+    return total
+
+
+def test_contributions_add_up_and_equal_all_subsets(spark):
+    df = frame(spark).withColumn("w", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(5)).cast("double"))
+    model = boosting.train(df, ["x", "z", "w"], "y", rounds=3, depth=3, l2=0.5, rate=0.6)
+    parts = {r.id: r for r in boosting.contributions(model, df, "id").collect()}
+    for r in model.transform(df).collect():
+        p = parts[r.id]
+        assert p._mean + p.x + p.z + p.w == pytest.approx(r.prediction, abs=1e-9)
+        if r.id < 25:
+            assert all(p[f] == pytest.approx(by_subsets(model, r, f), abs=1e-9) for f in "xzw")
+    grouped = boosting.train(df, ["x"], "y", rounds=3, depth=2, rate=0.5, categorical=("c",))
+    got = {r.feature: r.attribution for r in boosting.explain(grouped, df, "id").collect()}
+    assert set(got) == {"x", "c"} and min(got.values()) > 0.5
+
+
+def test_explanation_names_the_one_column_that_matters(spark):
+    df = frame(spark).withColumn("y", F.coalesce(F.col("x"), F.lit(0.0)) * 3)
+    model = boosting.train(df, ["z", "x"], "y", rounds=4, depth=2, rate=0.8)
+    got = {r.feature: r.attribution for r in boosting.explain(model, df, "id").collect()}
+    assert got["x"] > 3 and got["z"] < 0.1
+
+
 def test_odd_frames(spark):
     empty = boosting.train(frame(spark).where("false"), ["x"], "y", rounds=1, depth=2)
-    assert (empty.base, empty.trees) == (0.0, [{"value": 0.0}])
+    assert (empty.base, empty.trees) == (0.0, [{"value": 0.0, "cover": 0.0}])
     flat = boosting.train(frame(spark).withColumn("x", F.lit(None).cast("double")), ["x"], "y", rounds=1, depth=2, rate=1.0)
-    assert set(flat.trees[0]) == {"value"} and abs(flat.trees[0]["value"]) < 1e-9
+    assert set(flat.trees[0]) == {"value", "cover"} and abs(flat.trees[0]["value"]) < 1e-9
     with pytest.raises(ValueError):
         boosting.train(frame(spark), ["x"], "y", loss="other")

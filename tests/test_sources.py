@@ -36,6 +36,8 @@ def test_landing_needs_no_sort(spark, raw, tmp_path):
     assert refused == 3
     assert bronze.read_landed(spark, str(tmp_path / "lake"), "checkin", "2024-01-01").count() == 1
     assert bronze.read_landed(spark, str(tmp_path / "lake"), "checkin", "2024-01-01", bad=True).count() == 4
+    dead = {r._line: (r._source_file.rsplit("/", 1)[1], r.line_number) for r in bronze.read_landed(spark, str(tmp_path / "lake"), "checkin", "2024-01-01", bad=True).collect()}
+    assert dead == {"": ("a.json", 2), "{bad": ("a.json", 3), "[1]": ("a.json", 4), "7": ("a.json", 5)}
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
 
 
