@@ -210,6 +210,12 @@ def predict_stars(model: PipelineModel, features: DataFrame, key: str = "review_
         F.abs(F.col("label") - F.col("prediction")).alias("prediction_error"))
 
 
+def worst_predictions(scored: DataFrame, label: str, n: int, *keys: str) -> DataFrame:
+    """The ``n`` scored rows with the largest absolute error (to five digits), ties by key."""
+    error = F.round(F.abs(F.col(label) - F.col("prediction")), 5)
+    return scored.withColumn("prediction_error", error).orderBy(F.desc("prediction_error"), *keys).limit(n)
+
+
 def predict_elite(model: PipelineModel, frame: DataFrame) -> DataFrame:
     rows = model.transform(numbers_as_double(frame, ELITE_NUMERIC + ["friend_count"]))
     return rows.select("user_id", "name", F.col("prediction").cast("bigint").alias("predicted_is_elite"),

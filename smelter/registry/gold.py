@@ -42,7 +42,7 @@ def gold_replaced(spark: SparkSession, sf: str) -> DataFrame:
 
 def city_analytics(spark: SparkSession, sf: str) -> DataFrame:
     out = gold.city_analytics(customer_businesses(spark, sf), order_reviews(spark, sf), LOADED,
-                              min_businesses=60, top_k=3, exact=True)
+                              min_businesses=60, top_k=3, exact=True, ordered=True)
     best = F.array_join(F.transform("top_category_combinations",
                                     lambda e: F.concat(e["value"], F.lit("="), e["count"].cast("string"))), "; ")
     out = rounded(out, "closure_rate", "avg_business_stars", "avg_reviews_per_business", "center_latitude",

@@ -59,8 +59,11 @@ def star_linear(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topn_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    features = feature_table(spark, sf)
-    return ml.predict_stars(ml.train_stars(features, kind="linear"), features)
+    """The ten lines whose price the boosted stumps miss by most, the worst first."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / 1000).alias("y"), *LINE_SPLITS)
+    model = boosting.train(lines, list(LINE_SPLITS), "y", rounds=STUMP_ROUNDS, depth=1, l2=STUMP_L2, rate=STUMP_RATE, thresholds=LINE_SPLITS)
+    scored = ml.worst_predictions(model.transform(lines), "y", 10, "l_orderkey", "l_linenumber", "l_partkey")
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "y", "prediction_error")
 
 
 def elite_gbt(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,6 +198,10 @@ ORACLE = {
     "boosted_stumps": _stumps_sql(
         "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem",
         "l_orderkey, l_linenumber, l_partkey", LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, "round(m, 5) AS prediction"),
+    "topn_predictions": _stumps_sql(
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem",
+        "l_orderkey, l_linenumber, l_partkey, y", LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, "round(abs(y - m), 5) AS prediction_error")
+    + " ORDER BY prediction_error DESC, l_orderkey, l_linenumber, l_partkey LIMIT 10",
     "boosted_explain": _stumps_sql("SELECT l_extendedprice / 1000 AS y, l_quantity, l_discount, l_tax FROM lineitem", "",
                                    LINE_SPLITS, STUMP_ROUNDS, STUMP_L2, STUMP_RATE, False, ""),
     "boosted_classes": _stumps_sql(
