@@ -1,7 +1,7 @@
 """Skip index: which months of a table may hold a key. Blocked Bloom filters as rows, made and merged by plain aggregates.
 
-A key sets ``PROBES`` bits in one block of 512 bits, which is a row of eight words; ``bit_or`` over (month, block) makes a
-batch's filter, and merges filters. A key was added by one batch, so each batch's row can be tested by itself, and rows of
+A key sets one bit in each of the eight words of a block, which is a row; ``bit_or`` over (month, block) makes a batch's
+filter, and merges filters. A key was added by one batch, so each batch's row can be tested by itself, and rows of
 later batches need not be merged with earlier ones until they are compacted. A test can err only towards "may hold": an
 overfull filter costs reads, never rows.
 
@@ -17,16 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCKS = 4096
-WORDS, PROBES = 8, 5
+WORDS, PLACE_BITS = 8, 6
 SCHEMA = "block int, " + ", ".join(f"w{i} bigint" for i in range(WORDS)) + ", month date"
 
 
 def _masks(bits: Column) -> dict[str, Column]:
-    """The words with the key's bits set: probe i is the i-th group of nine bits."""
-    places = [F.shiftright(bits, 9 * i).bitwiseAND(F.lit(511)) for i in range(PROBES)]
-    return {f"m{w}": reduce(lambda a, b: a.bitwiseOR(b), [
-        F.when(F.shiftright(p, 6) == w, F.call_function("shiftleft", F.lit(1).cast("bigint"), p.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("bigint"))
-        for p in places]) for w in range(WORDS)}
+    """The words with the key's bit set: its place in word w is the w-th group of six bits."""
+    places = [F.shiftright(bits, PLACE_BITS * w).bitwiseAND(F.lit(2**PLACE_BITS - 1)).cast("int") for w in range(WORDS)]
+    return {f"m{w}": F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for w, place in enumerate(places)}
 
 
 def probes(df: DataFrame, keys: list[str], blocks: int) -> DataFrame:
