@@ -30,14 +30,14 @@ def held_out(doc_id: str, modulus: int, rest: int) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc, th, text: the id, a hash of the text, and the text; doc and th tell rows of other content apart.
+    """doc, th, text: the id, a 64-bit hash of the text, and the text; doc and th tell rows of other content apart.
 
     A null text counts as empty. A null doc_id sorts after all others; 2**63 - 1 stands for it. Rows with the same id and
     text share a key, so that what is found out for one holds for each of them, and no join multiplies them. Joins on
     (doc, th) that ask for these three columns and no others exchange the texts once; later ones use that exchange again.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.hash(text).alias("th"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def doc_id() -> Column:

@@ -79,14 +79,14 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
                     if not with_places:
                         hashes = np.unique(hashes)
                         places = hashes
-                    for column, values in zip(out, (hashes.view(np.int64), np.full(len(hashes), doc), np.full(len(hashes), th, dtype=np.int32), places)):
+                    for column, values in zip(out, (hashes.view(np.int64), np.full(len(hashes), doc), np.full(len(hashes), th, dtype=np.int64), places)):
                         column.append(values)
                 if out[0]:
                     columns = [pa.array(np.concatenate(c)) for c in (out if with_places else out[:2])]
                     if with_places:
                         columns[3] = columns[3].cast(pa.int32())
                     yield pa.RecordBatch.from_arrays(columns, names=["h", "doc", "th", "place"][:len(columns)])
-        kinds = "h long, doc long" + ", th int, place int" * with_places
+        kinds = "h long, doc long" + ", th long, place int" * with_places
         return rows.select("text", "doc", "th").mapInArrow(run, kinds)
 
     def blocks(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +108,7 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
                     h = xxhash.xxh128_intdigest(w1[f:f + n].tobytes() + w2[f:f + n].tobytes())
                     for column, v in zip(out, ((h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63, doc, th, f, n)):
                         column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, [pa.int64()] * 3 + [pa.int32()] * 3)],
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, [pa.int64()] * 4 + [pa.int32()] * 2)],
                                              names=["b1", "b2", "doc", "th", "low", "n"])
 
     def windows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,7 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
                 starts = np.unique(np.concatenate([np.arange(x["low"], x["low"] + x["n"]) for x in chosen]))
                 w1, w2 = window_hashes(words_of(text), window)
                 for column, values in zip(out, (w1[starts].view(np.int64), (w2[starts] >> np.uint64(32)).astype(np.int64).astype(np.int32),
-                                                np.full(len(starts), doc), np.full(len(starts), th, dtype=np.int32), starts.astype(np.int32))):
+                                                np.full(len(starts), doc), np.full(len(starts), th, dtype=np.int64), starts.astype(np.int32))):
                     column.append(values)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["w1", "w2", "doc", "th", "low"])
@@ -128,13 +128,13 @@ def duplicated_words(docs: DataFrame, *, window: int = WINDOW, period: int = PER
               .where("low < high").select("h"))
     found = anchors(True).join(spread(shared), "h").groupBy("doc", "th").agg(F.collect_list("place").alias("places"))
     held = stored(rows.join(found, ["doc", "th"]).select("text", "doc", "th", "places")
-                  .mapInArrow(blocks, "b1 long, b2 long, doc long, th int, low int, n int"))
+                  .mapInArrow(blocks, "b1 long, b2 long, doc long, th long, low int, n int"))
     owned = held.join(spread(held.groupBy("b1", "b2").agg(F.min("doc").alias("owner"))), ["b1", "b2"])
     # Blocks go whole outside the smallest document; there, the windows that another block's smaller document has.
     whole = owned.where("doc > owner").select("doc", "th", "low", (F.col("low") + F.col("n")).alias("high"))
     chosen = owned.where("doc = owner").groupBy("doc", "th").agg(F.collect_list(F.struct("low", "n")).alias("chosen"))
     candidates = (rows.join(chosen, ["doc", "th"]).select("text", "doc", "th", "chosen")
-                  .mapInArrow(windows, "w1 long, w2 int, doc long, th int, low int"))
+                  .mapInArrow(windows, "w1 long, w2 int, doc long, th long, low int"))
     first = candidates.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     single = (candidates.join(spread(first.select("w1", "w2", "first")), ["w1", "w2"]).where("doc > first")
               .select("doc", "th", "low", (F.col("low") + 1).alias("high")))

@@ -109,7 +109,7 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                 for column, values in zip(out, (low, np.full(len(low), doc), np.full(len(low), th))):
                     column.append(values)
             if out[0]:
-                yield _emit(out, ["m", "doc", "th"], [pa.int64(), pa.int64(), pa.int32()])
+                yield _emit(out, ["m", "doc", "th"], [pa.int64()] * 3)
 
     def cut_up(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Segments of shared minimizers by hash and place."""
@@ -123,7 +123,7 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     h = xxhash.xxh128_intdigest(body[a:b + width - 1])
                     for column, v in zip(out, ((h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63, k, doc, th, a, b - a)):
                         column.append(v)
-            yield _emit(out, ["s1", "s2", "m", "doc", "th", "at", "n"], [pa.int64()] * 4 + [pa.int32()] * 3)
+            yield _emit(out, ["s1", "s2", "m", "doc", "th", "at", "n"], [pa.int64()] * 5 + [pa.int32()] * 2)
 
     def bodies(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the segments chosen to be sorted."""
@@ -146,12 +146,12 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
                                  [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
 
-    shared = (rows.mapInArrow(held, "m long, doc long, th int").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared = (rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
               .where("low < high").select("m"))
     shared = spread(shared)
-    found = rows.mapInArrow(held, "m long, doc long, th int").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
+    found = rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
     places = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
-              .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th int, at int, n int"))
+              .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
     owned = places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"))
     crowded = spread(owned.groupBy(F.col("o.m").alias("m")).agg(F.count("*").alias("segments")).where(F.col("segments") > crowd).select("m", F.lit(True).alias("crowded")))
     chosen = (owned.select("o.doc", "o.th", F.col("o.m").alias("m"), F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
