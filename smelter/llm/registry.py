@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm import (
@@ -22,7 +21,14 @@ from smelter.llm import (
 )
 from smelter.llm.common import table
 
-VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+def __getattr__(name: str) -> str:
+    """VOCABULARY, the path of the tokenizer's file, is looked up when a query asks for it."""
+    if name == "VOCABULARY":
+        import public_tokenizers
+
+        return public_tokenizers.path("piece_bpe_32k.model")
+    raise AttributeError(name)
 
 
 def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +40,7 @@ def op2_topk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.piece_digest(table(spark, sf_dir, "documents"), VOCABULARY)
+    return pieces.piece_digest(table(spark, sf_dir, "documents"), __getattr__("VOCABULARY"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
