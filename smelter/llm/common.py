@@ -59,13 +59,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write df as a table in the shared folder and go on from there; computes df once, which a checkpoint does twice."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = path or f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Tables of a computation in steps. Each is stored, its shuffle files go as soon as it is (they would stay until the
+    driver's JVM happens to collect garbage), and all of them go when the last step no longer needs them."""
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.count = spark, f"{shared_folder(spark)}/steps-{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            return stored(df, f"{self.folder}/{self.count}")
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The same rows without the grouping's partitioning, so that a join with them exchanges both sides and adaptive
     execution can split a hot key's rows, which it cannot where one side lies as its aggregate left it."""

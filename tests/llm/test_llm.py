@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from smelter.llm import decontamination, language_ecoc, line_dedup, pieces, quality_nbsvm, simhash_dedup, substring_dedup, suffix_dedup, topk_segments, toxicity
+from smelter.llm import decontamination, language_ecoc, line_dedup, near_copies, pieces, quality_nbsvm, simhash_dedup, substring_dedup, suffix_dedup, topk_segments, toxicity
 from smelter.llm.external_suffixes import scratch, suffixes
 from tests.oracle import connect, differences
 
@@ -213,13 +213,12 @@ def test_pipeline_against_its_parts(spark):
             holders.setdefault(key(line), set()).add(i)
     common = {k: max(v) for k, v in holders.items() if len(k) >= 40 and len(v) >= 5}
     kept = {i: "\n".join(x for x in t.split("\n") if common.get(key(x), i) == i) for i, t in kept.items()}
-    prints = {i: simhash_dedup.fingerprint(t) for i, t in kept.items()}
-    label = {i: i for i in prints}
+    sets = {i: near_copies.shingles(t) for i, t in kept.items()}
+    pairs = [(a, b) for a in sorted(sets) for b in sorted(sets) if a < b and near_copies.alike(sets[a], sets[b])]
+    label = {i: i for i in sets}
     for _ in range(5):
-        for a in sorted(prints):
-            for b in sorted(prints):
-                if (prints[a] ^ prints[b]).bit_count() <= 3:
-                    label[a] = min(label[a], label[b])
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
     kept = {i: t for i, t in kept.items() if label[i] == i}
     items = [decontamination.plain(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     kept = {i: t for i, t in kept.items() if not any(len(x) >= 24 and x in decontamination.plain(t) for x in items)}
