@@ -7,9 +7,11 @@ candidate that cannot reach the query's k-th best score so far goes no further;
 in integers. Queries and candidates meet in blocks of bounded size, each pair of blocks once and in a task of its own;
 k rows a query leave a pair of blocks, cut again map-side before they are ranked.
 
-Nulls: a null vector, a vector with a null or non-finite component, and a null vec_id take no part. Repeated rows: a vec_id
-counts once, with its smallest vector. Ties go to the smaller vec_id. Vectors of unequal length are as if filled up with
-zeros. Empty table: empty result. Other columns are not read.
+Nulls: a null vector, a vector with a null or non-finite component, and a null vec_id take no part. Repeated rows: every
+row is a candidate, also one that has the query's vec_id or vector; rows that are equal are counted first, and k + 1 of them
+are all that can be among a query's k best. Every row of a repeated query is answered. Ties go to the smaller vec_id. Vectors
+of unequal length are as if filled up with zeros. Very long vectors: a block of rows is held at once, 8 bytes a component.
+Range: scores are exact while |query| x |candidate| stays below 2**63. Empty table: empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ RESOLUTIONS = (2, 8, 32)
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 1024) -> DataFrame:
-    """vec_id and v, floor(scale * component) of every usable vector."""
+    """vec_id, v, floor(scale * component) of every usable vector, and n, the number of rows that have both."""
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(usable)
-            .select("vec_id", F.transform("embedding", lambda x: F.floor(x * scale)).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")))
+            .select("vec_id", F.transform("embedding", lambda x: F.floor(x * scale)).alias("v")).groupBy("vec_id", "v").agg(F.count("*").alias("n")))
 
 
 def statistics(m: np.ndarray, parts: int) -> np.ndarray:
@@ -46,10 +48,13 @@ def statistics(m: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([mean, deviation], axis=1) * length ** 0.5
 
 
-def best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of each query's k best candidates; ties to the smaller id, the query itself left out."""
+def best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int,
+                  q_keys: np.ndarray | None = None, c_keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the query, vec_id, score) of each query's k best candidates; ties to the smaller id. The query's own row is
+    left out: the candidate with its id and, where keys are given, its key."""
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
+    c_keys = None if c_keys is None else c_keys[order]
     width = max(q.shape[1], c.shape[1])
     q, c = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, c))
     qf, cf = q.astype(np.float64), c.astype(np.float64)
@@ -71,7 +76,10 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.nda
             apart = np.maximum((s @ s) + cs_norm[level][which] - 2 * (cs[level][which] @ s), 0)
             return (q_norm[i] + c_norm[which] - apart) / 2 + slack[which]
 
-        alive = np.flatnonzero(c_ids != q_ids[i])
+        own = np.flatnonzero(c_ids == q_ids[i])
+        if c_keys is not None:
+            own = own[(c_keys[own] == q_keys[i]).all(axis=1)]
+        alive = np.delete(np.arange(len(c_ids)), own)
         top = most(0, alive)
         at_least = None
         if len(alive) > k:
@@ -85,45 +93,55 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.nda
                 alive = alive[most(level, alive) >= at_least]
         exact = scores(i, alive)
         keep = np.lexsort((c_ids[alive], -exact))[:k]
-        for column, values in zip(out, (np.full(len(keep), q_ids[i]), c_ids[alive][keep], exact[keep])):
+        for column, values in zip(out, (np.full(len(keep), i), c_ids[alive][keep], exact[keep])):
             column.append(values)
     return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in out)
 
 
-def _packed(vectors: DataFrame, block: str) -> DataFrame:
-    """One row for each block: ids, and the matrix of whole numbers, as bytes."""
+def _packed(vectors: DataFrame, block: str, kept: list[str]) -> DataFrame:
+    """One row for each block: the kept whole numbers of its rows, and the matrix of their vectors, as bytes."""
     def run(key: tuple, frame: pa.Table) -> pa.Table:
         lists = frame["v"].combine_chunks()
         lengths = np.array([len(x) for x in lists])
         m = np.zeros((len(lengths), max(1, int(lengths.max()))), dtype=np.int64)
         m[np.arange(m.shape[1]) < lengths[:, None]] = lists.flatten().to_numpy()
-        return pa.table({block: pa.array([key[0].as_py()], pa.int32()), "ids": [frame["vec_id"].to_numpy().astype(np.int64).tobytes()], "width": pa.array([m.shape[1]], pa.int32()), "m": [m.tobytes()]})
+        return pa.table({block: pa.array([key[0].as_py()], pa.int32()), "kept": [np.stack([frame[c].to_numpy() for c in kept], axis=1).astype(np.int64).tobytes()], "width": pa.array([m.shape[1]], pa.int32()), "m": [m.tobytes()]})
 
-    return vectors.groupBy(block).applyInArrow(run, f"{block} int, ids binary, width int, m binary")
+    return vectors.groupBy(block).applyInArrow(run, f"{block} int, kept binary, width int, m binary")
 
 
 def search(vectors: DataFrame, queries: DataFrame, *, k: int = K, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score; both sides have vec_id and v, and a query's own vec_id is left out."""
+    """query_id, rank (from 1), vec_id and score; both sides have vec_id, v and n, and a query's own row is left out."""
+    key = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit("other"), "v").alias("h2")]  # 128 bits of the vector
+    vectors = vectors.select("vec_id", "v", *key, F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k + 1)).cast("int"))).alias("copy"))
+    queries = queries.select("vec_id", "v", *key, F.lit(1).alias("copy"), "n")
+    named, told = ["vec_id", "h1", "h2", "copy", "n"], ["vec_id", "h1", "h2", "copy"]
     n_queries, n_candidates = (max(1, -(-x.count() // size)) for x, size in ((queries, query_block), (vectors, candidate_block)))
 
-    def blocks(df: DataFrame, name: str, n: int) -> DataFrame:
-        return _packed(df.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")), name)
+    def blocks(df: DataFrame, name: str, n: int, kept: list[str]) -> DataFrame:
+        return _packed(df.withColumn(name, F.pmod(F.xxhash64("v", *kept), F.lit(n)).cast("int")), name, kept)
 
-    q = blocks(queries, "qb", n_queries).select("qb", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("cb"),
-                                                F.col("ids").alias("q_ids"), F.col("width").alias("q_width"), F.col("m").alias("q_m"))
-    c = blocks(vectors, "cb", n_candidates).select("cb", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))).alias("qb"), "ids", "width", "m")
+    q = blocks(queries, "qb", n_queries, named).select("qb", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("cb"),
+                                                F.col("kept").alias("q_kept"), F.col("width").alias("q_width"), F.col("m").alias("q_m"))
+    c = blocks(vectors, "cb", n_candidates, told).select("cb", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))).alias("qb"), "kept", "width", "m")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for row in range(frame.num_rows):
-                q_ids, q_width, q_m, ids, width, m = (frame[n][row].as_py() for n in ("q_ids", "q_width", "q_m", "ids", "width", "m"))
-                found = best_of_block(np.frombuffer(q_ids, dtype=np.int64), np.frombuffer(q_m, dtype=np.int64).reshape(-1, q_width),
-                                      np.frombuffer(ids, dtype=np.int64), np.frombuffer(m, dtype=np.int64).reshape(-1, width), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
+                def numbers(name: str, width: int, row: int = row) -> np.ndarray:
+                    return np.frombuffer(frame[name][row].as_py(), dtype=np.int64).reshape(-1, width)
 
-    met = q.join(c, ["qb", "cb"]).select("q_ids", "q_width", "q_m", "ids", "width", "m").mapInArrow(run, "query_id long, vec_id long, score long")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                asked, known = numbers("q_kept", len(named)), numbers("kept", len(told))
+                place, ids, scores = best_of_block(asked[:, 0], numbers("q_m", frame["q_width"][row].as_py()),
+                                                   known[:, 0], numbers("m", frame["width"][row].as_py()), k, asked[:, 1:4], known[:, 1:4])
+                found = [*asked[place][:, [0, 1, 2, 4]].T, ids, scores]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "h1", "h2", "n", "vec_id", "score"])
+
+    met = (q.join(c, ["qb", "cb"]).select("q_kept", "q_width", "q_m", "kept", "width", "m")
+           .mapInArrow(run, "query_id long, h1 long, h2 long, n long, vec_id long, score long"))
+    ranked = Window.partitionBy("query_id", "h1", "h2").orderBy(F.desc("score"), "vec_id")
+    best = met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("col")
 
 
 def hundredths(vectors: DataFrame, *, k: int = K) -> DataFrame:
@@ -133,13 +151,13 @@ def hundredths(vectors: DataFrame, *, k: int = K) -> DataFrame:
 
 
 SEARCH_SQL = """
-WITH usable AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v FROM embeddings
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 met AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.place, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+  FROM usable q JOIN usable c ON q.place <> c.place WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM met) WHERE rank <= 10"""
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM met) WHERE rank <= 10"""
