@@ -3,13 +3,13 @@
 Texts and test items are compared as lower-case words joined by single blanks. An item may be found with up to a share of
 its length in edits (insertions, deletions, substitutions). It is split into one piece more than that budget; an occurrence
 within the budget leaves at least one piece untouched, so exact hits of the pieces (one Aho-Corasick pass over a text) find
-every candidate place, and Myers' bit-parallel distance around each decides. Items are taken in blocks of bounded size, each
+every candidate place, and Myers' bit-parallel distance decides, in one pass over each stretch of overlapping places. Items are taken in blocks of bounded size, each
 of which passes over all documents, so what a task holds does not grow with the benchmark.
 
 Items shorter than min_chars, which a part of a longer word might equal by chance, are found exactly and at word borders.
 
 Nulls: a null text holds nothing; null item texts, items without a word and items with a null item_id are not searched. Repeated rows: each row of docs is answered, repeated items count once. Empty tables: no leaks. Very long
-texts: whole, linear in their length. Other columns of docs pass through ``keep_clean`` untouched.
+texts: whole, linear in their length for each item that has candidate places in them. Other columns of docs pass through ``keep_clean`` untouched.
 """
 
 from __future__ import annotations
@@ -64,6 +64,17 @@ def best_match(pattern: str, masks: dict[str, int], text: str) -> tuple[int, int
     return best, end
 
 
+def regions(starts: set[int], before: int, after: int) -> list[tuple[int, int]]:
+    """The stretches from before each start to after it, those that overlap as one, so that a place is looked at once."""
+    out: list[tuple[int, int]] = []
+    for start in sorted(starts):
+        begin, stop = max(0, start - before), start + after
+        if out and begin <= out[-1][1]:
+            begin = out.pop()[0]
+        out.append((begin, stop))
+    return out
+
+
 class Matcher:
     """Finds the items of one block in texts."""
 
@@ -97,10 +108,10 @@ class Matcher:
             return []
         body = plain(text)
         best: dict[int, tuple[int, int]] = {}
-        tried: dict[int, list[int]] = {}
+        places: dict[int, set[int]] = {}
         for last, (size, where) in self.automaton.iter(body):
             for n, offset in where:
-                if n in best and not best[n][0]:
+                if n in best:
                     continue
                 _, item, budget = self.items[n]
                 start = last + 1 - size - offset
@@ -108,14 +119,17 @@ class Matcher:
                     if (not start or body[start - 1] == " ") and body[last + 1:last + 2] in ("", " "):
                         best[n] = (0, last + 1)
                     continue
-                if start in tried.setdefault(n, []):
+                if start in places.setdefault(n, set()):
                     continue
-                tried[n].append(start)
+                places[n].add(start)
                 if start >= 0 and body.startswith(item, start):
                     best[n] = (0, start + len(item))
-                    continue
-                begin = max(0, start - budget)
-                edits, end = best_match(item, self.mask(n), body[begin:start + len(item) + budget])
+        for n, starts in places.items():
+            if n in best:
+                continue
+            _, item, budget = self.items[n]
+            for begin, stop in regions(starts, budget, len(item) + budget):
+                edits, end = best_match(item, self.mask(n), body[begin:stop])
                 if edits <= budget and (n not in best or edits < best[n][0]):
                     best[n] = (edits, begin + end)
         return sorted((self.items[n][0], e, end) for n, (e, end) in best.items())
