@@ -25,8 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def held_out(doc_id: str, modulus: int, rest: int) -> Column:
-    """True for rows no model may learn labels from: crc32 of the id's decimal text, modulo."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == rest
+    """True for rows no model may learn labels from: crc32 of the id's decimal text, modulo. False without an id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == rest, F.lit(False))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -208,7 +208,9 @@ def learnable(labels: DataFrame, label: str) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """doc_id, text and y of at most bound labelled documents; the bound is what makes the broadcast of their ids safe."""
+    """doc_id, text and y of at most bound labelled documents; the bound is what makes the broadcast of their ids safe.
+    Of different texts with one id, that with the smallest hash is learned from."""
     chosen = F.broadcast(bounded_sample(learnable(labels, label), "labelled_id", bound))
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .join(chosen, F.col("doc_id") == F.col("labelled_id")).dropDuplicates(["doc_id"]).select("doc_id", "text", "y"))
+            .join(chosen, F.col("doc_id") == F.col("labelled_id")).groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "y")).alias("first"))
+            .select("doc_id", "first.text", "first.y"))

@@ -76,9 +76,11 @@ class Lexicon:
         return self._automaton
 
     def hits(self, folded: str) -> list[tuple[int, int, float]]:
-        """(from, to, weight) of the hits at word starts that no exception phrase covers; the longest of each place."""
+        """(from, to, weight) of the hits at word starts that no exception phrase covers; the longest of each place. Places
+        are those in the words joined by one blank, so that a phrase is seen whatever stands between its words."""
         if not self.weights:
             return []
+        folded = " ".join(WORD.findall(folded))
         found: dict[int, tuple[int, int, float]] = {}
         spans = []
         for last, (size, weight) in self.automaton().iter(folded):
