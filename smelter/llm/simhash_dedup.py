@@ -33,6 +33,15 @@ TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 LONGEST_LIST = 2000
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes; 0 without hashes."""
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        votes += np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    bits = (votes * 2 > len(hashes)).astype(np.uint8)
+    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """The SimHash of the text's word shingles: bit set where over half of the shingles' XXH64 have it."""
     # Words are split at ASCII blanks and A-Z lower-cased only, which is what these do with bytes.
@@ -46,11 +55,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts[:len(words) - width + 1].tolist(), ends[width - 1:].tolist())),
                          dtype=np.uint64, count=len(words) - width + 1)
-    votes = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        votes += np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    bits = (votes * 2 > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
-from smelter.llm import near_copies
+from smelter.llm import near_copies, simhash_dedup
 
 PLAIN = "doc_id long, text string"
 
@@ -82,3 +82,22 @@ def test_keep_one_with_odd_rows_and_clashing_names(spark):
     assert sorted((r.doc_id for r in got if r.doc_id is not None)) == [1, 2, 3, 7, 9]
     assert sorted(r.text for r in got if r.doc_id is None) == ["x", "y"] and {(r.doc, r.row) for r in got} == {("d", "r")}
     assert near_copies.keep_one(docs.where("false")).collect() == []
+
+
+def test_the_stage_goes_through_simhash(spark, monkeypatch):
+    """The stage's fingerprints pass the inverted index, and what links there is what is compared first."""
+    r = random.Random(9)
+    base = [" ".join(f"g{g}w{r.randrange(400)}" for _ in range(200)) for g in range(6)]
+    texts = [(10 * g + k, t + " end" * k) for g, t in enumerate(base) for k in range(3)]
+    prints = {i: simhash_dedup.majority(near_copies.shingles(t)) for i, t in texts}
+    asked = []
+    index = simhash_dedup.links
+    monkeypatch.setattr(simhash_dedup, "links", lambda distinct: asked.append({x.fp for x in distinct.collect()}) or index(distinct))
+    docs = spark.createDataFrame(texts, PLAIN)
+    assert sorted(x.doc_id for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == kept_by_brute_force(texts)
+    assert asked == [{p - 2**64 if p >= 2**63 else p for p in prints.values()}]
+    rows = [(i, 0, len(near_copies.shingles(t)), p - 2**64 if p >= 2**63 else p) for (i, t), p in zip(texts, prints.values())]
+    pairs = near_copies.by_fingerprint(spark.createDataFrame(rows, "doc long, th long, n long, fp long")).collect()
+    near = {(a, b) for a in prints for b in prints if b < a and (prints[a] ^ prints[b]).bit_count() <= 3}
+    assert near and {(x.a.doc, x.b.doc) for x in pairs} >= {(a, b) for a, b in near if b % 10 == 0}
+    assert all(x.a.doc // 10 == x.b.doc // 10 for x in pairs)
