@@ -9,6 +9,7 @@ from smelter.operators.ranking import calibration, calibration_error, roc_auc
 from smelter.plans import boosting, ml
 from smelter.registry.gold import feature_table
 from smelter.registry.standins import AS_OF, customer_businesses, order_users, rounded, stars, table
+from smelter.session import stored
 
 
 def standardize(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,13 +49,19 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, *out.columns)
 
 
+def _star_table(spark: SparkSession, sf: str) -> DataFrame:
+    """What the rating models read of the feature table, stored once: training alone passes over it several times."""
+    columns = ["review_id", "label", *ml.STAR_NUMERIC, *ml.STAR_CATEGORICAL, *ml.LINEAR_SCALED, *ml.LINEAR_PLAIN, *ml.LINEAR_CATEGORICAL]
+    return stored(feature_table(spark, sf).select(*dict.fromkeys(columns)))
+
+
 def star_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    features = feature_table(spark, sf)
+    features = _star_table(spark, sf)
     return ml.predict_stars(ml.train_stars(features), features)
 
 
 def star_linear(spark: SparkSession, sf: str) -> DataFrame:
-    features = feature_table(spark, sf)
+    features = _star_table(spark, sf)
     return ml.evaluate(ml.train_stars(features, kind="linear"), ml.unseen(features, "review_id"), "regression")
 
 
@@ -140,7 +147,7 @@ def cluster_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def explain(spark: SparkSession, sf: str) -> DataFrame:
-    features = feature_table(spark, sf)
+    features = _star_table(spark, sf)
     return ml.explain(ml.train_stars(features, kind="linear"), features)
 
 

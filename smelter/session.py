@@ -8,6 +8,7 @@ zone) or that the skew handling depends on (adaptive execution) are set.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +65,13 @@ def land(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a DataFrame once as a table in the checkpoint folder and read that, column by column, from then on.
+
+    For what many passes read, as the stages of a model do: each pass would compute it again, shuffles included.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

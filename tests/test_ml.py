@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from smelter.operators import ranking
 from smelter.plans import ml, pipeline
+from smelter.registry import ml as registry_ml
+from smelter.registry.gold import feature_table
 from smelter.sources import tables
 
 
@@ -145,3 +147,15 @@ def test_models_are_measured_on_rows_they_have_not_seen(spark, features, monkeyp
 def test_explanation_names_input_columns(spark, features):
     out = {r.feature for r in ml.explain(ml.train_stars(features, "linear"), features).collect()}
     assert out == set(ml.LINEAR_SCALED + ml.LINEAR_PLAIN + ml.LINEAR_CATEGORICAL)
+
+
+@pytest.mark.parametrize("query", ["star_gbt", "star_linear", "explain"])
+def test_rating_models_pass_over_a_stored_table(spark, monkeypatch, query):
+    """No pass of a model joins the feature table together again, and the table holds every row of it."""
+    seen, train = [], ml.train_stars
+    monkeypatch.setattr(ml, "train_stars", lambda features, **kw: seen.append(features) or train(features, **kw))
+    assert registry_ml.QUERIES[query](spark, "/root/testdata/sf0.001").count()
+    (features,) = seen
+    assert "Join" not in features._jdf.queryExecution().executedPlan().toString()
+    want = feature_table(spark, "/root/testdata/sf0.001").select(*features.columns)
+    assert features.count() == want.count() and features.exceptAll(want).count() == 0
