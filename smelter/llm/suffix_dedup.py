@@ -2,8 +2,8 @@
 
 Byte strings of ``width`` that more than one document holds are found with sorted suffixes. All places of one string must
 meet in one shard, so each string is dealt by its minimizer: the least hash of the grams inside it, which equal strings
-share. Runs of strings with one minimizer form a segment. Minimizers that one document only holds need no sorting; of equal
-segments one, in its smallest document, is sorted and stands for all. A shard is the segments dealt to it, one after
+share. Runs of strings with one minimizer form a segment. Minimizers that one document only holds need no sorting, nor do those
+whose segments are all equal; of equal segments one, in its smallest document, is sorted and stands for all. A shard is the segments dealt to it, one after
 another; its suffixes and their common prefixes come from ``external_suffixes``, whose queues go to disk where a shard is
 larger than the memory budget. Suffixes that share width bytes are one string; its smallest document keeps it.
 Where one minimizer has more than ``crowd`` different segments, as at the edge of a passage that many documents hold with
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import HASH_BASE, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected
+from smelter.llm.common import HASH_BASE, Steps, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected
 from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
@@ -95,10 +95,22 @@ def _emit(out: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) if c and isinstance(c[0], np.ndarray) else pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
 
-def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    return np.split(column.flatten().to_numpy(), (column.offsets.to_numpy() - column.offsets[0].as_py())[1:-1])
+
+
+def _digests(parts: list[bytes]) -> np.ndarray:
+    """The 128-bit hash of each, as two numbers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh128_digest, parts)), dtype=">i8").astype(np.int64).reshape(-1, 2)
+
+
+def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD,
+          steps: Steps | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Segments of shared minimizers by place; the owner of each different one; what is chosen of each document; the bodies
-    to be sorted, of at most crowd segments a minimizer; and the strings of the other minimizers' segments."""
-    rows = keyed(docs)
+    to be sorted, of at most crowd segments a minimizer; and the strings of the other minimizers' segments.
+
+    The first three are stored, as each is read more than once."""
+    rows, steps = keyed(docs), steps or Steps(docs.sparkSession)
 
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's different minimizers."""
@@ -115,26 +127,28 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
         """Segments of shared minimizers by hash and place."""
         for frame in uncollected(batches(frames, 64)):
             out: list[list] = [[] for _ in range(7)]
-            for text, doc, th, shared in zip(*(frame[c].to_pylist() for c in ("text", "doc", "th", "shared"))):
+            for text, doc, th, shared in zip(*(frame[c].to_pylist() for c in ("text", "doc", "th")), _lists(frame["shared"])):
                 body = text.encode("utf-8", "replace")
                 m, starts, stops = segments(np.frombuffer(body, dtype=np.uint8), width, gram)
-                chosen = np.isin(m, np.array(shared, dtype=np.int64))
-                for k, a, b in zip(m[chosen].tolist(), starts[chosen].tolist(), stops[chosen].tolist()):
-                    h = xxhash.xxh128_intdigest(body[a:b + width - 1])
-                    for column, v in zip(out, ((h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63, k, doc, th, a, b - a)):
-                        column.append(v)
-            yield _emit(out, ["s1", "s2", "m", "doc", "th", "at", "n"], [pa.int64()] * 5 + [pa.int32()] * 2)
+                chosen = np.isin(m, shared)
+                m, starts, stops = m[chosen], starts[chosen], stops[chosen]
+                s = _digests([body[a:b] for a, b in zip(starts.tolist(), (stops + width - 1).tolist())])
+                for column, v in zip(out, (s[:, 0], s[:, 1], m, np.full(len(m), doc), np.full(len(m), th), starts.astype(np.int32), (stops - starts).astype(np.int32))):
+                    column.append(v)
+            if out[0]:
+                yield _emit(out, ["s1", "s2", "m", "doc", "th", "at", "n"], [pa.int64()] * 5 + [pa.int32()] * 2)
 
     def bodies(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the segments chosen to be sorted."""
         for frame in uncollected(batches(frames, 64)):
-            out: list[list] = [[] for _ in range(5)]
-            for text, doc, chosen in zip(*(frame[c].to_pylist() for c in ("text", "doc", "chosen"))):
-                body = text.encode("utf-8", "replace")
-                for x in chosen:
-                    for column, v in zip(out, (x["m"], x["s1"], x["s2"], doc, body[x["at"]:x["at"] + x["n"] + width - 1])):
-                        column.append(v)
-            yield _emit(out, ["m", "s1", "s2", "doc", "body"], [pa.int64()] * 4 + [pa.binary()])
+            texts = [t.encode("utf-8", "replace") for t in frame["text"].to_pylist()]
+            lists = frame["chosen"]
+            x = lists.flatten()
+            of = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            m, s1, s2, at, n = (x.field(c).to_numpy(zero_copy_only=False) for c in ("m", "s1", "s2", "at", "n"))
+            found = [texts[k][a:b] for k, a, b in zip(of.tolist(), at.tolist(), (at + n + width - 1).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(s1), pa.array(s2), pa.array(frame["doc"].to_numpy()[of]), pa.array(found, pa.binary())],
+                                             names=["m", "s1", "s2", "doc", "body"])
 
     def strings(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The strings of the segments chosen of crowded minimizers, by hash and place inside the segment."""
@@ -146,16 +160,20 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
                                  [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
 
-    shared = (rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-              .where("low < high").select("m"))
-    shared = spread(shared)
-    found = rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
-    places = (rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
-              .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
-    owned = places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"))
-    crowded = spread(owned.groupBy(F.col("o.m").alias("m")).agg(F.count("*").alias("segments")).where(F.col("segments") > crowd).select("m", F.lit(True).alias("crowded")))
-    chosen = (owned.select("o.doc", "o.th", F.col("o.m").alias("m"), F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
-              .join(crowded, "m", "left").groupBy("doc", "th", F.coalesce("crowded", F.lit(False)).alias("crowded")).agg(F.collect_list("x").alias("chosen")))
+    shared = steps.keep(rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+                        .where("low < high").select("m"))
+    met = steps.keep(rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").select("doc", "th", "m"))
+    # Lists are made after the exchange: before it, they would be hardly shorter and travel as buffers.
+    found = met.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
+    places = steps.keep(rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
+                        .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
+    owned = steps.keep(places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"), F.max("doc").alias("high")))
+    # Where all segments of a minimizer are equal, so are their strings, and there is nothing to sort.
+    several = (owned.groupBy(F.col("o.m").alias("m")).agg(F.count("*").alias("segments")).where("segments > 1")
+               .select("m", (F.col("segments") > crowd).alias("crowded")))
+    chosen = steps.keep(owned.select("o.doc", "o.th", F.col("o.m").alias("m"), F.struct(F.col("o.m").alias("m"), "s1", "s2", F.col("o.at").alias("at"), F.col("o.n").alias("n")).alias("x"))
+                        .join(spread(several), "m").select("doc", "th", "crowded", "x")
+                        .repartition("doc", "th").groupBy("doc", "th", "crowded").agg(F.collect_list("x").alias("chosen")))
     # Repeated rows bring a segment twice, which changes no minimum.
     sorted_in = (rows.join(chosen.where("not crowded"), ["doc", "th"]).select("text", "doc", "chosen")
                  .mapInArrow(bodies, "m long, s1 long, s2 long, doc long, body binary"))
@@ -166,8 +184,9 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
 
 def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, queue_bytes: int = QUEUE_BYTES,
                      crowd: int = CROWD) -> DataFrame:
-    """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``."""
-    places, owned, chosen, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd)
+    """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``. A stored table."""
+    steps = Steps(docs.sparkSession)
+    places, owned, chosen, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd, steps=steps)
 
     def sort_shard(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, owners, s1, s2 = [], [], [], []
@@ -192,14 +211,20 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
     # A repeated row brings a string twice: a set.
     singly = (single.join(firsts, ["w1", "w2"]).where("doc > low").groupBy("s1", "s2").agg(F.collect_set("k").alias("froms"))
               .select("s1", "s2", "froms", F.transform("froms", lambda k: k + 1).alias("tos")))
-    again = again.unionByName(singly)
+    again = steps.keep(again.unionByName(singly))
     # Whole segments go outside their first document; inside it, the strings that another segment's smaller document has.
-    late = places.join(spread(owned.select("s1", "s2", F.col("o.doc").alias("owner"))), ["s1", "s2"])
-    whole = late.where("doc > owner").select("doc", "th", F.col("at").alias("low"), (F.col("at") + F.col("n")).alias("high"))
-    inner = (late.where("doc = owner").join(again, ["s1", "s2"])
-             .select("doc", "th", "at", F.explode(F.arrays_zip("froms", "tos")).alias("r"))
-             .select("doc", "th", (F.col("at") + F.col("r.froms")).alias("low"), (F.col("at") + F.col("r.tos")).alias("high")))
-    return whole.unionByName(inner).groupBy("doc", "th").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    # Segments that have neither are left out before they meet the places.
+    marks = steps.keep(owned.select("s1", "s2", F.col("o.doc").alias("owner"), "high").join(again, ["s1", "s2"], "left")
+                       .where("high > owner or froms is not null").select("s1", "s2", "owner", "froms", "tos"))
+    at, n = F.col("at"), F.col("n")
+    whole = F.array(F.struct(at.alias("low"), (at + n).alias("high")))
+    inner = F.transform(F.arrays_zip("froms", "tos"), lambda r: F.struct((at + r["froms"]).alias("low"), (at + r["tos"]).alias("high")))
+    gone = (places.select("s1", "s2", "doc", "th", "at", "n").join(marks, ["s1", "s2"])
+            .select("doc", "th", F.explode(F.when(F.col("doc") > F.col("owner"), whole).otherwise(inner)).alias("r"))
+            .select("doc", "th", "r.low", "r.high"))
+    runs = Steps(docs.sparkSession).keep(gone.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
+    steps.drop()
+    return runs
 
 
 def _kept(text: str, lows: list[int] | None, highs: list[int] | None, width: int) -> tuple[int, list[tuple[int, int]], bytes]:

@@ -36,3 +36,16 @@ def test_no_task_gets_all_segments_of_a_crowded_minimizer(spark):
     assert owned.groupBy("o.m").count().agg(F.max("count")).first()[0] > 8
     assert sorted_in.select("m", "s1", "s2").distinct().groupBy("m").count().agg(F.max("count")).first()[0] <= 8
     assert single.count() > 0
+
+
+def test_only_minimizers_with_different_segments_are_sorted_and_no_step_is_computed_again(spark):
+    """Whole copies need no sorting, an edge does; what was stored is read, not planned anew, by the query that is returned."""
+    r = random.Random(9)
+    word = lambda n, letters: "".join(r.choice(letters) for _ in range(n))
+    copy, passage = word(400, "abcdefgh "), word(300, "qrstuvwx ")
+    docs = spark.createDataFrame([(1, copy), (2, copy), (3, passage + word(100, "ijklm ")), (4, passage + word(100, "ijklm "))], PLAIN)
+    _, owned, _, sorted_in, _ = suffix_dedup.dealt(docs)
+    assert sorted_in.where("doc <= 2").count() == 0 < sorted_in.where("doc = 3").count() <= 3 < owned.where("o.doc = 3").count()
+    found = suffix_dedup.remove_duplicated(docs)
+    assert {x.doc_id: x.n_removed for x in found.collect()} == {1: 0, 2: 400, 3: 0, 4: 300}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
