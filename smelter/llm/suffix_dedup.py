@@ -91,6 +91,27 @@ def shard_firsts(parts: list[bytes], owners: np.ndarray, width: int, queue_bytes
     return [(int(part[a]), places[a:b] - begins[part[a]]) for a, b in zip(edges[:-1], edges[1:])]
 
 
+def may_share(m: np.ndarray, parts: list[bytes], width: int, gram: int) -> np.ndarray:
+    """Whether a segment may have a string of another one with its minimizer. A string holds the minimizer's gram and, before or
+    after it, at least half of its other bytes; segments with neither half in common with another have no string in common."""
+    half = -(-(width - gram) // 2)
+    lengths = np.array([len(p) for p in parts], dtype=np.int64)
+    begins = np.cumsum(lengths) - lengths
+    values = _BYTE[np.frombuffer(b"".join(parts), dtype=np.uint8)]
+    found = np.flatnonzero(rolling(values, gram, HASH_BASE).view(np.int64) == np.repeat(m, lengths)[:len(values) - gram + 1])
+    part = np.searchsorted(begins, found, side="right") - 1
+    inside = found + gram <= (begins + lengths)[part]
+    found, part = found[inside], part[inside]
+    out = np.bincount(part, minlength=len(parts)) != 1  # a gram that a segment holds twice: it stays
+    once = ~out[part]
+    found, part = found[once], part[once]
+    halves = rolling(values, gram + half, HASH_BASE)
+    for first, there in ((found - half, found - half >= begins[part]), (found, found + gram + half <= (begins + lengths)[part])):
+        _, which, many = np.unique(halves[first[there]], return_inverse=True, return_counts=True)
+        out[part[there]] |= many[which] > 1
+    return out
+
+
 def _emit(out: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) if c and isinstance(c[0], np.ndarray) else pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
@@ -110,7 +131,7 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
     to be sorted, of at most crowd segments a minimizer; and the strings of the other minimizers' segments.
 
     The first three are stored, as each is read more than once."""
-    rows, steps = keyed(docs), steps or Steps(docs.sparkSession)
+    rows, steps, early = keyed(docs), steps or Steps(docs.sparkSession), Steps(docs.sparkSession)
 
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's different minimizers."""
@@ -160,13 +181,14 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
                                  [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
 
-    shared = steps.keep(rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared = early.keep(rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
                         .where("low < high").select("m"))
-    met = steps.keep(rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").select("doc", "th", "m"))
+    met = early.keep(rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").select("doc", "th", "m"))
     # Lists are made after the exchange: before it, they would be hardly shorter and travel as buffers.
     found = met.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
     places = steps.keep(rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
                         .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
+    early.drop()
     owned = steps.keep(places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"), F.max("doc").alias("high")))
     # Where all segments of a minimizer are equal, so are their strings, and there is nothing to sort.
     several = (owned.groupBy(F.col("o.m").alias("m")).agg(F.count("*").alias("segments")).where("segments > 1")
@@ -189,14 +211,15 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
     places, owned, chosen, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd, steps=steps)
 
     def sort_shard(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, owners, s1, s2 = [], [], [], []
+        parts, owners, s1, s2, m = [], [], [], [], []
         for frame in frames:
             parts.extend(frame["body"].to_pylist())
-            for column, name in ((owners, "doc"), (s1, "s1"), (s2, "s2")):
+            for column, name in ((owners, "doc"), (s1, "s1"), (s2, "s2"), (m, "m")):
                 column.append(frame[name].to_numpy())
         if parts:
-            s1, s2 = np.concatenate(s1), np.concatenate(s2)
-            found = shard_firsts(parts, np.concatenate(owners), width, queue_bytes)
+            chosen = np.flatnonzero(may_share(np.concatenate(m), parts, width, gram))
+            parts, s1, s2 = [parts[k] for k in chosen], np.concatenate(s1)[chosen], np.concatenate(s2)[chosen]
+            found = shard_firsts(parts, np.concatenate(owners)[chosen], width, queue_bytes) if parts else []
             for at in range(0, len(found), 4096):
                 some = found[at:at + 4096]
                 which = [k for k, _ in some]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from smelter.llm import suffix_dedup
@@ -49,3 +50,26 @@ def test_only_minimizers_with_different_segments_are_sorted_and_no_step_is_compu
     found = suffix_dedup.remove_duplicated(docs)
     assert {x.doc_id: x.n_removed for x in found.collect()} == {1: 0, 2: 400, 3: 0, 4: 300}
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_segments_left_out_before_sorting_have_no_string_of_another():
+    """A string of 50 bytes holds the gram of its minimizer and 15 bytes beside it on one side."""
+    r = random.Random(10)
+    found = {}
+    gram = "".join(r.choice("abcd") for _ in range(20))
+    for doc in range(300):
+        left, right = (r.choice(["x" * k + "".join(r.choice("efgh") for _ in range(40 - k)) for k in (0, 10, 20, 30)]) for _ in range(2))
+        body = (left[::-1] + gram + right).encode()
+        for m, a, b in zip(*(x.tolist() for x in suffix_dedup.segments(np.frombuffer(body, dtype=np.uint8), 50, 20))):
+            found.setdefault((m, body[a:b + 49]), doc)
+    parts, m, owners = [p for _, p in found], np.array([m for m, _ in found], dtype=np.int64), np.array(list(found.values()))
+    kept = suffix_dedup.may_share(m, parts, 50, 20)
+    holders = {}
+    for k, p in enumerate(parts):
+        for at in range(len(p) - 49):
+            holders.setdefault(p[at:at + 50], set()).add(k)
+    needed = {k for x in holders.values() if len(x) > 1 for k in x}
+    assert needed and needed <= set(np.flatnonzero(kept).tolist()) and not kept.all()
+    whole = {(k, *p.tolist()) for k, p in suffix_dedup.shard_firsts(parts, owners, 50)}
+    chosen = np.flatnonzero(kept)
+    assert {(int(chosen[k]), *p.tolist()) for k, p in suffix_dedup.shard_firsts([parts[k] for k in chosen], owners[chosen], 50)} == whole
