@@ -72,8 +72,9 @@ class Steps:
 
     CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.folder, self.count = spark, f"{shared_folder(spark)}/steps-{uuid.uuid4().hex}", 0
+    def __init__(self, spark: SparkSession, within: Steps | None = None) -> None:
+        """within: other steps, whose drop takes these along."""
+        self.spark, self.folder, self.count = spark, f"{within.folder if within else shared_folder(spark)}/steps-{uuid.uuid4().hex}", 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1

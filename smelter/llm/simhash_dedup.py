@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import LAST, batches, cut, spread, uncollected
+from smelter.llm.common import LAST, Steps, batches, cut, spread, uncollected
 
 POSITIONS, DISTANCE = 8, 3
 LEAST_SHARED = POSITIONS - DISTANCE
@@ -130,26 +130,35 @@ def links(distinct: DataFrame, longest: int = LONGEST_LIST) -> DataFrame:
     return _grouped_stars(short).unionByName(_grouped_stars(again)).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, within: Steps | None = None) -> DataFrame:
     """(a, root): the smallest node each node of edges (a, b) is connected to, by repeated hooking and shortcutting.
 
     Each round every node takes the smallest label among its neighbours' and its own, then its label's label. Rounds end
-    when nothing changes; their number grows with the logarithm of a group's diameter. Only counts reach the driver.
+    when both ends of every edge have one label; their number grows with the logarithm of a group's diameter, and stars need
+    none. Only counts reach the driver. Each table is stored once, in one job, and goes when it is no longer read; the last
+    labels stay, in within's folder if given.
     """
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")))
+    spark = edges.sparkSession
+    fixed, held = Steps(spark, within), Steps(spark, within)
+    both = fixed.keep(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = held.keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")))
     for _ in range(rounds):
-        offered = (both.join(labels.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near")))
-        hooked = labels.join(offered, "a").select("a", "root", F.least("root", "near").alias("to"))
+        met = Steps(spark, within)
+        offered = (both.join(labels.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"), F.max("root").alias("far")))
+        hooked = met.keep(labels.join(offered, "a").select("a", "root", F.least("root", "near").alias("to"), (F.col("far") != F.col("root")).alias("open")))
+        if not hooked.where("open or to <> root").limit(1).count():
+            met.drop()
+            fixed.drop()
+            return labels
         # A node's label passes on what the node has learned, so whole trees hook at once.
         passed = hooked.groupBy(F.col("root").alias("t")).agg(F.min("to").alias("better"))
-        moved = hooked.join(passed, hooked["root"] == passed["t"], "left").select("a", "root", F.least("to", "better").alias("to"))
+        moved = hooked.join(passed, hooked["root"] == passed["t"], "left").select("a", F.least("to", "better").alias("to"))
         jump = moved.select(F.col("a").alias("t"), F.col("to").alias("further"))
-        new = cut(moved.join(jump, moved["to"] == jump["t"], "left").select("a", F.col("root").alias("old"), F.least("to", F.coalesce("further", "to")).alias("root")))
-        changed = new.where("old <> root").limit(1).count()
-        labels = new.select("a", "root")
-        if not changed:
-            return labels
+        following = Steps(spark, within)
+        labels = following.keep(moved.join(jump, moved["to"] == jump["t"], "left").select("a", F.least("to", F.coalesce("further", "to")).alias("root")))
+        held.drop()
+        met.drop()
+        held = following
     raise RuntimeError("components did not settle")
 
 

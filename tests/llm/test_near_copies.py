@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import corpus_pipeline
@@ -101,3 +102,29 @@ def test_the_stage_goes_through_simhash(spark, monkeypatch):
     near = {(a, b) for a in prints for b in prints if b < a and (prints[a] ^ prints[b]).bit_count() <= 3}
     assert near and {(x.a.doc, x.b.doc) for x in pairs} >= {(a, b) for a, b in near if b % 10 == 0}
     assert all(x.a.doc // 10 == x.b.doc // 10 for x in pairs)
+
+
+def test_components_of_stars_and_chains(spark):
+    """Stars are settled by their first labels; no round, with its jobs and broadcasts on the driver, follows. Chains are not."""
+    r = random.Random(2)
+    stars = [(k, k // 10 * 10) for k in range(400) if k % 10]
+    order = r.sample(range(1000, 1300), 300)
+    chain = list(zip(order, order[1:]))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    counts = []
+    for name, edges, want in (("stars", stars, {k: k // 10 * 10 for k in range(400)}), ("both", stars + chain, {k: k // 10 * 10 for k in range(400)} | dict.fromkeys(order, 1000))):
+        spark.sparkContext.setJobGroup(f"components-{name}", name)
+        found = simhash_dedup.components(spark.createDataFrame(edges, "a long, b long"))
+        counts.append(len(jobs(f"components-{name}")))
+        spark.sparkContext.setJobGroup("", "")
+        assert {x.a: x.root for x in found.collect()} == want
+    assert counts[0] <= 14 < counts[1], counts
+
+
+def test_components_leave_their_last_labels_only(spark, tmp_path):
+    steps = simhash_dedup.Steps(spark)
+    found = simhash_dedup.components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long"), within=steps)
+    left = os.listdir(steps.folder.removeprefix("file:"))
+    assert len(left) == 1 and {x.root for x in found.collect()} == {0}
+    steps.drop()
+    assert not os.path.exists(steps.folder.removeprefix("file:"))
