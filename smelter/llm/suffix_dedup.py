@@ -2,8 +2,10 @@
 
 Byte strings of ``width`` that more than one document holds are found with sorted suffixes. All places of one string must
 meet in one shard, so each string is dealt by its minimizer: the least hash of the grams inside it, which equal strings
-share. Runs of strings with one minimizer form a segment. Minimizers that one document only holds need no sorting, nor do those
-whose segments are all equal; of equal segments one, in its smallest document, is sorted and stands for all. A shard is the segments dealt to it, one after
+share. Runs of strings with one minimizer form a segment. Which minimizers several documents hold is found by blocks of
+documents, whose minimizers travel packed, a row for each block and shard. Those that one document only holds need no sorting, nor do those
+whose segments are all equal; of equal segments one, in its smallest document, is sorted and stands for all. In a shard, strings that
+are alone by hash are left out first, and of segments whose rests are then equal one stands for all (``settled``). A shard is the segments dealt to it, one after
 another; its suffixes and their common prefixes come from ``external_suffixes``, whose queues go to disk where a shard is
 larger than the memory budget. Suffixes that share width bytes are one string; its smallest document keeps it.
 Where one minimizer has more than ``crowd`` different segments, as at the edge of a passage that many documents hold with
@@ -26,15 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import HASH_BASE, Steps, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected
+from smelter.llm.common import HASH_BASE, LAST, Steps, batches, cover_runs, doc_id, keyed, rolling, spread, uncollected
 from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
 SHARD_BYTES, QUEUE_BYTES = 8 << 20, 64 << 20
+BLOCK_BYTES, PIECE_BYTES, MEETING_BYTES = 1 << 20, 1 << 16, 16 << 20
 CROWD = 1000
 _BYTE = np.random.default_rng(5).integers(1, 2**63, 256).astype(np.uint64)
 
@@ -62,6 +67,35 @@ def segments(raw: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.nda
     return low[starts], starts, np.concatenate([starts[1:], [len(low)]])
 
 
+def many_segments(body: np.ndarray, sizes: np.ndarray, width: int, gram: int, piece: int = PIECE_BYTES) -> tuple[np.ndarray, ...]:
+    """Minimizer, document (its number), first string and end of strings (places in the document) of the segments of documents
+    that lie one after another in body; pieces of some documents are worked on at once."""
+    ends = np.cumsum(sizes)
+    out: list[tuple[np.ndarray, ...]] = []
+    first, at = 0, 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, at + piece, side="right")))
+        low = minimizers(body[at:ends[last - 1]], width, gram)
+        if len(low):
+            borders = ends[first:last] - at
+            inside = np.ones(len(low), dtype=bool)  # strings that cross no border
+            crossing = (borders[:-1, None] - np.arange(1, width)).ravel()
+            inside[crossing[(crossing >= 0) & (crossing < len(low))]] = False
+            edges = np.concatenate([[0], np.flatnonzero((low[1:] != low[:-1]) | (inside[1:] != inside[:-1])) + 1, [len(low)]])
+            starts, stops = edges[:-1][inside[edges[:-1]]], edges[1:][inside[edges[:-1]]]
+            doc = np.searchsorted(borders, starts, side="right")
+            begin = np.concatenate([[0], borders[:-1]])[doc]
+            out.append((low[starts], doc + first, starts - begin, stops - begin))
+        first, at = last, int(ends[last - 1])
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+
+
+def _short(m: np.ndarray, bits: int) -> np.ndarray:
+    """The first 32 + bits bits of minimizers: a shard's number and 32 bits inside it. Different ones that fall together are
+    looked at in vain, no more."""
+    return m.view(np.uint64) >> np.uint64(32 - bits)
+
+
 def shard_firsts(parts: list[bytes], owners: np.ndarray, width: int, queue_bytes: int = QUEUE_BYTES, leaf: int = 1 << 24) -> list[tuple[int, np.ndarray]]:
     """(segment, places inside it) of the strings that a segment with a smaller owner holds too."""
     lengths = np.array([len(p) for p in parts], dtype=np.int64)
@@ -112,6 +146,48 @@ def may_share(m: np.ndarray, parts: list[bytes], width: int, gram: int) -> np.nd
     return out
 
 
+def trimmed(parts: list[bytes], width: int) -> list[tuple[int, int, int]]:
+    """(part, first, end) of the places from a part's first string that may be in another part to its last such; by hash, so
+    that only strings alone among the parts, which nothing can be found about, are left out."""
+    lengths = np.array([len(p) for p in parts], dtype=np.int64)
+    ends = np.cumsum(lengths)
+    h = rolling(_BYTE[np.frombuffer(b"".join(parts), dtype=np.uint8)], width, HASH_BASE)
+    part = np.repeat(np.arange(len(parts)), lengths)[:len(h)]
+    whole = np.flatnonzero(np.arange(len(h)) + width <= ends[part])
+    h, part = h[whole], part[whole]
+    ordered = np.sort(h)
+    several = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(several):
+        return []
+    kept = several[np.minimum(np.searchsorted(several, h), len(several) - 1)] == h
+    places, part = whole[kept], part[kept]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+    begins = ends - lengths
+    return [(int(part[a]), int(places[a] - begins[part[a]]), int(places[b - 1] - begins[part[a]]) + width) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def settled(parts: list[bytes], owners: np.ndarray, width: int, queue_bytes: int = QUEUE_BYTES) -> list[tuple[int, np.ndarray]]:
+    """What ``shard_firsts`` finds, with less to sort: parts are trimmed, and of those that are then equal one, of the smallest
+    owner, stands for all. What is alone among these in turn is not sorted."""
+    cuts = trimmed(parts, width)
+    alike: dict[bytes, int] = {}
+    of = np.array([alike.setdefault(parts[k][a:b], len(alike)) for k, a, b in cuts], dtype=np.int64)
+    who = owners[[k for k, _, _ in cuts]]
+    first = np.full(len(alike), LAST, dtype=np.int64)
+    np.minimum.at(first, of, who)
+    bodies = list(alike)
+    again = trimmed(bodies, width) if bodies else []
+    found = shard_firsts([bodies[c][a:b] for c, a, b in again], first[[c for c, _, _ in again]], width, queue_bytes) if again else []
+    inside = {again[k][0]: places + again[k][1] for k, places in found}
+    out = []
+    for (k, a, b), c, beyond in zip(cuts, of.tolist(), (who > first[of]).tolist()):
+        if beyond:
+            out.append((k, np.arange(a, b - width + 1)))
+        elif c in inside:
+            out.append((k, inside[c] + a))
+    return out
+
+
 def _emit(out: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) if c and isinstance(c[0], np.ndarray) else pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
@@ -133,31 +209,69 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
     The first three are stored, as each is read more than once."""
     rows, steps, early = keyed(docs), steps or Steps(docs.sparkSession), Steps(docs.sparkSession)
 
+    def pack(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of documents, one row each. Its number is the task's and a count; as the table is stored, it stays."""
+        block, task = 0, TaskContext.get().partitionId()
+        for frame in uncollected(batches(frames, 4096, BLOCK_BYTES)):
+            texts = frame["text"].cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([(task << 32) + block]), pa.array([frame["doc"].to_numpy()], pa.list_(pa.int64())), pa.array([frame["th"].to_numpy()], pa.list_(pa.int64())),
+                 pa.array([pc.binary_length(texts).to_numpy()], pa.list_(pa.int64())),
+                 pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), b"")], names=["block", "docs", "ths", "sizes", "body"])
+            block += 1
+
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each document's different minimizers."""
-        for frame in uncollected(batches(frames, 256)):
-            out: list[list] = [[], [], []]
-            for text, doc, th in zip(*(frame[c].to_pylist() for c in ("text", "doc", "th"))):
-                low = np.unique(segments(np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8), width, gram)[0])
-                for column, values in zip(out, (low, np.full(len(low), doc), np.full(len(low), th))):
-                    column.append(values)
-            if out[0]:
-                yield _emit(out, ["m", "doc", "th"], [pa.int64()] * 3)
+        """Each block's different minimizers by shard, in short; those that two of its documents hold are there twice."""
+        for frame in uncollected(frames):
+            for k in range(frame.num_rows):
+                m, doc, _, _ = many_segments(np.frombuffer(frame["body"][k].as_buffer(), dtype=np.uint8), frame["sizes"][k].values.to_numpy(), width, gram)
+                if not len(m):
+                    continue
+                order = np.argsort(m, kind="stable")
+                x, doc = _short(m[order], bits), doc[order]
+                order = np.argsort(x, kind="stable")  # m is signed
+                x, doc = x[order], doc[order]
+                edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1])
+                twice = np.minimum.reduceat(doc, edges) < np.maximum.reduceat(doc, edges)
+                x = np.repeat(x[edges], 1 + twice)
+                shards = (x >> np.uint64(32)).astype(np.int64)
+                cuts = np.concatenate([[0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(x)]])
+                keys = x.astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(cuts) - 1, frame["block"][k].as_py())), pa.array(shards[cuts[:-1]]),
+                     pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["block", "shard", "keys"])
+
+    def meet(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each block, those of its keys that its shard holds more than once."""
+        blocks, found = [], []
+        for frame in frames:
+            blocks.extend(frame["block"].to_pylist())
+            found.extend(np.frombuffer(k, dtype=np.uint32) | (np.uint64(s) << np.uint64(32)) for s, k in zip(frame["shard"].to_pylist(), frame["keys"].to_pylist()))
+        if not found:
+            return
+        ordered = np.sort(np.concatenate(found))
+        several = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        if not len(several):
+            return
+        for at in range(0, len(found), 4096):
+            kept = [x[several[np.minimum(np.searchsorted(several, x), len(several) - 1)] == x].tobytes() for x in found[at:at + 4096]]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[at:at + 4096], pa.int64()), pa.array(kept, pa.binary())], names=["block", "shared"])
 
     def cut_up(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Segments of shared minimizers by hash and place."""
-        for frame in uncollected(batches(frames, 64)):
-            out: list[list] = [[] for _ in range(7)]
-            for text, doc, th, shared in zip(*(frame[c].to_pylist() for c in ("text", "doc", "th")), _lists(frame["shared"])):
-                body = text.encode("utf-8", "replace")
-                m, starts, stops = segments(np.frombuffer(body, dtype=np.uint8), width, gram)
-                chosen = np.isin(m, shared)
-                m, starts, stops = m[chosen], starts[chosen], stops[chosen]
-                s = _digests([body[a:b] for a, b in zip(starts.tolist(), (stops + width - 1).tolist())])
-                for column, v in zip(out, (s[:, 0], s[:, 1], m, np.full(len(m), doc), np.full(len(m), th), starts.astype(np.int32), (stops - starts).astype(np.int32))):
-                    column.append(v)
-            if out[0]:
-                yield _emit(out, ["s1", "s2", "m", "doc", "th", "at", "n"], [pa.int64()] * 5 + [pa.int32()] * 2)
+        for frame in uncollected(frames):
+            for k in range(frame.num_rows):
+                body, sizes = frame["body"][k].as_buffer().to_pybytes(), frame["sizes"][k].values.to_numpy()
+                m, of, starts, stops = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
+                shared = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in frame["shared"][k].as_py()]))
+                x = _short(m, bits)
+                chosen = shared[np.minimum(np.searchsorted(shared, x), len(shared) - 1)] == x if len(shared) else np.zeros(len(m), dtype=bool)
+                m, of, starts, stops = m[chosen], of[chosen], starts[chosen], stops[chosen]
+                begin = (np.cumsum(sizes) - sizes)[of]
+                s = _digests([body[a:b] for a, b in zip((begin + starts).tolist(), (begin + stops + width - 1).tolist())])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (s[:, 0], s[:, 1], m, frame["docs"][k].values.to_numpy()[of], frame["ths"][k].values.to_numpy()[of], starts.astype(np.int32), (stops - starts).astype(np.int32))],
+                    names=["s1", "s2", "m", "doc", "th", "at", "n"])
 
     def bodies(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the segments chosen to be sorted."""
@@ -181,12 +295,13 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
                                  [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
 
-    shared = early.keep(rows.mapInArrow(held, "m long, doc long, th long").groupBy("m").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-                        .where("low < high").select("m"))
-    met = early.keep(rows.mapInArrow(held, "m long, doc long, th long").join(shared, "m").select("doc", "th", "m"))
-    # Lists are made after the exchange: before it, they would be hardly shorter and travel as buffers.
-    found = met.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_set("m").alias("shared"))
-    places = steps.keep(rows.join(found, ["doc", "th"]).select("text", "doc", "th", "shared")
+    blocks = early.keep(rows.mapInArrow(pack, "block long, docs array<long>, ths array<long>, sizes array<long>, body binary"))
+    size = blocks.agg(F.sum(F.length("body")).alias("size")).first()["size"] or 0
+    bits = min(32, max(4, (int(size) // MEETING_BYTES).bit_length()))  # shards: 16 at least
+    # What meets in a shard is packed: a row for each block, not for each of its minimizers; a hot one is there once or twice a block.
+    met = early.keep(blocks.select("block", "sizes", "body").mapInArrow(held, "block long, shard long, keys binary").repartition(1 << bits, "shard")
+                     .mapInArrow(meet, "block long, shared binary"))
+    places = steps.keep(blocks.join(met.groupBy("block").agg(F.collect_list("shared").alias("shared")), "block").select("docs", "ths", "sizes", "body", "shared")
                         .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
     early.drop()
     owned = steps.keep(places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"), F.max("doc").alias("high")))
@@ -211,15 +326,14 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
     places, owned, chosen, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd, steps=steps)
 
     def sort_shard(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, owners, s1, s2, m = [], [], [], [], []
+        parts, owners, s1, s2 = [], [], [], []
         for frame in frames:
             parts.extend(frame["body"].to_pylist())
-            for column, name in ((owners, "doc"), (s1, "s1"), (s2, "s2"), (m, "m")):
+            for column, name in ((owners, "doc"), (s1, "s1"), (s2, "s2")):
                 column.append(frame[name].to_numpy())
         if parts:
-            chosen = np.flatnonzero(may_share(np.concatenate(m), parts, width, gram))
-            parts, s1, s2 = [parts[k] for k in chosen], np.concatenate(s1)[chosen], np.concatenate(s2)[chosen]
-            found = shard_firsts(parts, np.concatenate(owners)[chosen], width, queue_bytes) if parts else []
+            s1, s2 = np.concatenate(s1), np.concatenate(s2)
+            found = settled(parts, np.concatenate(owners), width, queue_bytes)
             for at in range(0, len(found), 4096):
                 some = found[at:at + 4096]
                 which = [k for k, _ in some]

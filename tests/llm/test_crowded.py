@@ -73,3 +73,32 @@ def test_segments_left_out_before_sorting_have_no_string_of_another():
     whole = {(k, *p.tolist()) for k, p in suffix_dedup.shard_firsts(parts, owners, 50)}
     chosen = np.flatnonzero(kept)
     assert {(int(chosen[k]), *p.tolist()) for k, p in suffix_dedup.shard_firsts([parts[k] for k in chosen], owners[chosen], 50)} == whole
+
+
+def test_segments_of_many_documents_at_once():
+    r = random.Random(1)
+    docs = [bytes(r.choice(b"ab cde") for _ in range(r.choice([0, 1, 10, 49, 50, 51, 200, 9000]))) for _ in range(60)]
+    found = suffix_dedup.many_segments(np.frombuffer(b"".join(docs), dtype=np.uint8), np.array([len(x) for x in docs]), 50, 20, piece=5000)
+    want = [(int(m), k, int(a), int(b)) for k, x in enumerate(docs) for m, a, b in zip(*suffix_dedup.segments(np.frombuffer(x, dtype=np.uint8), 50, 20))]
+    assert list(zip(*(c.tolist() for c in found))) == want
+
+
+def test_less_is_sorted_with_the_same_result(monkeypatch):
+    """Different text on both sides of few passages: hardly anything is left to sort once equal rests stand for each other."""
+    r = random.Random(7)
+    passages = [bytes(r.choice(b"abcdefgh") for _ in range(70)) for _ in range(4)]
+    other = lambda n: bytes(r.randrange(128, 256) for _ in range(n))
+    parts = [other(r.randrange(40)) + r.choice(passages)[r.randrange(3):] + other(r.randrange(40)) for _ in range(300)]
+    parts += [other(90), passages[0] + passages[1], b"z" * 120, b"z" * 60, b"short"]
+    owners = np.array([r.randrange(80) for _ in parts])
+    owner_of = {}
+    for p, o in zip(parts, owners.tolist()):
+        for k in range(len(p) - 49):
+            owner_of[p[k:k + 50]] = min(o, owner_of.get(p[k:k + 50], o))
+    want = {n: {k for k in range(len(p) - 49) if owner_of[p[k:k + 50]] < o} for n, (p, o) in enumerate(zip(parts, owners.tolist()))}
+    asked = []
+    whole = suffix_dedup.shard_firsts
+    monkeypatch.setattr(suffix_dedup, "shard_firsts", lambda p, *rest: asked.append(sum(map(len, p))) or whole(p, *rest))
+    found = dict(suffix_dedup.settled(parts, owners, 50))
+    assert {n: set(found[n].tolist()) if n in found else set() for n in want} == want and all(len(set(v.tolist())) == len(v) for v in found.values())
+    assert 0 < sum(asked) < sum(map(len, parts)) / 3
