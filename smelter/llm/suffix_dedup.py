@@ -3,7 +3,7 @@
 Byte strings of ``width`` that more than one document holds are found with sorted suffixes. All places of one string must
 meet in one shard, so each string is dealt by its minimizer: the least hash of the grams inside it, which equal strings
 share. Runs of strings with one minimizer form a segment. Which minimizers several documents hold is found by blocks of
-documents, whose minimizers travel packed, a row for each block and shard. Those that one document only holds need no sorting, nor do those
+64 documents, whose minimizers travel packed, a row for each block and shard. Those that one document only holds need no sorting, nor do those
 whose segments are all equal; of equal segments one, in its smallest document, is sorted and stands for all. In a shard, strings that
 are alone by hash are left out first, and of segments whose rests are then equal one stands for all (``settled``). A shard is the segments dealt to it, one after
 another; its suffixes and their common prefixes come from ``external_suffixes``, whose queues go to disk where a shard is
@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +38,7 @@ from smelter.llm.external_suffixes import scratch, suffixes
 
 WIDTH, GRAM = 50, 20
 SHARD_BYTES, QUEUE_BYTES = 8 << 20, 64 << 20
-BLOCK_BYTES, PIECE_BYTES, MEETING_BYTES = 1 << 20, 1 << 16, 16 << 20
+BLOCK_BITS, PIECE_BYTES, MEETING_BYTES = 6, 1 << 16, 16 << 20
 CROWD = 1000
 _BYTE = np.random.default_rng(5).integers(1, 2**63, 256).astype(np.uint64)
 
@@ -196,6 +195,12 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
     return np.split(column.flatten().to_numpy(), (column.offsets.to_numpy() - column.offsets[0].as_py())[1:-1])
 
 
+def _joined(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of some texts one after another, and how many each has."""
+    found = texts.cast(pa.binary())
+    return b"".join(found.to_pylist()), pc.binary_length(found).to_numpy().astype(np.int64)
+
+
 def _digests(parts: list[bytes]) -> np.ndarray:
     """The 128-bit hash of each, as two numbers."""
     return np.frombuffer(b"".join(map(xxhash.xxh128_digest, parts)), dtype=">i8").astype(np.int64).reshape(-1, 2)
@@ -209,22 +214,14 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
     The first three are stored, as each is read more than once."""
     rows, steps, early = keyed(docs), steps or Steps(docs.sparkSession), Steps(docs.sparkSession)
 
-    def pack(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of documents, one row each. Its number is the task's and a count; as the table is stored, it stays."""
-        block, task = 0, TaskContext.get().partitionId()
-        for frame in uncollected(batches(frames, 4096, BLOCK_BYTES)):
-            texts = frame["text"].cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + block]), pa.array([frame["doc"].to_numpy()], pa.list_(pa.int64())), pa.array([frame["th"].to_numpy()], pa.list_(pa.int64())),
-                 pa.array([pc.binary_length(texts).to_numpy()], pa.list_(pa.int64())),
-                 pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), b"")], names=["block", "docs", "ths", "sizes", "body"])
-            block += 1
-
     def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each block's different minimizers by shard, in short; those that two of its documents hold are there twice."""
         for frame in uncollected(frames):
-            for k in range(frame.num_rows):
-                m, doc, _, _ = many_segments(np.frombuffer(frame["body"][k].as_buffer(), dtype=np.uint8), frame["sizes"][k].values.to_numpy(), width, gram)
+            number = frame["block"].to_numpy()
+            turns = np.concatenate([[0], np.flatnonzero(number[1:] != number[:-1]) + 1, [len(number)]]) if len(number) else [0]
+            for at, upto in zip(turns[:-1], turns[1:]):
+                body, sizes = _joined(frame["text"].slice(at, upto - at))
+                m, doc, _, _ = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
                 if not len(m):
                     continue
                 order = np.argsort(m, kind="stable")
@@ -238,7 +235,7 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                 cuts = np.concatenate([[0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(x)]])
                 keys = x.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cuts) - 1, frame["block"][k].as_py())), pa.array(shards[cuts[:-1]]),
+                    [pa.array(np.full(len(cuts) - 1, number[at])), pa.array(shards[cuts[:-1]]),
                      pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["block", "shard", "keys"])
 
     def meet(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,21 +254,18 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
             kept = [x[several[np.minimum(np.searchsorted(several, x), len(several) - 1)] == x].tobytes() for x in found[at:at + 4096]]
             yield pa.RecordBatch.from_arrays([pa.array(blocks[at:at + 4096], pa.int64()), pa.array(kept, pa.binary())], names=["block", "shared"])
 
-    def cut_up(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Segments of shared minimizers by hash and place."""
-        for frame in uncollected(frames):
-            for k in range(frame.num_rows):
-                body, sizes = frame["body"][k].as_buffer().to_pybytes(), frame["sizes"][k].values.to_numpy()
-                m, of, starts, stops = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
-                shared = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in frame["shared"][k].as_py()]))
-                x = _short(m, bits)
-                chosen = shared[np.minimum(np.searchsorted(shared, x), len(shared) - 1)] == x if len(shared) else np.zeros(len(m), dtype=bool)
-                m, of, starts, stops = m[chosen], of[chosen], starts[chosen], stops[chosen]
-                begin = (np.cumsum(sizes) - sizes)[of]
-                s = _digests([body[a:b] for a, b in zip((begin + starts).tolist(), (begin + stops + width - 1).tolist())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (s[:, 0], s[:, 1], m, frame["docs"][k].values.to_numpy()[of], frame["ths"][k].values.to_numpy()[of], starts.astype(np.int32), (stops - starts).astype(np.int32))],
-                    names=["s1", "s2", "m", "doc", "th", "at", "n"])
+    def cut_up(docs: pa.Table, found: pa.Table) -> pa.Table:
+        """Segments of a block's shared minimizers by hash and place."""
+        body, sizes = _joined(docs["text"].combine_chunks())
+        m, of, starts, stops = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
+        shared = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in found["shared"].to_pylist()] or [np.zeros(0, dtype=np.uint64)]))
+        x = _short(m, bits)
+        chosen = shared[np.minimum(np.searchsorted(shared, x), len(shared) - 1)] == x if len(shared) else np.zeros(len(m), dtype=bool)
+        m, of, starts, stops = m[chosen], of[chosen], starts[chosen], stops[chosen]
+        begin = (np.cumsum(sizes) - sizes)[of]
+        s = _digests([body[a:b] for a, b in zip((begin + starts).tolist(), (begin + stops + width - 1).tolist())])
+        return pa.Table.from_arrays([pa.array(c) for c in (s[:, 0], s[:, 1], m, docs["doc"].to_numpy()[of], docs["th"].to_numpy()[of], starts.astype(np.int32), (stops - starts).astype(np.int32))],
+                                    names=["s1", "s2", "m", "doc", "th", "at", "n"])
 
     def bodies(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the segments chosen to be sorted."""
@@ -295,14 +289,14 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
                     yield _emit([[x["s1"]] * x["n"], [x["s2"]] * x["n"], [doc] * x["n"], list(range(x["n"])), [(h >> 64) - 2**63 for h in found],
                                  [(h & (2**64 - 1)) - 2**63 for h in found]], ["s1", "s2", "doc", "k", "w1", "w2"], [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2)
 
-    blocks = early.keep(rows.mapInArrow(pack, "block long, docs array<long>, ths array<long>, sizes array<long>, body binary"))
-    size = blocks.agg(F.sum(F.length("body")).alias("size")).first()["size"] or 0
+    # Blocks are of some documents that lie together; as the table is stored, their numbers stay.
+    blocks = early.keep(rows.select(F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block"), "doc", "th", "text"))
+    size = blocks.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
     bits = min(32, max(4, (int(size) // MEETING_BYTES).bit_length()))  # shards: 16 at least
     # What meets in a shard is packed: a row for each block, not for each of its minimizers; a hot one is there once or twice a block.
-    met = early.keep(blocks.select("block", "sizes", "body").mapInArrow(held, "block long, shard long, keys binary").repartition(1 << bits, "shard")
+    met = early.keep(blocks.select("block", "text").mapInArrow(held, "block long, shard long, keys binary").repartition(1 << bits, "shard")
                      .mapInArrow(meet, "block long, shared binary"))
-    places = steps.keep(blocks.join(met.groupBy("block").agg(F.collect_list("shared").alias("shared")), "block").select("docs", "ths", "sizes", "body", "shared")
-                        .mapInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
+    places = steps.keep(blocks.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(cut_up, "s1 long, s2 long, m long, doc long, th long, at int, n int"))
     early.drop()
     owned = steps.keep(places.groupBy("s1", "s2").agg(F.min(F.struct("doc", "th", "at", "n", "m")).alias("o"), F.max("doc").alias("high")))
     # Where all segments of a minimizer are equal, so are their strings, and there is nothing to sort.
