@@ -90,9 +90,9 @@ def many_segments(body: np.ndarray, sizes: np.ndarray, width: int, gram: int, pi
 
 
 def _short(m: np.ndarray, bits: int) -> np.ndarray:
-    """The first 32 + bits bits of minimizers: a shard's number and 32 bits inside it. Different ones that fall together are
-    looked at in vain, no more."""
-    return m.view(np.uint64) >> np.uint64(32 - bits)
+    """32 + bits bits of minimizers: a shard's number and 32 bits inside it. Different ones that fall together are looked at in
+    vain, no more. Minimizers are least hashes, whose first bits are mostly 0: they are mixed first."""
+    return (m.view(np.uint64) * np.uint64(HASH_BASE)) >> np.uint64(32 - bits)
 
 
 def shard_firsts(parts: list[bytes], owners: np.ndarray, width: int, queue_bytes: int = QUEUE_BYTES, leaf: int = 1 << 24) -> list[tuple[int, np.ndarray]]:

@@ -102,3 +102,10 @@ def test_less_is_sorted_with_the_same_result(monkeypatch):
     found = dict(suffix_dedup.settled(parts, owners, 50))
     assert {n: set(found[n].tolist()) if n in found else set() for n in want} == want and all(len(set(v.tolist())) == len(v) for v in found.values())
     assert 0 < sum(asked) < sum(map(len, parts)) / 3
+
+
+def test_minimizers_meet_in_even_shards():
+    body = np.random.default_rng(3).integers(32, 127, 400_000).astype(np.uint8)
+    m = np.unique(suffix_dedup.segments(body, 50, 20)[0])
+    many = np.bincount((suffix_dedup._short(m, 6) >> np.uint64(32)).astype(np.int64), minlength=64)
+    assert len(many) == 64 and many.max() < 1.5 * many.mean()
