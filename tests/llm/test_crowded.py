@@ -109,3 +109,32 @@ def test_minimizers_meet_in_even_shards():
     m = np.unique(suffix_dedup.segments(body, 50, 20)[0])
     many = np.bincount((suffix_dedup._short(m, 6) >> np.uint64(32)).astype(np.int64), minlength=64)
     assert len(many) == 64 and many.max() < 1.5 * many.mean()
+
+
+def test_the_texts_are_not_stored_again_and_the_bodies_once(spark, monkeypatch):
+    """No table of a step holds the texts, and tables go before the next texts are shuffled: what lies on disk stays below the input."""
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = word(300)
+    docs = spark.createDataFrame([(k, word(3000) + passage + word(3000)) for k in range(60)] * 2, PLAIN)
+    kept = []
+    keep = suffix_dedup.Steps.keep
+    monkeypatch.setattr(suffix_dedup.Steps, "keep", lambda self, df: kept.append(keep(self, df)) or kept[-1])
+    found = suffix_dedup.remove_duplicated(docs).collect()
+    assert len(found) == 120 and all(x.n_removed == 0 if x.doc_id == 0 else 300 <= x.n_removed < 320 for x in found)
+    names = [set(df.columns) for df in kept]
+    assert not any("text" in x for x in names) and sum("body" in x for x in names) == 1 and not any("s2" in x for x in names)
+
+
+def test_trimmed_by_pieces(monkeypatch):
+    r = random.Random(12)
+    parts = [bytes(r.choice(b"ab") for _ in range(r.choice([0, 3, 49, 50, 51, 60, 130]))) for _ in range(200)] + [b"", b"ab" * 60]
+    whole = suffix_dedup.trimmed(parts, 12)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 100)
+    holders = {}
+    for k, p in enumerate(parts):
+        for at in range(len(p) - 11):
+            holders.setdefault(p[at:at + 12], []).append((k, at))
+    places = sorted(x for found in holders.values() if len(found) > 1 for x in found)
+    want = [(k, min(a for j, a in places if j == k), max(a for j, a in places if j == k) + 12) for k in sorted({k for k, _ in places})]
+    assert suffix_dedup.trimmed(parts, 12) == whole == want
