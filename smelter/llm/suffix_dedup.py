@@ -2,7 +2,8 @@
 
 Byte strings of ``width`` that more than one document holds are found with sorted suffixes. All places of one string must
 meet in one shard, so each string is dealt by its minimizer: the least hash of the grams inside it, which equal strings
-share. Runs of strings with one minimizer form a segment. Which minimizers several documents hold is found by blocks of
+share. Runs of strings with one minimizer form a segment. Of documents with one whole text, the smallest one's only are looked
+at; the others lose all of their strings. Which minimizers several documents hold is found by blocks of
 64 documents, whose minimizers travel packed, a row for each block and shard. Those that one document only holds need no sorting, nor do those
 whose segments are all equal; of equal segments one, in its smallest document, is sorted and stands for all. In a shard, strings that
 are alone by hash are left out first, and of segments whose rests are then equal one stands for all (``settled``). A shard is the segments dealt to it, one after
@@ -208,39 +209,48 @@ def _digests(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, parts)), dtype=">i8").astype(np.int64)
 
 
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """doc, th, size: rows whose whole text, by 128 bits, a smaller doc_id has, and the text's bytes. Such a row loses all of its
+    strings and is no string's smallest document, so that its strings need not be looked at. Only hashes are shuffled."""
+    rows = keyed(docs).select("doc", "th", F.xxhash64(F.lit("other"), "text").alias("other"), F.octet_length("text").alias("size"))
+    firsts = rows.groupBy("th", "other").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("th", "other", "first")
+    return rows.join(spread(firsts), ["th", "other"]).where("doc > first").select("doc", "th", "size").distinct()
+
+
+def _firsts(docs: pa.Table, copies: pa.Table) -> pa.Table:
+    """The rows of docs that are not among the copies."""
+    gone = set(zip(copies["doc"].to_pylist(), copies["th"].to_pylist()))
+    return docs.filter(pa.array([x not in gone for x in zip(docs["doc"].to_pylist(), docs["th"].to_pylist())], pa.bool_())) if gone else docs
+
+
 def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD,
-          steps: Steps | None = None, passing: Steps | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+          steps: Steps | None = None, passing: Steps | None = None, copies: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Segments of shared minimizers by place; the owner of each different one; the bodies of those that are not alone with
     their minimizer; of these the ones to be sorted, of at most crowd segments a minimizer; and the strings of the others.
 
-    The first three are stored, as each is read more than once: the places in steps, the other two in passing. A segment goes by its minimizer and a hash of its bytes, 64 bits
+    Whole copies (``whole_copies``) take no part. The first three are stored, as each is read more than once: the places in steps, the other two in passing. A segment goes by its minimizer and a hash of its bytes, 64 bits
     each: only segments of one minimizer are told apart by the hash."""
     rows, spark = keyed(docs), docs.sparkSession
     steps, passing, early, brief = steps or Steps(spark), passing or Steps(spark), Steps(spark), Steps(spark)
 
-    def held(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each block's different minimizers by shard, in short; those that two of its documents hold are there twice."""
-        for frame in uncollected(frames):
-            number = frame["block"].to_numpy()
-            turns = np.concatenate([[0], np.flatnonzero(number[1:] != number[:-1]) + 1, [len(number)]]) if len(number) else [0]
-            for at, upto in zip(turns[:-1], turns[1:]):
-                body, sizes = _joined(frame["text"].slice(at, upto - at))
-                m, doc, _, _ = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
-                if not len(m):
-                    continue
-                order = np.argsort(m, kind="stable")
-                x, doc = _short(m[order], bits), doc[order]
-                order = np.argsort(x, kind="stable")  # m is signed
-                x, doc = x[order], doc[order]
-                edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1])
-                twice = np.minimum.reduceat(doc, edges) < np.maximum.reduceat(doc, edges)
-                x = np.repeat(x[edges], 1 + twice)
-                shards = (x >> np.uint64(32)).astype(np.int64)
-                cuts = np.concatenate([[0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(x)]])
-                keys = x.astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cuts) - 1, number[at])), pa.array(shards[cuts[:-1]]),
-                     pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["block", "shard", "keys"])
+    def held(docs: pa.Table, copies: pa.Table) -> pa.Table:
+        """A block's different minimizers by shard, in short; those that two of its documents hold are there twice."""
+        number, docs = docs["block"][0].as_py() if docs.num_rows else 0, _firsts(docs, copies)
+        body, sizes = _joined(docs["text"].combine_chunks())
+        m, doc, _, _ = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
+        order = np.argsort(m, kind="stable")
+        x, doc = _short(m[order], bits), doc[order]
+        order = np.argsort(x, kind="stable")  # m is signed
+        x, doc = x[order], doc[order]
+        edges = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1]) if len(x) else np.zeros(0, dtype=np.int64)
+        twice = np.minimum.reduceat(doc, edges) < np.maximum.reduceat(doc, edges) if len(x) else edges
+        x = np.repeat(x[edges], 1 + twice)
+        shards = (x >> np.uint64(32)).astype(np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(shards[1:] != shards[:-1]) + 1, [len(x)]]) if len(x) else np.zeros(1, dtype=np.int64)
+        keys = x.astype(np.uint32)
+        return pa.Table.from_arrays(
+            [pa.array(np.full(len(cuts) - 1, number, dtype=np.int64)), pa.array(shards[cuts[:-1]]),
+             pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["block", "shard", "keys"])
 
     def meet(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each block, those of its keys that its shard holds more than once."""
@@ -259,7 +269,9 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
             yield pa.RecordBatch.from_arrays([pa.array(blocks[at:at + 4096], pa.int64()), pa.array(kept, pa.binary())], names=["block", "shared"])
 
     def cut_up(docs: pa.Table, found: pa.Table) -> pa.Table:
-        """Segments of a block's shared minimizers by hash and place."""
+        """Segments of a block's shared minimizers by hash and place. found: its shared minimizers, and its copies."""
+        docs = _firsts(docs, found.filter(pc.is_null(found["shared"])))
+        found = found.filter(pc.is_valid(found["shared"]))
         body, sizes = _joined(docs["text"].combine_chunks())
         m, of, starts, stops = many_segments(np.frombuffer(body, dtype=np.uint8), sizes, width, gram)
         shared = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in found["shared"].to_pylist()] or [np.zeros(0, dtype=np.uint64)]))
@@ -300,12 +312,14 @@ def dealt(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, crowd: int =
     counted = rows.agg(F.count("*").alias("texts"), F.sum(F.octet_length("text")).alias("size")).first()
     repeated = (rows.groupBy("doc").count().agg(F.max("count")).first()[0] or 0) > 1
     once = rows.dropDuplicates(["doc", "th"]) if repeated else rows
-    blocks = once.select(F.pmod(F.xxhash64("doc", "th"), F.lit((counted["texts"] >> BLOCK_BITS) + 1).cast("long")).alias("block"), "doc", "th", "text")
+    block = F.pmod(F.xxhash64("doc", "th"), F.lit((counted["texts"] >> BLOCK_BITS) + 1).cast("long")).alias("block")
+    blocks, copied = once.select(block, "doc", "th", "text"), (copies if copies is not None else whole_copies(docs)).select(block, "doc", "th")
     bits = min(32, max(4, (int(counted["size"] or 0) // MEETING_BYTES).bit_length()))  # shards: 16 at least
     # What meets in a shard is packed: a row for each block, not for each of its minimizers; a hot one is there once or twice a block.
-    met = early.keep(blocks.select("block", "text").repartition("block").sortWithinPartitions("block").mapInArrow(held, "block long, shard long, keys binary")
+    met = early.keep(blocks.groupBy("block").cogroup(copied.groupBy("block")).applyInArrow(held, "block long, shard long, keys binary")
                      .repartition(1 << bits, "shard").mapInArrow(meet, "block long, shared binary"))
-    places = steps.keep(blocks.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(cut_up, "m long, s1 long, doc long, th long, at int, n int"))
+    told = met.unionByName(copied, allowMissingColumns=True)
+    places = steps.keep(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(cut_up, "m long, s1 long, doc long, th long, at int, n int"))
     early.drop()
     first = brief.keep(places.groupBy("m", "s1").agg(F.min(F.struct("doc", "th", "at", "n")).alias("o"), F.max("doc").alias("high")))
     # Where all segments of a minimizer are equal, so are their strings, and there is nothing to sort.
@@ -329,7 +343,8 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
                      crowd: int = CROWD) -> DataFrame:
     """doc, th, and lists lows and highs: runs [low, high) of places whose strings are to go; see ``keyed``. A stored table."""
     steps, passing = Steps(docs.sparkSession), Steps(docs.sparkSession)
-    places, owned, found, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd, steps=steps, passing=passing)
+    copies = steps.keep(whole_copies(docs))
+    places, owned, found, sorted_in, single = dealt(docs, width=width, gram=gram, crowd=crowd, steps=steps, passing=passing, copies=copies)
 
     def sort_shard(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, owners, m, s1 = [], [], [], []
@@ -367,7 +382,8 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
     inner = F.transform(F.arrays_zip("froms", "tos"), lambda r: F.struct((at + r["froms"]).alias("low"), (at + r["tos"]).alias("high")))
     gone = (places.select("m", "s1", "doc", "th", "at", "n").join(marks, ["m", "s1"])
             .select("doc", "th", F.explode(F.when(F.col("doc") > F.col("owner"), whole).otherwise(inner)).alias("r"))
-            .select("doc", "th", "r.low", "r.high"))
+            .select("doc", "th", "r.low", "r.high")
+            .unionByName(copies.where(F.col("size") >= width).select("doc", "th", F.lit(0).alias("low"), (F.col("size") - (width - 1)).alias("high"))))
     runs = Steps(docs.sparkSession).keep(gone.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
     steps.drop()
     return runs

@@ -138,3 +138,26 @@ def test_trimmed_by_pieces(monkeypatch):
     places = sorted(x for found in holders.values() if len(found) > 1 for x in found)
     want = [(k, min(a for j, a in places if j == k), max(a for j, a in places if j == k) + 12) for k in sorted({k for k, _ in places})]
     assert suffix_dedup.trimmed(parts, 12) == whole == want
+
+
+def test_whole_copies_are_not_looked_at(spark):
+    """Their smallest document only is; they lose all, also in blocks that hold copies only, and near copies are judged as before."""
+    r = random.Random(13)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    copy, short = word(400), word(49)
+    texts = [(1000 - k, copy) for k in range(300)] + [(k, short) for k in range(5)] + [(5, copy[:200] + word(200)), (6, word(300)), (2000, copy + "x"), (6, copy), (6, copy), (None, copy), (None, "")]
+    docs = spark.createDataFrame(texts, PLAIN)
+    assert {x.doc for x in suffix_dedup.whole_copies(docs).collect()} == {*range(701, 1001), 2**63 - 1, *range(1, 5)}
+    places, *_ = suffix_dedup.dealt(docs)
+    assert {x.doc for x in places.select("doc").distinct().collect()} == {5, 6, 2000}
+    key = lambda d: 2**63 - 1 if d is None else d
+    first = {}
+    for d, t in texts:
+        for p in range(len(t) - 49):
+            first[t[p:p + 50]] = min(key(d), first.get(t[p:p + 50], key(d)))
+    want = []
+    for d, t in texts:
+        gone = {q for p in range(len(t) - 49) if first[t[p:p + 50]] < key(d) for q in range(p, p + 50)}
+        want.append((str(d), len(t), len(gone), "".join(x for k, x in enumerate(t) if k not in gone).encode()))
+    found = suffix_dedup.remove_duplicated(docs).select("doc_id", "n_bytes", "n_removed", "kept").collect()
+    assert sorted((str(x.doc_id), x.n_bytes, x.n_removed, bytes(x.kept)) for x in found) == sorted(want)
