@@ -384,8 +384,12 @@ def duplicated_bytes(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, s
             .select("doc", "th", F.explode(F.when(F.col("doc") > F.col("owner"), whole).otherwise(inner)).alias("r"))
             .select("doc", "th", "r.low", "r.high")
             .unionByName(copies.where(F.col("size") >= width).select("doc", "th", F.lit(0).alias("low"), (F.col("size") - (width - 1)).alias("high"))))
-    runs = Steps(docs.sparkSession).keep(gone.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
+    # The places and their shuffle go before what is found goes to the documents.
+    last, left = Steps(docs.sparkSession), Steps(docs.sparkSession)
+    gone = last.keep(gone)
     steps.drop()
+    runs = left.keep(gone.repartition("doc", "th").groupBy("doc", "th").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
+    last.drop()
     return runs
 
 
